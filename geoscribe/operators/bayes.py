@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoscribe.functions.text import lower_words
+from geoscribe.session import materialize
 
 
 def _dedupe(words: list[str]) -> list[str]:
@@ -126,8 +127,11 @@ def score_candidates(train: DataFrame, queries: DataFrame, cls: str, text: str,
     Classes missing a word have ``p = 0`` and can never be chosen, so they are
     never generated.
     """
+    # The presence table feeds three branches whose pruning differs, so Spark
+    # cannot share it; materialise it once rather than tokenise the corpus
+    # three times.  The query side is small next to the corpus and is re-read.
     qw = query_word_table(queries, query_keys, words)
-    pres = presence_for_vocabulary(train, cls, text, qw.select("word"))
+    pres = materialize(presence_for_vocabulary(train, cls, text, qw.select("word")), "nb_presence")
     classes_per_word = pres.groupBy("word").agg(F.count(F.lit(1)).alias("n_cls"))
     # A word no class holds gets n_cls = 0 and becomes the query's rarest word,
     # which then finds no candidate: the query has no answer, as it should.

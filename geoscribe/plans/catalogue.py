@@ -25,6 +25,7 @@ from geoscribe.functions.time import local_hour_from_timestamp
 from geoscribe.operators import bayes, groups, profile, ranking, sample, words
 from geoscribe.session import scratch_path
 from geoscribe.sources import scan_delimited, scan_word_list, table
+from geoscribe.sources.tables import spread
 
 # Fixed values used by the catalogue (parameters of the registered queries).
 STOP = words.STOP_WORDS                     # stop words removed from token counts
@@ -41,6 +42,11 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return table(spark, d, name)
 
 
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    """``documents`` spread over the cluster before texts are split (see ``spread``)."""
+    return spread(table(spark, d, "documents"), ["doc_id"])
+
+
 def _props_k(events: DataFrame):
     return F.get_json_object("props", "$.k").try_cast(T.DoubleType())
 
@@ -70,16 +76,16 @@ def min_max(spark, d):
 
 
 def total_length(spark, d):
-    return _t(spark, d, "documents").agg(F.sum(F.length("text")).cast("bigint").alias("total_length"))
+    return _docs(spark, d).agg(F.sum(F.length("text")).cast("bigint").alias("total_length"))
 
 
 def avg_text_length(spark, d):
-    wide = profile.profile_wide(_t(spark, d, "documents"), text="text")
+    wide = profile.profile_wide(_docs(spark, d), text="text")
     return wide.select(F.round("avg_chars", 6).alias("avg_chars"), F.round("avg_words", 6).alias("avg_words"))
 
 
 def dataset_profile(spark, d):
-    long = profile.dataset_profile(_t(spark, d, "documents"), text="text",
+    long = profile.dataset_profile(_docs(spark, d), text="text",
                                    distinct_cols=["source", "lang"], minmax_cols=["n_chars"])
     return long.withColumn("value", F.round("value", 6))
 
@@ -196,23 +202,23 @@ def semi_join_top_keys(spark, d):
 
 
 def tokens(spark, d):
-    toks = words.token_table(_t(spark, d, "documents"), "text", keep=["lang"])
+    toks = words.token_table(_docs(spark, d), "text", keep=["lang"])
     return words.token_stats(toks, ["lang"])
 
 
 def stopword_anti(spark, d):
-    toks = words.token_table(_t(spark, d, "documents"), "text", keep=["lang"])
+    toks = words.token_table(_docs(spark, d), "text", keep=["lang"])
     return groups.count_by_key(words.remove_stopwords(toks, STOP), "lang", "n_tokens")
 
 
 def word_freq_topk(spark, d):
-    en = _t(spark, d, "documents").where(F.col("lang") == "en")
+    en = _docs(spark, d).where(F.col("lang") == "en")
     toks = words.remove_stopwords(words.token_table(en, "text"), STOP)
     return words.top_words(toks, TOP_K_WORDS)
 
 
 def _top_source_word_counts(spark, d) -> DataFrame:
-    docs = ranking.semi_join_keys(_t(spark, d, "documents"), _top_sources(spark, d), "source")
+    docs = ranking.semi_join_keys(_docs(spark, d), _top_sources(spark, d), "source")
     toks = words.remove_stopwords(words.token_table(docs, "text", keep=["source"]), STOP)
     return words.word_counts(toks, ["source"])
 
@@ -257,21 +263,21 @@ def nb_priors(spark, d):
 
 
 def nb_word_presence(spark, d):
-    pres = bayes.word_presence(_t(spark, d, "documents"), "source", "text", NB_WORDS)
+    pres = bayes.word_presence(_docs(spark, d), "source", "text", NB_WORDS)
     return pres.select("source", F.col("pos").cast("bigint").alias("pos"), "word", "d")
 
 
 def nb_scores(spark, d):
-    return bayes.score_words(_t(spark, d, "documents"), "source", "text", NB_WORDS)
+    return bayes.score_words(_docs(spark, d), "source", "text", NB_WORDS)
 
 
 def nb_argmax_ties(spark, d):
-    scores = bayes.score_words(_t(spark, d, "documents"), "source", "text", NB_WORDS)
+    scores = bayes.score_words(_docs(spark, d), "source", "text", NB_WORDS)
     return bayes.best_classes(scores.select("source", "p"))
 
 
 def nb_batch(spark, d):
-    docs = _t(spark, d, "documents").select("source", "text")
+    docs = _docs(spark, d).select("source", "text")
     return bayes.estimate_places(docs, _benchmark_queries(spark, d), "source", "text",
                                  query_keys=["item_id", "line_no"])
 
@@ -283,7 +289,7 @@ _DOC_TSV = [("doc_id", T.LongType()), ("lang", T.StringType()), ("source", T.Str
 
 
 def scan_delimited_roundtrip(spark, d):
-    docs = _t(spark, d, "documents")
+    docs = _docs(spark, d)
     flat = docs.select("doc_id", "lang", "source", "n_chars",
                        F.regexp_replace("text", "[\t\r\n]", " ").alias("text"))
     path = scratch_path(spark, "documents_tsv")

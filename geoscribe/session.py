@@ -57,3 +57,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint directory."""
     return f"{ensure_checkpoint_dir(spark)}/geoscribe/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str = "intermediate"):
+    """Write ``df`` once as parquet under the shared checkpoint directory and read it back.
+
+    Used where one intermediate feeds several branches of a plan whose column
+    pruning differs per branch (so Spark cannot reuse the exchange) and is too
+    costly to recompute.  It cuts the lineage, so a lost executor does not send
+    the chain back to the scan, and the re-read carries real file sizes for the
+    optimizer's broadcast decisions.  (``Dataset.checkpoint`` would compute the
+    data twice: once for its count and once more to write the files.)
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -38,6 +38,21 @@ def _norm(v):
     return v
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(df, rel) -> list[str]:
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in df.schema.fields:
+        want = _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        got = duck_types.get(f.name)
+        if got is not None and got != want:
+            out.append(f"{f.name}:{want}/{got}")
+    return out
+
+
 def canon(columns: list[str], rows: list[tuple]) -> Counter:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
@@ -68,7 +83,8 @@ def compare(spark, sf_dir: str, names: list[str] | None = None) -> dict[str, str
             diff = list((a - b).items())[:3], list((b - a).items())[:3]
             out[name] = f"VALUES spark-only={diff[0]} duck-only={diff[1]}"
         else:
-            out[name] = f"ok ({len(s_rows)} rows)"
+            tm = type_mismatches(df, rel)
+            out[name] = f"ok ({len(s_rows)} rows)" + (f" types spark/duck {tm}" if tm else "")
     return out
 
 
