@@ -26,3 +26,17 @@ def local_hour_from_timestamp(ts: str | Column, offset_seconds: str | Column) ->
     t = F.col(ts) if isinstance(ts, str) else ts
     off = F.col(offset_seconds) if isinstance(offset_seconds, str) else offset_seconds
     return F.hour(F.timestamp_add("SECOND", off, t)).cast("bigint")
+
+
+def second_of_day(ts: str | Column) -> Column:
+    """Whole seconds since midnight of a TIMESTAMP_NTZ."""
+    t = F.col(ts) if isinstance(ts, str) else ts
+    return (F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)).cast("int")
+
+
+def local_hour_from_second_of_day(sec: str | Column, offset_seconds: str | Column) -> Column:
+    """Hour of ``time-of-day + offset``.  With whole-second offsets the fraction
+    of a second never moves the hour, so whole seconds are enough."""
+    s_ = F.col(sec) if isinstance(sec, str) else sec
+    off = F.col(offset_seconds) if isinstance(offset_seconds, str) else offset_seconds
+    return F.floor(F.pmod(s_.cast("bigint") + off.cast("bigint"), F.lit(86_400)) / 3600).cast("bigint")

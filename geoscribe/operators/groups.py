@@ -65,18 +65,27 @@ def group_centroid(df: DataFrame, key: str, lat: str | Column, lon: str | Column
 
 def centroid_by_join(df: DataFrame, key: str, lat: str | Column, lon: str | Column, max_small: int,
                      lat_out: str = "lat", lon_out: str = "lon") -> DataFrame:
-    """The reference's plan shape: drop small keys by anti join, average latitude
-    and longitude separately, then join the two per-key results (inner, 1:1).
+    """The reference's plan shape (drop small keys by anti join, average latitude
+    and longitude separately, join the two per-key results 1:1), with every
+    step applied to per-key aggregates instead of raw rows.
 
-    Both averages come out hash-partitioned on ``key``, so the final join reuses
-    that partitioning and adds no exchange of its own.
+    Three aggregates (sizes, mean latitude, mean longitude) each shuffle only
+    partial aggregates; all three come out hash-partitioned on ``key``, so the
+    inner join and the anti join reuse that partitioning and add no exchange.
     """
     lat_c = F.col(lat) if isinstance(lat, str) else lat
     lon_c = F.col(lon) if isinstance(lon, str) else lon
-    kept = without_keys(df, small_groups(df, key, max_small), key)
-    lat_df = kept.groupBy(key).agg(F.avg(lat_c).alias(lat_out))
-    lon_df = kept.groupBy(key).agg(F.avg(lon_c).alias(lon_out))
-    return lat_df.join(lon_df, on=key, how="inner")
+    small = small_groups(df, key, max_small)
+    lat_df = df.groupBy(key).agg(F.avg(lat_c).alias(lat_out))
+    lon_df = df.groupBy(key).agg(F.avg(lon_c).alias(lon_out))
+    return without_keys(lat_df.join(lon_df, on=key, how="inner"), small, key)
+
+
+def peak_of_counts(counts: DataFrame, key: str, hour: str, n: str = "n") -> DataFrame:
+    """From ``(key, hour, n)`` counts, the hour with the largest ``n`` per key;
+    a tie goes to the earlier hour (max of ``struct(n, -hour)``)."""
+    best = counts.groupBy(key).agg(F.max(F.struct(F.col(n), (-F.col(hour)).alias("neg_hour"))).alias("_b"))
+    return best.select(key, (-F.col("_b.neg_hour")).alias(hour), F.col("_b").getField(n).alias(n))
 
 
 def peak_hour(df: DataFrame, key: str, hour: str | Column, hour_out: str = "hour", n: str = "n") -> DataFrame:
@@ -88,5 +97,4 @@ def peak_hour(df: DataFrame, key: str, hour: str | Column, hour_out: str = "hour
     """
     h = F.col(hour) if isinstance(hour, str) else hour
     per_hour = df.groupBy(F.col(key), h.alias(hour_out)).agg(F.count(F.lit(1)).alias(n))
-    best = per_hour.groupBy(key).agg(F.max(F.struct(F.col(n), (-F.col(hour_out)).alias("neg_hour"))).alias("_b"))
-    return best.select(key, (-F.col("_b.neg_hour")).alias(hour_out), F.col("_b").getField(n).alias(n))
+    return peak_of_counts(per_hour, key, hour_out, n)

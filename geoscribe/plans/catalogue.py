@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from geoscribe import sinks
 from geoscribe.functions.text import PY_WHITESPACE, lines, query_word_list
-from geoscribe.functions.time import local_hour_from_timestamp
+from geoscribe.functions.time import local_hour_from_second_of_day, second_of_day
 from geoscribe.operators import bayes, groups, profile, ranking, sample, words
 from geoscribe.session import scratch_path
 from geoscribe.sources import scan_delimited, scan_word_list, table
@@ -129,9 +129,11 @@ def small_groups(spark, d):
 
 
 def large_groups_anti(spark, d):
-    ev = _t(spark, d, "events").select("user_id")
-    kept = groups.without_keys(ev, groups.small_groups(ev, "user_id", SMALL_MAX), "user_id")
-    return groups.count_by_key(kept, "user_id")
+    """Rows per user after removing small users by key (anti join).  Counting
+    first and removing keys from the per-user counts gives the same result as
+    removing raw rows, but only aggregates reach the shuffle and the join."""
+    counts = groups.count_by_key(_t(spark, d, "events"), "user_id")
+    return groups.without_keys(counts, counts.where(F.col("n") <= SMALL_MAX), "user_id")
 
 
 def _round_centroid(df: DataFrame) -> DataFrame:
@@ -152,31 +154,39 @@ def key_join_aggregates(spark, d):
 
 def centroid_csv(spark, d):
     path = scratch_path(spark, "centroid_csv")
-    sinks.write_csv(group_centroid(spark, d), path, header=True, order_by=[F.col("user_id")])
+    # One centroid per user is not bounded: write in parallel parts, each with a header.
+    sinks.write_csv(group_centroid(spark, d), path, header=True, single_file=False)
     schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("lat", T.DoubleType()),
                            T.StructField("lon", T.DoubleType())])
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def _events_with_local_hour(spark, d) -> DataFrame:
-    """events joined to their customer's nation; the small customer x nation side
-    is built first so the large events table meets one join."""
+def _hour_counts(spark, d) -> DataFrame:
+    """``(n_name, hour, n)``: events per nation and local hour.
+
+    Events are first counted per (user, second of day) on the map side, so the
+    join with customers sees at most 86,400 rows per user however hot a user
+    is; the small customer x nation side is built first.  Exact: the local
+    hour depends only on the whole-second time of day and the offset.
+    """
     cust = _t(spark, d, "customer").select("c_custkey", "c_nationkey")
     nation = _t(spark, d, "nation").select("n_nationkey", "n_name")
     cust_nat = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
         "c_custkey", "n_name", ((F.col("n_nationkey") - 12) * 3600).alias("offset_s"))
-    ev = _t(spark, d, "events").select("user_id", "ts")
-    joined = ev.join(cust_nat, ev.user_id == cust_nat.c_custkey)
-    return joined.select("n_name", local_hour_from_timestamp("ts", "offset_s").alias("hour"))
+    ev = _t(spark, d, "events")
+    per_sec = ev.groupBy("user_id", second_of_day("ts").alias("sec")).agg(F.count(F.lit(1)).alias("c"))
+    joined = per_sec.join(cust_nat, per_sec.user_id == cust_nat.c_custkey)
+    hours = joined.select("n_name", local_hour_from_second_of_day("sec", "offset_s").alias("hour"), "c")
+    return hours.groupBy("n_name", "hour").agg(F.sum("c").cast("bigint").alias("n"))
 
 
 def local_hour(spark, d):
-    hours = _events_with_local_hour(spark, d)
-    return groups.count_by_key(hours.withColumnRenamed("hour", "local_hour"), "local_hour")
+    per = _hour_counts(spark, d)
+    return per.groupBy(F.col("hour").alias("local_hour")).agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def peak_hour(spark, d):
-    return groups.peak_hour(_events_with_local_hour(spark, d), "n_name", "hour")
+    return groups.peak_of_counts(_hour_counts(spark, d), "n_name", "hour")
 
 
 def filtered_group_count(spark, d):
