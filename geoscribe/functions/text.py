@@ -23,8 +23,20 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_REGEX_META = set(".$|()[]{}^?*+\\")
+
+
 def literal_pattern(sep: str) -> str:
-    """Java-regex that matches ``sep`` literally (Spark's split takes a regex)."""
+    """Java-regex that matches ``sep`` literally (Spark's split takes a regex).
+
+    A single character is passed as itself (or backslash-escaped if it is a
+    regex metacharacter): Java's ``String.split`` then splits without
+    compiling a pattern for every row.
+    """
+    if len(sep) == 1 and not sep.isalnum():
+        return "\\" + sep if sep in _REGEX_META else sep
+    if len(sep) == 1:
+        return sep
     if "\\E" in sep:
         return "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
     return "\\Q" + sep + "\\E"

@@ -112,6 +112,13 @@ def sample_hash(spark, d):
     return sample.sample_hash(docs, "doc_id", SAMPLE_FRACTION)
 
 
+def sampled_profile(spark, d):
+    """The profile of a reproducible 10 % sample (the reference's draft Task 1)."""
+    sampled = sample.sample_hash(_docs(spark, d), "doc_id", SAMPLE_FRACTION)
+    long = profile.dataset_profile(sampled, text="text", distinct_cols=["source", "lang"], minmax_cols=["n_chars"])
+    return long.withColumn("value", F.round("value", 6))
+
+
 # ------------------------------------------------------------------ group family
 
 def group_count_sorted(spark, d):
@@ -217,8 +224,11 @@ def tokens(spark, d):
 
 
 def stopword_anti(spark, d):
+    """Stop words given as a one-column table: an anti join on the word (the
+    optimizer broadcasts the small side by its size estimate)."""
     toks = words.token_table(_docs(spark, d), "text", keep=["lang"])
-    return groups.count_by_key(words.remove_stopwords(toks, STOP), "lang", "n_tokens")
+    stop = spark.createDataFrame([(w,) for w in STOP], "word string")
+    return groups.count_by_key(words.remove_stopwords(toks, stop), "lang", "n_tokens")
 
 
 def word_freq_topk(spark, d):
@@ -334,6 +344,7 @@ QUERIES: dict[str, QueryFn] = {
     "sql_profile": sql_profile,
     "sample_native": sample_native,
     "sample_hash": sample_hash,
+    "sampled_profile": sampled_profile,
     "group_count_sorted": group_count_sorted,
     "small_groups": small_groups,
     "large_groups_anti": large_groups_anti,
@@ -429,6 +440,22 @@ _NB_COUNTS_CTE = """
     s AS (SELECT source, n, ((((((n / (SELECT count(*) FROM documents)) * d0) / n) * d1) / n) * d2) / n AS p FROM c)
 """
 
+_SAMPLE_SQL = """
+    SELECT * FROM documents
+    WHERE CAST(concat('0x', substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 1000000 < 100000"""
+
+_PROFILE_SQL = """
+    WITH a AS (SELECT count(*) AS n_rows, count(DISTINCT source) AS ds, count(DISTINCT lang) AS dl,
+                      min(n_chars) AS mn, max(n_chars) AS mx, avg(length(text)) AS ac,
+                      avg(len(string_split(text, ' '))) AS aw FROM {src})
+    SELECT 1 AS ord, 'n_rows' AS metric, round(CAST(n_rows AS DOUBLE), 6) AS value FROM a
+    UNION ALL SELECT 2, 'n_distinct_source', round(CAST(ds AS DOUBLE), 6) FROM a
+    UNION ALL SELECT 3, 'n_distinct_lang', round(CAST(dl AS DOUBLE), 6) FROM a
+    UNION ALL SELECT 4, 'min_n_chars', round(CAST(mn AS DOUBLE), 6) FROM a
+    UNION ALL SELECT 5, 'max_n_chars', round(CAST(mx AS DOUBLE), 6) FROM a
+    UNION ALL SELECT 6, 'avg_chars', round(ac, 6) FROM a
+    UNION ALL SELECT 7, 'avg_words', round(aw, 6) FROM a"""
+
 ORACLE_SQL: dict[str, str] = {
     "count_rows": "SELECT count(*) AS n_rows FROM events",
     "distinct_counts": """
@@ -442,23 +469,12 @@ ORACLE_SQL: dict[str, str] = {
     "avg_text_length": """
         SELECT round(avg(length(text)), 6) AS avg_chars,
                round(avg(len(string_split(text, ' '))), 6) AS avg_words FROM documents""",
-    "dataset_profile": """
-        WITH a AS (SELECT count(*) AS n_rows, count(DISTINCT source) AS ds, count(DISTINCT lang) AS dl,
-                          min(n_chars) AS mn, max(n_chars) AS mx, avg(length(text)) AS ac,
-                          avg(len(string_split(text, ' '))) AS aw FROM documents)
-        SELECT 1 AS ord, 'n_rows' AS metric, round(CAST(n_rows AS DOUBLE), 6) AS value FROM a
-        UNION ALL SELECT 2, 'n_distinct_source', round(CAST(ds AS DOUBLE), 6) FROM a
-        UNION ALL SELECT 3, 'n_distinct_lang', round(CAST(dl AS DOUBLE), 6) FROM a
-        UNION ALL SELECT 4, 'min_n_chars', round(CAST(mn AS DOUBLE), 6) FROM a
-        UNION ALL SELECT 5, 'max_n_chars', round(CAST(mx AS DOUBLE), 6) FROM a
-        UNION ALL SELECT 6, 'avg_chars', round(ac, 6) FROM a
-        UNION ALL SELECT 7, 'avg_words', round(aw, 6) FROM a""",
+    "dataset_profile": _PROFILE_SQL.format(src="documents"),
+    "sampled_profile": _PROFILE_SQL.format(src=f"({_SAMPLE_SQL})"),
     "sql_profile": """
         SELECT count(*) AS n_rows, count(DISTINCT source) AS n_sources, count(DISTINCT lang) AS n_langs,
                min(n_chars) AS min_chars, max(n_chars) AS max_chars FROM documents""",
-    "sample_hash": """
-        SELECT doc_id, source, lang FROM documents
-        WHERE CAST(concat('0x', substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 1000000 < 100000""",
+    "sample_hash": f"SELECT doc_id, source, lang FROM ({_SAMPLE_SQL})",
     "group_count_sorted": _GROUP_COUNT_SQL,
     "small_groups": "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) <= 60",
     "large_groups_anti": """

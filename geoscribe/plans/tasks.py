@@ -98,7 +98,7 @@ def run_phase1(spark: SparkSession, posts_path: str, stop_words_path: str, out_d
                                         ["country_name", "latitude", "longitude"], order_by=[F.col("country_name")])
     sinks.write_csv(task3_country_centroids(posts).select(
         F.col("country_name").alias("Country"), F.col("latitude").alias("Lat"), F.col("longitude").alias("Lon")),
-        f"{out}/result_task3_carto.csv", order_by=[F.col("Country")])
+        f"{out}/result_3_map.csv", order_by=[F.col("Country")])
     paths["result_4"] = sinks.write_tsv(task4_peak_hour(posts), f"{out}/result_4.tsv", ["country_name", "hour", "n"],
                                         order_by=[F.col("country_name")])
     paths["result_5"] = sinks.write_tsv(task5_us_city_counts(posts), f"{out}/result_5.tsv", ["place_name", "n"],

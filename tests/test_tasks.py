@@ -111,7 +111,7 @@ def test_run_phase1_writes_reference_layout(spark, data_dir, tmp_path, recs):
     assert lines2 == [f"{k}\t{n}" for k, n in fixtures.model_country_counts(recs)]
     lines1 = part("result_1.tsv")[0].read_text(encoding="utf-8").splitlines()
     assert len(lines1) == 11 and lines1[0] == str(len(recs))
-    header = part("result_task3_carto.csv")[0].read_text(encoding="utf-8").splitlines()[0]
+    header = part("result_3_map.csv")[0].read_text(encoding="utf-8").splitlines()[0]
     assert header == "Country,Lat,Lon"
     assert set(paths) == {f"result_{i}" for i in range(1, 9)}
 
