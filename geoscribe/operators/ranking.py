@@ -58,7 +58,7 @@ def counts_as_map(df: DataFrame, outer: str, key: str, n: str = "n", out: str =
     The map is built per group of ``outer`` from already aggregated counts, so a
     map holds one entry per distinct ``key`` of that group, never raw rows.
     """
-    counts = count_by_key(df, [outer, key], n)
+    counts = count_by_key(df.where(F.col(key).isNotNull()), [outer, key], n)   # map keys cannot be NULL
     return counts.groupBy(outer).agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(n)))).alias(out))
 
 

@@ -23,6 +23,7 @@ from geoscribe import sinks
 from geoscribe.functions.text import PY_WHITESPACE, lines, query_word_list
 from geoscribe.functions.time import local_hour_from_second_of_day, second_of_day
 from geoscribe.operators import bayes, groups, profile, ranking, sample, words
+from geoscribe.plans import posts as post_queries
 from geoscribe.session import scratch_path
 from geoscribe.sources import scan_delimited, scan_word_list, table
 from geoscribe.sources.tables import spread
@@ -559,3 +560,8 @@ ORACLE_SQL: dict[str, str] = {
     "scan_word_list": f"WITH {_QUERY_LINES_CTE} SELECT DISTINCT word FROM qw",
     "sink_tsv": _GROUP_COUNT_SQL,
 }
+
+
+# The reference's own tasks on the post table derived from the driver tables.
+QUERIES.update(post_queries.QUERIES)
+ORACLE_SQL.update(post_queries.ORACLE_SQL)

@@ -23,10 +23,16 @@ MIN_POSTS_FOR_CENTROID = 11       # countries with fewer than 11 posts have no c
 TOP_CITIES = 5
 TOP_WORDS = 10
 MIN_WORD_LENGTH = 2
+COUNTRY_CODE = "US"
+PLACE_TYPE = "city"
 
 
-def _us(posts: DataFrame) -> DataFrame:
-    return posts.where(F.col("country_code") == "US")
+def _in_country(posts: DataFrame, code: str) -> DataFrame:
+    return posts.where(F.col("country_code") == code)
+
+
+def _cities(code: str, place_type: str):
+    return (F.col("country_code") == code) & (F.col("place_type") == place_type)
 
 
 def task1_profile(posts: DataFrame) -> DataFrame:
@@ -49,25 +55,24 @@ def task4_peak_hour(posts: DataFrame) -> DataFrame:
     return groups.peak_hour(posts.where(hour.isNotNull()), "country_name", hour, hour_out="hour")
 
 
-def task5_us_city_counts(posts: DataFrame) -> DataFrame:
-    cond = (F.col("country_code") == "US") & (F.col("place_type") == "city")
-    return groups.filtered_group_count(posts, "place_name", cond)
+def task5_us_city_counts(posts: DataFrame, code: str = COUNTRY_CODE, place_type: str = PLACE_TYPE) -> DataFrame:
+    return groups.filtered_group_count(posts, "place_name", _cities(code, place_type))
 
 
-def task6_top_us_words(posts: DataFrame, stop, k: int = TOP_WORDS) -> DataFrame:
-    toks = words.token_table(_us(posts), "tweet_text", min_len=MIN_WORD_LENGTH)
+def task6_top_us_words(posts: DataFrame, stop, k: int = TOP_WORDS, code: str = COUNTRY_CODE) -> DataFrame:
+    toks = words.token_table(_in_country(posts, code), "tweet_text", min_len=MIN_WORD_LENGTH)
     return words.top_words(words.remove_stopwords(toks, stop), k)
 
 
 def task7_top_words_of_top_cities(posts: DataFrame, stop, k_cities: int = TOP_CITIES,
-                                  k_words: int = TOP_WORDS, wide: bool = True) -> DataFrame:
+                                  k_words: int = TOP_WORDS, wide: bool = True,
+                                  code: str = COUNTRY_CODE, place_type: str = PLACE_TYPE) -> DataFrame:
     """Top words in each of the five busiest US cities.
 
     As in the reference, the five cities come from US posts of place type
     'city', but the texts are all posts carrying those place names.
     """
-    cond = (F.col("country_code") == "US") & (F.col("place_type") == "city")
-    cities = ranking.top_keys(posts.where(cond), "place_name", k_cities)
+    cities = ranking.top_keys(posts.where(_cities(code, place_type)), "place_name", k_cities)
     city_posts = ranking.semi_join_keys(posts, cities, "place_name")
     toks = words.token_table(city_posts, "tweet_text", keep=["place_name"], min_len=MIN_WORD_LENGTH)
     counts = words.word_counts(words.remove_stopwords(toks, stop), ["place_name"])
