@@ -42,6 +42,13 @@ def total_rows(train: DataFrame) -> Column:
     return train.select(F.count(F.lit(1))).scalar()
 
 
+def total_of(counts: DataFrame, n: str) -> Column:
+    """``N`` as the sum of per-class counts (NULL class included), a scalar
+    subquery over the same aggregate, so Spark reuses its exchange instead of
+    scanning the training data again."""
+    return counts.select(F.sum(n)).scalar()
+
+
 def class_counts(train: DataFrame, cls: str, n: str = "n") -> DataFrame:
     return train.groupBy(cls).agg(F.count(F.lit(1)).alias(n))
 
@@ -49,7 +56,7 @@ def class_counts(train: DataFrame, cls: str, n: str = "n") -> DataFrame:
 def priors(train: DataFrame, cls: str) -> DataFrame:
     """``(cls, n, prior)`` with ``prior = n / N``."""
     counts = class_counts(train, cls)
-    return counts.select(cls, "n", (F.col("n") / total_rows(train)).alias("prior"))
+    return counts.select(cls, "n", (F.col("n") / total_of(counts, "n")).alias("prior"))
 
 
 def fold_probability(prior: Column, counts: Column, n_c: Column) -> Column:
@@ -83,7 +90,7 @@ def score_words(train: DataFrame, cls: str, text: str, words: list[str]) -> Data
     wide = _presence_wide(train, cls, text, ws)
     counts = F.array(*[F.col(f"_d{i}") for i in range(len(ws))]) if ws else F.array().cast("array<bigint>")
     # The prior is its own column: a subquery may not sit inside the fold lambda.
-    with_prior = wide.withColumn("_prior", F.col("n") / total_rows(train))
+    with_prior = wide.withColumn("_prior", F.col("n") / total_of(wide, "n"))
     p = fold_probability(F.col("_prior"), counts, F.col("n"))
     return with_prior.select(cls, "n", p.alias("p"))
 
@@ -146,7 +153,7 @@ def score_candidates(train: DataFrame, queries: DataFrame, cls: str, text: str,
                .agg(F.count(F.lit(1)).alias("_m"), F.array_sort(F.collect_list(F.struct("pos", "d"))).alias("_ds"))
                .where(F.col("_m") == F.col("k")))
     n_c = class_counts(train, cls, "n_c")
-    scored = matched.join(n_c, on=cls).withColumn("_prior", F.col("n_c") / total_rows(train))
+    scored = matched.join(n_c, on=cls).withColumn("_prior", F.col("n_c") / total_of(n_c, "n_c"))
     p = fold_probability(F.col("_prior"), F.transform("_ds", lambda s: s["d"]), F.col("n_c"))
     return scored.select(*query_keys, cls, p.alias("p"))
 
