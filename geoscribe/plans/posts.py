@@ -23,8 +23,6 @@ country filter set to a region present in the data instead of 'US'.
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +35,10 @@ POST_CODE = "AMERICA"
 POST_PLACE_TYPE = "building"
 POST_STOP = ("the", "of", "and", "to", "is", "in")
 
-_EPOCH = datetime(1970, 1, 1)
+
+def _epoch():
+    """The epoch as a TIMESTAMP_NTZ literal parsed from text: no time zone involved."""
+    return F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
 
 
 def derived_posts(spark, d: str) -> DataFrame:
@@ -50,7 +51,7 @@ def derived_posts(spark, d: str) -> DataFrame:
            .join(region, nation.n_regionkey == region.r_regionkey))
     posts = ev.join(who, ev.user_id == who.c_custkey)
     return posts.select(
-        F.timestamp_diff("MILLISECOND", F.lit(_EPOCH).cast(T.TimestampNTZType()), F.col("ts")).alias("utc_time"),
+        F.timestamp_diff("MILLISECOND", _epoch(), F.col("ts")).alias("utc_time"),
         F.col("n_name").alias("country_name"),
         F.col("r_name").alias("country_code"),
         F.lower("c_mktsegment").alias("place_type"),

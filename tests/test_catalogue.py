@@ -49,3 +49,27 @@ def test_no_cross_product_in_any_plan(spark):
             continue
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_entry_module_imports_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+
+
+@pytest.mark.parametrize("name", ["local_hour", "peak_hour", "post_peak_hour", "post_profile"])
+def test_results_do_not_depend_on_session_time_zone(spark, name):
+    fn = entry.queries()[name]
+    base = sorted(map(tuple, fn(spark, SF_SMALL).collect()))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert sorted(map(tuple, fn(spark, SF_SMALL).collect())) == base, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
