@@ -20,7 +20,9 @@ def spread(df: DataFrame, keys: list[str] = (), min_partitions: int | None = Non
     extra shuffle.  Column pruning and filters still reach the scan below the
     repartition.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
         return df
+    # Two tasks per core even out texts of very different lengths.
+    target = min_partitions or 2 * cores
     return df.repartition(target, *keys) if keys else df.repartition(target)
