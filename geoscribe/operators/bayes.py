@@ -110,8 +110,10 @@ def best_classes(scores: DataFrame, p: str = "p", by: list[str] = ()) -> DataFra
 
 
 def query_word_table(queries: DataFrame, query_keys: list[str], words: str = "words") -> DataFrame:
-    """``(query keys..., pos, word)`` from an array of distinct query words."""
-    return queries.select(*query_keys, F.posexplode(words).alias("pos", "word"))
+    """``(query keys..., pos, word)``: query words lower-cased, repeats dropped in
+    first-seen order (as the reference builds its word dictionary)."""
+    distinct = F.array_distinct(F.transform(words, lambda w: F.lower(w)))
+    return queries.select(*query_keys, F.posexplode(distinct).alias("pos", "word"))
 
 
 def presence_for_vocabulary(train: DataFrame, cls: str, text: str, vocab: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def test_score_words_matches_brute_force(posts, recs, ws):
 
 
 def test_batch_equals_single_query_answers(spark, posts, recs):
-    q = _queries(spark, [list(dict.fromkeys(w.lower() for w in ws)) for ws in QUERIES])
+    q = _queries(spark, QUERIES)          # raw word lists: the operator lower-cases and de-duplicates
     got = {}
     for r in tasks.classify(posts, q).collect():
         got.setdefault(r.query_id, {})[r.place_name] = r.p
@@ -89,3 +89,16 @@ def test_run_classifier_output(spark, data_dir, tmp_path, recs):
     best = fixtures.model_best(fixtures.model_scores(recs, ["tie"]))
     assert [ln.split("\t")[0] for ln in lines] == sorted(best)
     assert [float(ln.split("\t")[1]) for ln in lines] == [best[k] for k in sorted(best)]
+
+
+def test_command_line_classify(spark, data_dir, tmp_path, recs):
+    from geoscribe.__main__ import main
+
+    q = tmp_path / "q.txt"
+    q.write_text("Love the CITY\n", encoding="utf-8")
+    out = tmp_path / "cli_out"
+    assert main(["classify", str(data_dir / "posts.tsv"), str(q), str(out)]) == 0
+    lines = next(out.glob("part-*")).read_text(encoding="utf-8").splitlines()
+    best = fixtures.model_best(fixtures.model_scores(recs, ["love", "the", "city"]))
+    assert {ln.split("\t")[0]: float(ln.split("\t")[1]) for ln in lines} == best
+    assert main(["bogus"]) == 2
