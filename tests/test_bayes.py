@@ -102,3 +102,11 @@ def test_command_line_classify(spark, data_dir, tmp_path, recs):
     best = fixtures.model_best(fixtures.model_scores(recs, ["love", "the", "city"]))
     assert {ln.split("\t")[0]: float(ln.split("\t")[1]) for ln in lines} == best
     assert main(["bogus"]) == 2
+
+
+def test_fold_reproduces_the_published_probability(spark):
+    # The reference's committed classifier output: a place with 48 of 2,715,066
+    # posts and presence counts whose product is 2 scores 3.197180310001877e-10.
+    df = spark.createDataFrame([(48, 2715066, [2, 1, 1])], "n long, total long, d array<long>")
+    p = df.select(bayes.fold_probability(F.col("n") / F.col("total"), F.col("d"), F.col("n"))).first()[0]
+    assert p == 3.197180310001877e-10
