@@ -2,6 +2,7 @@
 
     python -m geoscribe phase1   <posts.tsv> <stop_words.txt> <out_dir>
     python -m geoscribe classify <posts.tsv> <query.txt> <out_path>
+    python -m geoscribe profile  <posts.tsv> [<sample fraction>]
 
 Uses the active SparkSession when submitted with ``spark-submit``; otherwise
 starts a local one.
@@ -12,19 +13,37 @@ from __future__ import annotations
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from geoscribe.plans.tasks import run_classifier, run_phase1
+from geoscribe.operators.sample import sample_hash
+from geoscribe.plans.tasks import run_classifier, run_phase1, task1_profile
 from geoscribe.session import build_session
+from geoscribe.sources import scan_delimited
 
 USAGE = __doc__
 
 
+def _profile(spark, path: str, fraction: float | None) -> list[tuple[str, float]]:
+    """The eleven metrics, optionally of a reproducible sample (keyed by the
+    whole line's fields, so any partitioning keeps the same rows)."""
+    posts = scan_delimited(spark, path)
+    if fraction is not None:
+        line = F.concat_ws("\t", *[F.col(c).cast("string") for c in posts.columns])
+        posts = sample_hash(posts, line, fraction)
+    # Eleven rows: the one place a result is brought to the driver, to print it.
+    return [(r.metric, r.value) for r in task1_profile(posts).orderBy("ord").collect()]
+
+
 def main(argv: list[str]) -> int:
-    if len(argv) != 4 or argv[0] not in ("phase1", "classify"):
+    ok = (len(argv) == 4 and argv[0] in ("phase1", "classify")) or (argv[:1] == ["profile"] and len(argv) in (2, 3))
+    if not ok:
         print(USAGE, file=sys.stderr)
         return 2
     spark = SparkSession.getActiveSession() or build_session()
-    if argv[0] == "phase1":
+    if argv[0] == "profile":
+        for metric, value in _profile(spark, argv[1], float(argv[2]) if len(argv) == 3 else None):
+            print(f"{metric}\t{value}")
+    elif argv[0] == "phase1":
         for name, path in run_phase1(spark, argv[1], argv[2], argv[3]).items():
             print(f"{name}\t{path}")
     else:

@@ -122,3 +122,14 @@ def test_stop_words_file_keeps_duplicates_of_other_words(spark, posts, stop):
     toks = words.token_table(posts.where(F.col("username") == "special7"), "tweet_text")
     kept = [r.word for r in words.remove_stopwords(toks, stop).orderBy("word").collect()]
     assert kept == ["chicago", "city", "love"]               # "the" twice removed, others kept
+
+
+def test_command_line_profile(spark, data_dir, recs, capsys):
+    from geoscribe.__main__ import main
+
+    assert main(["profile", str(data_dir / "posts.tsv")]) == 0
+    lines = capsys.readouterr().out.splitlines()
+    assert len(lines) == 11 and lines[0] == f"number_of_tweets\t{float(len(recs))}"
+    assert main(["profile", str(data_dir / "posts.tsv"), "0.5"]) == 0
+    sampled = float(capsys.readouterr().out.splitlines()[0].split("\t")[1])
+    assert 0 < sampled < len(recs)
