@@ -82,3 +82,41 @@ def query_word_list(line: str | Column) -> Column:
     """Query words of one line: right-trim, split on blanks, lower-case, and
     drop repeats keeping the first occurrence (array_distinct keeps order)."""
     return F.array_distinct(F.transform(split_literal(rstrip(line), " "), lambda w: F.lower(w)))
+
+
+def python_float_text(c: str | Column) -> Column:
+    """A double as Python's ``repr`` writes it (the reference's output files).
+
+    Shortest digits: the first ``%.<p>e`` rendering (p = 0..16) that reads back
+    as the same double.  Notation: Python's rule, plain for decimal exponents
+    in [-4, 16) and ``d.ddde-05`` otherwise.  Meant for result sinks (a few
+    string operations per value), not for hot paths.  Known limit: for some
+    integral doubles of magnitude 1e16..1e19 Java's ``%e`` rounds twice and the
+    text can carry one digit more than Python's.
+    """
+    x = F.col(c) if isinstance(c, str) else c
+    x = x.cast("double")
+    shortest = F.coalesce(*[
+        F.when(F.format_string(f"%.{p}e", x).cast("double") == x, F.format_string(f"%.{p}e", x))
+        for p in range(17)])
+    sign = F.when(F.startswith(shortest, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    mant = F.regexp_extract(shortest, r"^-?([0-9.]+)e", 1)
+    exp = F.regexp_extract(shortest, r"e([-+][0-9]+)$", 1).cast("int")
+    digits = F.regexp_replace(mant, r"\.", "")
+    n = F.length(digits)
+    sci = F.concat(F.substring(digits, 1, 1),
+                   F.when(n > 1, F.concat(F.lit("."), F.substring(digits, 2, 1 << 20))).otherwise(F.lit("")),
+                   F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.when(F.abs(exp) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(exp).cast("string"))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)                     # -4 <= exp < 0
+    int_part = F.rpad(F.substring(digits, 1, exp + 1), exp + 1, "0")
+    frac = F.substring(digits, exp + 2, 1 << 20)
+    large = F.concat(int_part, F.lit("."), F.when(frac == "", F.lit("0")).otherwise(frac))    # 0 <= exp < 16
+    converted = (F.when((exp >= -4) & (exp < 0), small)
+                 .when((exp >= 0) & (exp < 16), large)
+                 .otherwise(sci))
+    return (F.when(x.isNull(), F.lit(None).cast("string"))
+            .when(F.isnan(x), F.lit("nan"))
+            .when(x == float("inf"), F.lit("inf"))
+            .when(x == float("-inf"), F.lit("-inf"))
+            .otherwise(F.concat(sign, converted)))

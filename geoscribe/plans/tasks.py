@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoscribe import sinks
+from geoscribe.functions.text import python_float_text
 from geoscribe.functions.time import local_hour_from_epoch_ms
 from geoscribe.operators import bayes, groups, profile, ranking, words
 from geoscribe.sources import scan_delimited, scan_query_lines, scan_word_list
@@ -121,7 +122,7 @@ def _post_profile_lines(posts: DataFrame) -> DataFrame:
     """Task 1 as ``(ord, value)`` text: counts print as integers, the rest as doubles."""
     long = task1_profile(posts)
     as_text = F.when(F.col("ord") <= 5, F.col("value").cast("bigint").cast("string")).otherwise(
-        F.col("value").cast("string"))
+        python_float_text("value"))
     return long.select("ord", as_text.alias("value"))
 
 

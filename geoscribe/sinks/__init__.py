@@ -11,11 +11,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from geoscribe.functions.text import python_float_text
 
-def tsv_line(*cols: str | Column, sep: str = "\t") -> Column:
-    """``'{}\\t{}'.format(...)`` as a column: every value cast to text."""
-    return F.concat_ws(sep, *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols])
+
+def _as_text(df: DataFrame | None, c: str | Column) -> Column:
+    col = F.col(c) if isinstance(c, str) else c
+    if df is not None and isinstance(c, str) and isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+        return python_float_text(col)          # 1e-05, not Java's 1.0E-5
+    return col.cast("string")
+
+
+def tsv_line(*cols: str | Column, sep: str = "\t", df: DataFrame | None = None) -> Column:
+    """``'{}\\t{}'.format(...)`` as a column: every value as text, doubles
+    written as Python writes them when the source DataFrame is given."""
+    return F.concat_ws(sep, *[_as_text(df, c) for c in cols])
 
 
 def write_tsv(df: DataFrame, path: str, cols: list[str], order_by: list[Column] | None = None,
@@ -23,7 +34,7 @@ def write_tsv(df: DataFrame, path: str, cols: list[str], order_by: list[Column]
     out = df
     if order_by:
         out = out.orderBy(*order_by)
-    out = out.select(tsv_line(*cols).alias("value"))
+    out = out.select(tsv_line(*cols, df=out).alias("value"))
     if single_file:
         out = out.coalesce(1)
     out.write.mode(mode).text(path)

@@ -51,3 +51,22 @@ def test_local_hour(spark, ms, off):
     df = spark.createDataFrame([(ms, off)], "ms long, off int")
     got = df.select(local_hour_from_epoch_ms("ms", "off")).first()[0]
     assert got == datetime.fromtimestamp(ms / 1000 + off, tz=timezone.utc).hour
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.floats(allow_nan=True, allow_infinity=True).filter(lambda v: not 1e16 <= abs(v) < 1e20),
+                min_size=1, max_size=60))
+def test_python_float_text_matches_repr(spark, values):
+    from geoscribe.functions.text import python_float_text
+
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(python_float_text("v")).collect()]
+    assert got == [repr(v) for v in values]
+
+
+def test_python_float_text_examples(spark):
+    from geoscribe.functions.text import python_float_text
+
+    vals = [3.197180310001877e-10, 87.20140983681473, -54.87555556, 1e-05, 0.0001, 12345678.0, 1e16, -0.0, 5e-324]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    assert [r[0] for r in df.select(python_float_text("v")).collect()] == [repr(v) for v in vals]
