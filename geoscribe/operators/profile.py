@@ -9,19 +9,29 @@ shuffles only per-partition distinct values, never raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoscribe.functions.text import word_count
 
 
+def _extreme(agg, df: DataFrame, c: str) -> Column:
+    """min/max; for floating point the sign of zero is normalised (``+ 0.0``):
+    0.0 and -0.0 compare equal, so which one an extreme returns would depend
+    on row order."""
+    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+        return agg(c) + 0.0
+    return agg(c)
+
+
 def profile_wide(df: DataFrame, text: str | None = None, distinct_cols: list[str] = (),
                  minmax_cols: list[str] = ()) -> DataFrame:
     """One row: n_rows, n_distinct_<c>..., min_<c>..., max_<c>..., avg_chars, avg_words."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     aggs += [F.count_distinct(c).alias(f"n_distinct_{c}") for c in distinct_cols]
-    aggs += [F.min(c).alias(f"min_{c}") for c in minmax_cols]
-    aggs += [F.max(c).alias(f"max_{c}") for c in minmax_cols]
+    aggs += [_extreme(F.min, df, c).alias(f"min_{c}") for c in minmax_cols]
+    aggs += [_extreme(F.max, df, c).alias(f"max_{c}") for c in minmax_cols]
     if text is not None:
         aggs += [F.avg(F.length(text)).alias("avg_chars"), F.avg(word_count(text)).alias("avg_words")]
     return df.agg(*aggs)
@@ -49,10 +59,10 @@ def post_profile(posts: DataFrame) -> DataFrame:
         F.count_distinct("country_name").alias("number_of_countries"),
         F.count_distinct("place_name").alias("number_of_places"),
         F.count_distinct("language").alias("number_of_languages"),
-        F.min("latitude").alias("minimum_latitude"),
-        F.min("longitude").alias("minimum_longitude"),
-        F.max("latitude").alias("maximum_latitude"),
-        F.max("longitude").alias("maximum_longitude"),
+        _extreme(F.min, posts, "latitude").alias("minimum_latitude"),
+        _extreme(F.min, posts, "longitude").alias("minimum_longitude"),
+        _extreme(F.max, posts, "latitude").alias("maximum_latitude"),
+        _extreme(F.max, posts, "longitude").alias("maximum_longitude"),
         F.avg(F.length("tweet_text")).alias("average_tweet_in_characters"),
         F.avg(word_count("tweet_text")).alias("average_tweet_in_words"),
     )
@@ -60,17 +70,18 @@ def post_profile(posts: DataFrame) -> DataFrame:
 
 
 # Task 8 of the reference as SQL, with its two defects fixed:
-# extremes on doubles, and languages counted from the language column.
+# extremes on doubles, and languages counted from the language column.  The
+# extremes normalise the sign of zero like ``profile_wide``.
 POST_PROFILE_SQL = """
 SELECT count(*)                     AS number_of_tweets,
        count(DISTINCT username)     AS distinct_users,
        count(DISTINCT country_name) AS distinct_countries,
        count(DISTINCT place_name)   AS distinct_places,
        count(DISTINCT language)     AS distinct_languages,
-       min(latitude)                AS minimum_latitude,
-       min(longitude)               AS minimum_longitude,
-       max(latitude)                AS maximum_latitude,
-       max(longitude)               AS maximum_longitude
+       min(latitude) + 0.0          AS minimum_latitude,
+       min(longitude) + 0.0         AS minimum_longitude,
+       max(latitude) + 0.0          AS maximum_latitude,
+       max(longitude) + 0.0         AS maximum_longitude
 FROM {view}
 """
 

@@ -17,14 +17,17 @@ def top_keys(df: DataFrame, key: str, k: int, n: str = "n") -> DataFrame:
     return count_by_key(df, key, n).orderBy(*rank_order(key, n)).limit(k)
 
 
-def semi_join_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+def semi_join_keys(df: DataFrame, keys: DataFrame, key: str, bounded: bool = True) -> DataFrame:
     """Rows of ``df`` whose key is one of ``keys``.
 
-    Only for a key set with a proven bound (the result of ``top_keys``, at most
-    ``k`` rows): that side is broadcast, so the large side is filtered where it
-    is scanned, with no shuffle.
+    ``bounded=True`` states that the key set has a proven size bound (the
+    result of ``top_keys``: at most ``k`` rows).  It is then broadcast, so the
+    large side is filtered where it is scanned, with no shuffle.  For a key
+    set that grows with the data pass ``bounded=False``: the optimizer then
+    chooses between broadcast and a shuffled semi join by its size estimate.
     """
-    return df.join(F.broadcast(keys.select(key)), on=key, how="left_semi")
+    right = keys.select(key)
+    return df.join(F.broadcast(right) if bounded else right, on=key, how="left_semi")
 
 
 def top_n_per_group(counts: DataFrame, group: str, item: str, k: int, n: str = "n",

@@ -73,7 +73,9 @@ def distinct_values(spark, d):
 
 
 def min_max(spark, d):
-    return _t(spark, d, "events").agg(F.min("value").alias("min_value"), F.max("value").alias("max_value"))
+    # "+ 0.0": the sign of a zero extreme is normalised (see profile._extreme).
+    return _t(spark, d, "events").agg((F.min("value") + 0.0).alias("min_value"),
+                                      (F.max("value") + 0.0).alias("max_value"))
 
 
 def total_length(spark, d):
@@ -465,7 +467,7 @@ ORACLE_SQL: dict[str, str] = {
                (SELECT count(DISTINCT lang) FROM documents) AS n_langs,
                (SELECT count(DISTINCT source) FROM documents) AS n_sources""",
     "distinct_values": "SELECT DISTINCT lang FROM documents",
-    "min_max": "SELECT min(value) AS min_value, max(value) AS max_value FROM events",
+    "min_max": "SELECT min(value) + 0.0 AS min_value, max(value) + 0.0 AS max_value FROM events",
     "total_length": "SELECT CAST(sum(length(text)) AS BIGINT) AS total_length FROM documents",
     "avg_text_length": """
         SELECT round(avg(length(text)), 6) AS avg_chars,

@@ -149,10 +149,10 @@ _METRICS = [
     ("number_of_countries", "count(DISTINCT country_name)"),
     ("number_of_places", "count(DISTINCT place_name)"),
     ("number_of_languages", "count(DISTINCT language)"),
-    ("minimum_latitude", "min(latitude)"),
-    ("minimum_longitude", "min(longitude)"),
-    ("maximum_latitude", "max(latitude)"),
-    ("maximum_longitude", "max(longitude)"),
+    ("minimum_latitude", "min(latitude) + 0.0"),
+    ("minimum_longitude", "min(longitude) + 0.0"),
+    ("maximum_latitude", "max(latitude) + 0.0"),
+    ("maximum_longitude", "max(longitude) + 0.0"),
     ("average_tweet_in_characters", "avg(length(tweet_text))"),
     ("average_tweet_in_words", "avg(len(string_split(tweet_text, ' ')))"),
 ]
@@ -202,9 +202,9 @@ ORACLE_SQL = {
         WITH {_POSTS_CTE}
         SELECT count(*) AS number_of_tweets, count(DISTINCT username) AS distinct_users,
                count(DISTINCT country_name) AS distinct_countries, count(DISTINCT place_name) AS distinct_places,
-               count(DISTINCT language) AS distinct_languages, min(latitude) AS minimum_latitude,
-               min(longitude) AS minimum_longitude, max(latitude) AS maximum_latitude,
-               max(longitude) AS maximum_longitude FROM posts""",
+               count(DISTINCT language) AS distinct_languages, min(latitude) + 0.0 AS minimum_latitude,
+               min(longitude) + 0.0 AS minimum_longitude, max(latitude) + 0.0 AS maximum_latitude,
+               max(longitude) + 0.0 AS maximum_longitude FROM posts""",
     "post_classify": f"""
         WITH {_POSTS_CTE},
         q AS (SELECT DISTINCT event_type AS query_id, lower(event_type) AS word FROM events),
