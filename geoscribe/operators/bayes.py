@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoscribe.functions.text import lower_words
+from geoscribe.operators.joins import checked_broadcast
 from geoscribe.session import materialize
 
 
@@ -121,11 +122,13 @@ def presence_for_vocabulary(train: DataFrame, cls: str, text: str, vocab: DataFr
 
     Each text contributes each of its distinct words once (presence).  The
     vocabulary semi join sits below the partial aggregate, so only query words
-    reach the shuffle; the optimizer broadcasts the vocabulary when its size
-    estimate allows it.
+    reach the shuffle.  The vocabulary is broadcast behind a size check (its
+    static estimate is that of the whole query table), so document words are
+    never shuffled by word; beyond the bound it is a shuffled semi join.
     """
     doc_words = train.select(F.col(cls), F.explode(F.array_distinct(lower_words(text))).alias("word"))
-    return (doc_words.join(vocab.select("word").distinct(), on="word", how="left_semi")
+    vocab_words = checked_broadcast(vocab.select("word").distinct())
+    return (doc_words.join(vocab_words, on="word", how="left_semi")
             .groupBy(cls, "word").agg(F.count(F.lit(1)).alias("d")))
 
 

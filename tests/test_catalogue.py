@@ -73,3 +73,16 @@ def test_results_do_not_depend_on_session_time_zone(spark, name):
             assert sorted(map(tuple, fn(spark, SF_SMALL).collect())) == base, tz
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("name", ["stopword_anti", "nb_batch", "word_freq_topk"])
+def test_tokens_are_never_shuffled_raw_by_word(spark, name):
+    # Stop lists and query vocabularies are broadcast behind a size check, so
+    # the only shuffle on a word key carries partial aggregates.
+    df = entry.queries()[name](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning(word" in line:
+            assert "Aggregate(" in lines[i + 1], "\n".join(lines[i:i + 3])
