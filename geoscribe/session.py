@@ -42,7 +42,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, creating a local one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect client: only the session conf is visible
+        configured = spark.conf.get(CHECKPOINT_CONF, None)
+        if not configured:
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder") from None
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")

@@ -20,8 +20,12 @@ def spread(df: DataFrame, keys: list[str] = (), min_partitions: int | None = Non
     extra shuffle.  Column pruning and filters still reach the scan below the
     repartition.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # no SparkContext on this client (Spark Connect): leave the plan as is
+        return df
+    if not narrow:
         return df
     # Two tasks per core even out texts of very different lengths.
     target = min_partitions or 2 * cores
