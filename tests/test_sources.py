@@ -39,3 +39,20 @@ def test_query_lines_all_lines(spark, tmp_path):
     path.write_text("A b a\nsecond  LINE \n\n", encoding="utf-8")
     rows = scan_query_lines(spark, str(path), first_line_only=False).orderBy("query_id").collect()
     assert [r.words for r in rows] == [["a", "b"], ["second", "", "line"], [""]]
+
+
+def test_single_file_sink_is_globally_sorted(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from geoscribe import sinks
+    from geoscribe.sources import table
+
+    ev = table(spark, SF_SMALL, "events").repartition(16).select("event_id", "value")
+    out = tmp_path / "sorted"
+    sinks.write_tsv(ev, str(out), ["value", "event_id"], order_by=[F.col("value").desc(), F.col("event_id")])
+    parts = sorted(out.glob("part-*"))
+    assert len(parts) == 1
+    rows = [line.split("\t") for line in parts[0].read_text(encoding="utf-8").splitlines()]
+    keys = [(-float(v), int(i)) for v, i in rows]
+    assert len(keys) == ev.count() and keys == sorted(keys)
