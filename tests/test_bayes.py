@@ -110,3 +110,14 @@ def test_fold_reproduces_the_published_probability(spark):
     df = spark.createDataFrame([(48, 2715066, [2, 1, 1])], "n long, total long, d array<long>")
     p = df.select(bayes.fold_probability(F.col("n") / F.col("total"), F.col("d"), F.col("n"))).first()[0]
     assert p == 3.197180310001877e-10
+
+
+def test_long_literal_query_uses_candidate_path(posts, recs):
+    words = list(fixtures.VOCAB) + [f"w{i}" for i in range(60)]          # > 64 distinct words
+    got = {r.place_name: r.p for r in bayes.score_words(posts, "place_name", "tweet_text", words).collect()
+           if r.place_name is not None}
+    assert got == fixtures.model_scores(recs, words)
+    short = ["love", "the"]
+    got_short = {r.place_name: r.p for r in bayes.score_words(posts, "place_name", "tweet_text", short).collect()
+                 if r.place_name is not None}
+    assert got_short == fixtures.model_scores(recs, short)
