@@ -54,7 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF)
     if not configured:
-        # Only reached outside a cluster (tests, local bench): nothing was named.
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not shared by executors on a cluster.
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder on shared storage")
+        # Local mode (tests, local bench) with nothing named: a local folder is shared.
         configured = tempfile.mkdtemp(prefix="geoscribe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
