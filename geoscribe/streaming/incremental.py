@@ -26,8 +26,9 @@ def running_group_counts(posts: DataFrame, key: str) -> DataFrame:
 
 
 def running_word_counts(posts: DataFrame, text: str, stop=(), by: list[str] = ()) -> DataFrame:
-    """Token counts so far, stop words removed (literal list only: a stream
-    cannot be anti-joined with a static table in complete mode cheaply)."""
+    """Token counts so far, stop words removed.  The stop words are a literal
+    list here (an ``IN`` filter in each micro-batch, no join with a static
+    table)."""
     toks = words.token_table(posts, text, keep=list(by))
     if stop:
         toks = words.remove_stopwords(toks, list(stop))
