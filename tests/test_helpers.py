@@ -45,6 +45,7 @@ def test_scratch_output_lives_under_the_checkpoint_dir(spark):
     assert p1.startswith(base + "/") and p1 != p2
     df = table(spark, SF_SMALL, "nation")
     m = materialize(df, "nation_copy")
+
     def norm(uri: str) -> str:          # file:/x and file:///x name the same folder
         return "/" + uri.split(":", 1)[-1].lstrip("/") if uri.startswith("file:") else uri
 
