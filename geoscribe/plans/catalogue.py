@@ -48,7 +48,8 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "documents"), ["doc_id"])
 
 
-def _props_k(events: DataFrame):
+def _props_k():
+    """``props.k`` of an event as a double (the longitude stand-in)."""
     return F.get_json_object("props", "$.k").try_cast(T.DoubleType())
 
 
@@ -152,13 +153,13 @@ def _round_centroid(df: DataFrame) -> DataFrame:
 
 def group_centroid(spark, d):
     ev = _t(spark, d, "events")
-    c = groups.group_centroid(ev, "user_id", "value", _props_k(ev), min_n=SMALL_MAX + 1)
+    c = groups.group_centroid(ev, "user_id", "value", _props_k(), min_n=SMALL_MAX + 1)
     return _round_centroid(c)
 
 
 def key_join_aggregates(spark, d):
     ev = _t(spark, d, "events")
-    c = groups.centroid_by_join(ev, "user_id", "value", _props_k(ev), max_small=SMALL_MAX)
+    c = groups.centroid_by_join(ev, "user_id", "value", _props_k(), max_small=SMALL_MAX)
     return _round_centroid(c)
 
 

@@ -27,13 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geoscribe.operators import words
 from geoscribe.plans import tasks
 from geoscribe.sources import table
 
 # The filters standing in for the reference's 'US' / 'city'.
 POST_CODE = "AMERICA"
 POST_PLACE_TYPE = "building"
-POST_STOP = ("the", "of", "and", "to", "is", "in")
+POST_STOP = words.STOP_WORDS
 
 
 def _epoch():
