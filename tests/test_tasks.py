@@ -133,3 +133,17 @@ def test_command_line_profile(spark, data_dir, recs, capsys):
     assert main(["profile", str(data_dir / "posts.tsv"), "0.5"]) == 0
     sampled = float(capsys.readouterr().out.splitlines()[0].split("\t")[1])
     assert 0 < sampled < len(recs)
+
+
+def test_golden_invariants(posts, recs):
+    # The cross-checks that hold on the reference's committed outputs.
+    counts = dict((r.country_name, r.n) for r in tasks.task2_country_counts(posts).collect())
+    peaks = {r.country_name: r.n for r in tasks.task4_peak_hour(posts).collect()}
+    timed = {r["country_name"] for r in recs if r["utc_time"] is not None and r["timezone_offset"] is not None}
+    assert set(peaks) == timed <= set(counts)                       # Task 4 keys are Task 2 keys
+    assert all(peaks[k] <= counts[k] for k in peaks)                 # a peak never exceeds its group
+    cities = tasks.task5_us_city_counts(posts).collect()
+    us_rows = sum(1 for r in recs if r["country_code"] == "US")
+    assert sum(r.n for r in cities) <= us_rows                       # US-city rows within US rows
+    centroids = {r.country_name for r in tasks.task3_country_centroids(posts).collect()}
+    assert centroids == {k for k, n in counts.items() if n >= 11}    # boundary: 10 out, 11 in
