@@ -147,3 +147,11 @@ def test_golden_invariants(posts, recs):
     assert sum(r.n for r in cities) <= us_rows                       # US-city rows within US rows
     centroids = {r.country_name for r in tasks.task3_country_centroids(posts).collect()}
     assert centroids == {k for k, n in counts.items() if n >= 11}    # boundary: 10 out, 11 in
+
+
+def test_city_counts_parts_concatenate_in_order(spark, data_dir, tmp_path, recs):
+    out = tmp_path / "res"
+    tasks.run_phase1(spark, str(data_dir / "posts.tsv"), str(data_dir / "stop_words.txt"), str(out))
+    lines = [ln for part in sorted((out / "result_5.tsv").glob("part-*"))
+             for ln in part.read_text(encoding="utf-8").splitlines()]
+    assert lines == [f"{k}\t{n}" for k, n in fixtures.model_us_city_counts(recs)]
