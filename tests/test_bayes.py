@@ -121,3 +121,13 @@ def test_long_literal_query_uses_candidate_path(posts, recs):
     got_short = {r.place_name: r.p for r in bayes.score_words(posts, "place_name", "tweet_text", short).collect()
                  if r.place_name is not None}
     assert got_short == fixtures.model_scores(recs, short)
+
+
+def test_classifier_output_prints_probabilities_as_python_does(spark, data_dir, tmp_path, recs):
+    q = tmp_path / "q2.txt"
+    q.write_text("love the city\n", encoding="utf-8")
+    out = tmp_path / "out2.tsv"
+    tasks.run_classifier(spark, str(data_dir / "posts.tsv"), str(q), str(out))
+    lines = next(out.glob("part-*")).read_text(encoding="utf-8").splitlines()
+    best = fixtures.model_best(fixtures.model_scores(recs, ["love", "the", "city"]))
+    assert lines == [f"{k}\t{best[k]!r}" for k in sorted(best)]
