@@ -8,7 +8,8 @@ tables (stand-ins: text -> ``documents.text``, place/class ->
 ``props.k``).  Every query reads whole tables.  Column names and types are the
 same on the Spark side and in the DuckDB SQL; averages are rounded to 6
 places on both sides; probabilities are compared unrounded because the fold
-order is the same.
+order is the same.  The reference's own tasks, run on a post table derived
+from the same tables, are added from ``plans.posts`` (the ``post_*`` keys).
 """
 
 from __future__ import annotations
