@@ -8,9 +8,11 @@ are tested against brute-force versions in ``tests/llm``.
 from __future__ import annotations
 
 from geoscribe.llm.mixing import op8_pivotal_mix
+from geoscribe.llm.quality import op1_mcd_quality
 from geoscribe.llm.sharding import op9_interleaved_shards
 
 QUERIES = {f.__name__: f for f in (
+    op1_mcd_quality,
     op8_pivotal_mix,
     op9_interleaved_shards,
 )}
