@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoscribe.llm.common import documents
+from geoscribe.llm.common import documents, materialize
 
 FIT_DOCS = 2_000
 TOP_WORDS = 10_000
@@ -34,7 +34,9 @@ TOP_GRAMS = 5_000
 LONGEST = 5
 SMOOTH = 0.5
 FOLDS, HELD_OUT = 4, 2
-MEMO = 100_000
+#: Log frequencies of unseen words that a task keeps, and words summed at a time (the least room of that cache).
+MEMO_VALUES = 1_000_000
+BLOCK_WORDS = 1_000
 UNDETERMINED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -92,48 +94,61 @@ class Model:
                                 np.log((c + SMOOTH) / (total + SMOOTH * max(len(items), 1)))))
 
     def scorer(self) -> Callable[[str | None], tuple[str, float]]:
-        words, log_words = self.tables[0]
-        none = np.zeros(len(self.langs))
-        memo: dict[str, np.ndarray] = {}
-
-        def unseen(word: str) -> np.ndarray:
-            for n in range(LONGEST, 0, -1):
-                index, logs = self.tables[n]
-                rows = [r for r in map(index.get, _grams(word, n)) if r is not None]
-                if rows:
-                    return logs[rows].mean(0)
-            return none
+        known, log_words = self.tables[0]
+        rows = _Rows(known, log_words, self._unseen, max(1_000, MEMO_VALUES // max(len(self.langs), 1)))
 
         def score(text: str | None) -> tuple[str, float]:
             found = words_of(text)
             if not found or not self.langs:
                 return UNDETERMINED, 0.0
-            rows, times, total = [], [], none.copy()
-            for word, k in Counter(found).items():
-                row = words.get(word)
-                if row is not None:
-                    rows.append(row)
-                    times.append(k)
-                    continue
-                v = memo.get(word)
-                if v is None:
-                    if len(memo) >= MEMO:
-                        memo.clear()                        # a cache only: words are scored again
-                    v = memo[word] = unseen(word)
-                total += k * v
-            if rows:
-                total += np.array(times) @ log_words[rows]
+            total = np.zeros(len(self.langs))
+            for i in range(0, len(found), BLOCK_WORDS):
+                total += rows.total(found[i:i + BLOCK_WORDS])
             best = int(total.argmax())
             return self.langs[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
         return score
 
+    def _unseen(self, word: str) -> np.ndarray:
+        for n in range(LONGEST, 0, -1):
+            index, logs = self.tables[n]
+            at = [r for r in map(index.get, _grams(word, n)) if r is not None]
+            if at:
+                return logs[at].mean(0)
+        return np.zeros(len(self.langs))
+
+
+class _Rows(dict):
+    """Word -> row of a matrix of log frequencies; rows of unseen words are added as they come.
+
+    The added rows are a cache: when it is full they are dropped and computed again.
+    """
+
+    def __init__(self, known: dict[str, int], logs: np.ndarray, unseen: Callable[[str], np.ndarray], room: int):
+        super().__init__(known)
+        self.known, self.unseen, self.room = known, unseen, room
+        self.matrix = np.concatenate([logs, np.zeros((room, logs.shape[1]))])
+
+    def __missing__(self, word: str) -> int:
+        row = len(self)
+        self.matrix[row] = self.unseen(word)
+        self[word] = row
+        return row
+
+    def total(self, words: list[str]) -> np.ndarray:
+        if len(self) + len(words) > len(self.matrix):
+            self.clear()
+            self.update(self.known)
+        return self.matrix[list(map(self.__getitem__, words))].sum(0)
+
 
 def fit(train: DataFrame, fit_docs: int = FIT_DOCS, top_words: int = TOP_WORDS, top_grams: int = TOP_GRAMS) -> Model:
     """Fit on ``(id, lang, text)`` rows; null languages and texts must be gone."""
     pick = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     ids = train.select("id", "lang").withColumn("_r", F.row_number().over(pick)).where(F.col("_r") <= fit_docs)
-    sample = train.join(ids.select("id", "lang").distinct(), ["id", "lang"], "left_semi").select("lang", "text")
+    # At most fit_docs ids per language: a bounded side, so texts are filtered where they are scanned.
+    sample = (train.join(F.broadcast(ids.select("id", "lang").distinct()), ["id", "lang"], "left_semi")
+              .select("lang", "text"))
 
     def summed(df: DataFrame) -> DataFrame:
         return df.groupBy("lang", "item").agg(F.sum("c").alias("c"))
@@ -142,9 +157,10 @@ def fit(train: DataFrame, fit_docs: int = FIT_DOCS, top_words: int = TOP_WORDS,
         best = Window.partitionBy("lang", *keys).orderBy(F.col("c").desc(), "item")
         return df.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
 
-    words = summed(sample.mapInArrow(_count_words, _COUNTED)).withColumn("n", F.lit(0))
+    words = materialize(summed(sample.mapInArrow(_count_words, _COUNTED)), "lang_words").withColumn("n", F.lit(0))
     grams = summed(words.select("lang", "item", "c").mapInArrow(_count_grams, _COUNTED)).withColumn(
         "n", F.length("item"))
+    grams = materialize(grams, "lang_grams")
     both = words.unionByName(grams)
     totals = {(r.lang, r.n): r.s for r in both.groupBy("lang", "n").agg(F.sum("c").alias("s")).collect()}
     kept = (top(words, ["n"], top_words).unionByName(top(grams, ["n"], top_grams))
