@@ -8,8 +8,10 @@ are tested against brute-force versions in ``tests/llm``.
 from __future__ import annotations
 
 from geoscribe.llm.langid import op4_word_backoff_language
+from geoscribe.llm.licenses import op10_license_paragraphs
 from geoscribe.llm.mixing import op8_pivotal_mix
 from geoscribe.llm.quality import op1_mcd_quality
+from geoscribe.llm.secrets import op7_novelty_secrets
 from geoscribe.llm.sharding import op9_interleaved_shards
 from geoscribe.llm.url_ratio import op2_url_model_ratio
 
@@ -17,8 +19,10 @@ QUERIES = {f.__name__: f for f in (
     op1_mcd_quality,
     op2_url_model_ratio,
     op4_word_backoff_language,
+    op7_novelty_secrets,
     op8_pivotal_mix,
     op9_interleaved_shards,
+    op10_license_paragraphs,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
