@@ -4,8 +4,8 @@ Paragraphs (lines) become sparse sets of word 2- and 3-grams over those of the
 notices below.  Multinomial logistic regression (Spark ML, in the JVM)
 separates the licence families, an ``unknown`` licence and ``none``.  It is
 trained on notices with words dropped and cut, against at most
-``NEGATIVE_DOCS`` documents of the corpus (smallest id hashes) that hold no
-licence cue.  A predicted family counts when its probability passes a
+``NEGATIVE_DOCS`` documents of the corpus (smallest id hashes), less
+those that hold a licence cue.  A predicted family counts when its probability passes a
 threshold, calibrated so that held-out texts of families the model does not
 know stay unknown, and when the paragraph holds at least ``MIN_CONTAINMENT`` of
 the 3-grams of a notice of that family; otherwise the paragraph is ``unknown``.
@@ -175,8 +175,9 @@ class LicenseModel:
     def __init__(self, corpus: DataFrame):
         spark = corpus.sparkSession
         rows = spark.createDataFrame(training_paragraphs(), "text string, label string, held boolean")
-        sample = (corpus.select("id", "text").where(F.col("text").isNotNull() & ~F.col("text").rlike(_CUE))
-                  .orderBy(F.xxhash64("id"), "id").limit(NEGATIVE_DOCS))
+        # The few ids are chosen without reading texts; at most NEGATIVE_DOCS of them are broadcast.
+        chosen = corpus.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(NEGATIVE_DOCS)
+        sample = corpus.join(F.broadcast(chosen), "id", "left_semi").where(~F.col("text").rlike(_CUE))
         plain = sample.select(F.explode(F.split("text", "\n")).alias("text"), F.lit(NONE).alias("label"),
                               F.lit(False).alias("held"))
         self.classes = [NONE, UNKNOWN, *NOTICES]
@@ -187,10 +188,10 @@ class LicenseModel:
         self.vectorizer.setBinary(True)
         data = rows.unionByName(plain).withColumn("words", _words(F.col("text"))).where(F.size("words") > 0)
         data = data.select("label", "held", number.cast("double").alias("y"), "words", _terms(F.col("words")).alias("terms"))
-        data = materialize(data, "license_training")
+        data = materialize(self.vectorizer.transform(data).drop("terms"), "license_training")
         fitted = LogisticRegression(featuresCol="features", labelCol="y", family="multinomial", maxIter=60,
                                     regParam=0.002, elasticNetParam=0.95, standardization=False).fit(
-            self.vectorizer.transform(data.where(~F.col("held"))))
+            data.where(~F.col("held")))
         self.model = fitted
         self.words = self._filter_words(data, vocabulary)
         self.threshold = self._calibrate(data.where("held"))
@@ -221,8 +222,8 @@ class LicenseModel:
         return sorted(words)
 
     def probabilities(self, rows: DataFrame) -> DataFrame:
-        """Add ``p``, an array of class probabilities, to rows with ``terms``."""
-        scored = self.model.transform(self.vectorizer.transform(rows))
+        """Add ``p``, an array of class probabilities, to rows with ``features``."""
+        scored = self.model.transform(rows)
         return scored.withColumn("p", vector_to_array("probability")).drop(
             "features", "rawPrediction", "probability", "prediction")
 
@@ -270,7 +271,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         paragraphs = paragraphs.where(F.lower("line").rlike(cue))
     terms = paragraphs.withColumn("words", _words(F.col("line"))).where(F.size("words") > 0).select(
         "id", "paragraph", "words", _terms(F.col("words")).alias("terms"))
-    hits = model.verdict(terms).where("is_license").withColumn(
+    # Written once: Catalyst would otherwise inline the n-grams into every use of the probabilities.
+    features = materialize(model.vectorizer.transform(terms).drop("terms"), "license_features")
+    hits = model.verdict(features).where("is_license").withColumn(
         "containment", _containment(F.col("words"), F.col("family")))
     known = (F.col("p_family") >= model.threshold) & (F.col("containment") >= min_containment)
     return hits.select(F.col("id").alias(id_col), "paragraph", F.when(known, F.col("family")).otherwise(UNKNOWN).alias("family"),
