@@ -11,23 +11,24 @@ the smallest document id that is reachable by links.
    by one global order of shingles.  A partner within ``r`` misses at most a
    fifth of the ``n`` shingles, so a text placed with its first ``n // 5 + 1``
    pivots meets each partner in some region.  The order takes the hash, but puts
-   shingles of more than ``HOT`` texts last, so that a passage which many texts
-   share makes no region of unrelated texts.  (A text that has too few other
-   shingles near the front is marked ``over`` and also stays in hot regions.)
-3. *Recursion.*  In each region some members become pivots and their exact
-   distances to members of other components are taken.  Members within ``r`` of
-   a pivot form its ball and join its component.  By the triangle inequality a
-   member of the ball can only link with texts within ``2 r`` of the pivot: the
-   next regions are each ball with that window, and what lies in no ball.
-   Pivots leave; a region whose members are all in one component is done.
-   Distances need no text where sizes or a parity sketch of the sets already
-   prove a lower bound.
+   shingles that are common in one of ``SAMPLE`` texts last, so that a passage
+   which many texts share makes no region of unrelated texts.  (Any order is
+   exact; the sample, kept as a bitmap of fixed size, only saves work.)
+3. *Recursion.*  In each region some members of smaller components become pivots
+   and their distances to the members of other components are taken.  Members
+   within ``r`` join the pivot's component.  A member's distance to the region's
+   first pivot is its ring: by the triangle inequality texts whose rings are more
+   than ``r`` apart cannot link, so later pivots are only paired with the window
+   of rings around their own.  Pivots leave, and the region goes on with its
+   other members until all are in one component.  Distances need no text where
+   sizes or a parity sketch of the sets already prove that they are too large.
 4. Components are merged after each round by contracting the new links.
 
-A region of ``m`` members yields at most ``PIVOTS * m`` pairs a round, and one
-pivot settles a whole ball, so groups of copies of any size cost work in
-proportion to their members; nothing is capped and the join is exact.  All
-state lives in DataFrames; links and components are never collected.
+A region of ``m`` members yields at most ``PIVOTS[-1] * m`` pairs a round, and a
+group of copies becomes one component within a few pivots, so groups of any
+size cost work in proportion to their members; nothing is capped and the join
+is exact.  All state lives in DataFrames; links and components are never
+collected.
 
 Words are runs of non-white space with A-Z in lower case.  A text with fewer
 than five words is one shingle; a null or empty text has an empty set and links
@@ -50,8 +51,12 @@ from geoscribe.llm.common import ASCII_LOWER, WORD, documents, materialize
 from geoscribe.operators.joins import checked_broadcast
 
 SHINGLE = 5
-HOT = 48
-FIRST_PIVOTS, PIVOTS = 1, 16
+#: Rings that are further apart than a link (with room for rounding) cannot hold linked texts.
+RING = 0.2 + 1e-9
+SAMPLE, COMMON = 16, 4
+BITMAP_BITS = 1 << 26
+#: Pivots of a region in each round; the last number holds for all further ones.
+PIVOTS = (1, 32, 64, 128)
 SALT_ROWS = 500
 MEMO = 300_000
 MAX_BROADCAST_ROWS = 1_000_000
@@ -86,36 +91,62 @@ def digest(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def prefix_length(n):
-    return n // 5 + 1
+_NAMES = ("id", "n", "u", "k0", "k1", "k2", "k3", "sample")
 
 
-def front_length(n):
-    """Shingles kept per text: the prefix, and some to stand in for hot ones."""
-    return prefix_length(n) + prefix_length(n) // 2 + 8
-
-
-_NAMES = ("id", "n", "u", "k0", "k1", "k2", "k3", "front")
+def _arrays(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(f) for f in parts])]).astype(np.int32)
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo = _WordHashes()
     for b in batches:
-        n, u, sketch, front = [], [], [], []
+        n, u, sketch, sample = [], [], [], []
         for t in b.column("text"):
             s = shingle_set(t.as_py(), memo)
             n.append(len(s))
             u.append(digest(s))
             odd = np.bincount((s >> np.uint64(8)) & np.uint64(255), minlength=256) & 1
             sketch.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
-            front.append(s[:front_length(len(s))].view(np.int64))
+            sample.append(s if u[-1] % SAMPLE == 0 else s[:0])
         parts = np.stack(sketch) if sketch else np.zeros((0, 4), np.int64)
-        offsets = np.concatenate([[0], np.cumsum([len(f) for f in front])]).astype(np.int32)
-        flat = np.concatenate(front) if front else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [b.column("id"), pa.array(n, pa.int64()), pa.array(u, pa.int64()),
-             *(pa.array(np.ascontiguousarray(parts[:, i])) for i in range(4)),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=list(_NAMES))
+             *(pa.array(np.ascontiguousarray(parts[:, i])) for i in range(4)), _arrays(sample)], names=list(_NAMES))
+
+
+def _prefixes(bitmap: np.ndarray):
+    """The first ``n // 5 + 1`` shingles of each text, common ones last."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = _WordHashes()
+        for b in batches:
+            u, prefix = [], []
+            for t in b.column("text"):
+                s = shingle_set(t.as_py(), memo)
+                bit = s & np.uint64(BITMAP_BITS - 1)
+                common = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                k = len(s) // 5 + 1
+                first = s[~common][:k]
+                prefix.append(first if len(first) == k else np.concatenate([first, s[common][:k - len(first)]]))
+                u.append(digest(s))
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(u, pa.int64()), _arrays(prefix)],
+                                             names=["id", "u", "prefix"])
+
+    return run
+
+
+def common_bitmap(nodes: DataFrame) -> np.ndarray:
+    """Bits of shingles that several sampled texts hold; at most ``BITMAP_BITS / 32`` rows reach the driver."""
+    common = (nodes.select(F.explode("sample").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c"))
+              .where(F.col("c") >= COMMON))
+    bit = F.col("s").bitwiseAND(F.lit(BITMAP_BITS - 1))
+    words = (common.select(F.shiftright(bit, 5).alias("word"), F.expr("shiftleft(1L, cast(s & 31 as int))").alias("bits"))
+             .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
+    out = np.zeros(BITMAP_BITS // 32, np.uint32)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
+    return out.view(np.uint8)
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,26 +203,20 @@ def contract(edges: DataFrame) -> DataFrame:
 
 # --- regions -----------------------------------------------------------------------
 
-def first_regions(nodes: DataFrame) -> DataFrame:
-    """``(reg, hot, u, n, over)``: texts placed with their first pivots, regions of one text left out."""
-    rows = nodes.select("u", "n", F.posexplode("front").alias("r", "s"))
-    shared = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("s"))).where(F.col("c") > 1)
-    shared = materialize(shared.select("s", "u", "n", "r", (F.col("c") > HOT).alias("hot")), "shared_shingles")
-    hots = shared.where("hot").groupBy("u").agg(F.collect_list("r").alias("hots"))       # as long as a front at most
-    k = F.expr("n div 5 + 1")
-    front = F.least(F.col("n"), k + F.expr("(n div 5 + 1) div 2 + 8"))
-    n_hot = F.coalesce(F.size("hots"), F.lit(0))
-    rows = shared.join(hots, "u", "left").withColumn("over", F.coalesce(front - n_hot < k, F.lit(False)))
-    passed = F.coalesce(F.size(F.filter("hots", lambda x: x < F.col("r"))), F.lit(0))
-    stays = F.when(F.col("hot"), F.col("r") < k).otherwise(F.col("over") | (F.col("r") - passed < k))
-    rows = rows.where(stays).select(F.col("s").alias("reg"), "hot", "u", "n", "over")
+def first_regions(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(reg, u, n)``: texts placed with their first pivots, regions of one text left out."""
+    kind = texts.schema["id"].dataType.simpleString()
+    prefixes = texts.mapInArrow(_prefixes(common_bitmap(nodes)), f"id {kind}, u bigint, prefix array<bigint>")
+    rows = (nodes.select("id", "u", "n").join(prefixes, ["id", "u"]).dropDuplicates(["id", "u"])
+            .select("u", "n", F.explode("prefix").alias("reg")))
+    shared = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("reg"))).where(F.col("c") > 1)
+    shared = materialize(shared.select("reg", "u", "n"), "shared_shingles")
     # Neighbouring shingles make regions with the same members; one of each kind stays.
-    kinds = rows.groupBy("reg").agg(
+    kinds = shared.groupBy("reg").agg(
         F.count(F.lit(1)).alias("c"), F.sum(F.shiftright(F.xxhash64("u"), 20)).alias("h1"),
-        F.bit_xor(F.xxhash64(F.lit(1), "u")).alias("h2"), F.max("hot").alias("hot"), F.max("over").alias("any_over"))
-    kinds = kinds.where((F.col("c") > 1) & (~F.col("hot") | F.col("any_over")))
-    chosen = kinds.groupBy("c", "h1", "h2", "hot").agg(F.min("reg").alias("reg")).select("reg")
-    return rows.join(chosen, "reg", "left_semi")
+        F.bit_xor(F.xxhash64(F.lit(1), "u")).alias("h2"))
+    chosen = kinds.groupBy("c", "h1", "h2").agg(F.min("reg").alias("reg")).select("reg")
+    return shared.join(chosen, "reg", "left_semi").select("*", F.lit(0.0).alias("ring_lo"), F.lit(1.0).alias("ring_hi"))
 
 
 def _distance(both: Column, a: Column, b: Column) -> Column:
@@ -218,48 +243,46 @@ def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
 def _pivots(members: DataFrame, count: int) -> DataFrame:
     """``(reg, pivots)`` of regions that still have members of different components.
 
-    One pivot per hash class, the smallest: partial aggregates, whatever the
-    size of a region.  In hot regions only ``over`` texts need pairs.
+    The region's largest component needs no pivots; at most ``count`` of the rest
+    are taken, by hash.
     """
-    able = ~F.col("hot") | F.col("over")
-    item = F.struct("u", "c", "n")
-    picks = [F.min(F.when(able & (F.pmod(F.col("u"), F.lit(count)) == j), item)).alias(f"p{j}") for j in range(count)]
-    found = members.groupBy("reg").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), *picks)
-    pivots = F.filter(F.array(*[f"p{j}" for j in range(count)]), lambda x: x.isNotNull())
-    return found.where(F.col("lo") != F.col("hi")).select("reg", pivots.alias("pivots")).where(F.size("pivots") > 0)
+    parts = members.groupBy("reg", "c").agg(F.count(F.lit(1)).alias("k"))
+    largest = parts.groupBy("reg").agg(F.max(F.struct("k", "c"))["c"].alias("largest"), F.count(F.lit(1)).alias("parts"))
+    largest = largest.where(F.col("parts") > 1).select("reg", "largest")
+    order = Window.partitionBy("reg").orderBy(F.xxhash64("u"), "u")       # limited per task before the exchange
+    rest = (members.join(largest, "reg").where(F.col("c") != F.col("largest"))
+            .withColumn("r", F.row_number().over(order)).where(F.col("r") <= count))
+    return rest.groupBy("reg").agg(F.collect_list(F.struct("u", "c", "n", "ring_lo", "ring_hi")).alias("pivots"))
 
 
 def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """``(u, c)`` for the nodes that meet another one in some region.
 
-    ``nodes``: ``(u, id, n, k0..k3, front)``; ``texts``: ``(id, text)``.
+    ``nodes``: ``(u, id, n, k0..k3, sample)``; ``texts``: ``(id, text)``.
     """
-    regions = materialize(first_regions(nodes), "regions")
+    regions = materialize(first_regions(nodes, texts), "regions")
     comps = materialize(regions.select("u").distinct().withColumn("c", F.col("u")), "components")
     sketch = nodes.select("u", "k0", "k1", "k2", "k3")
     level = 0
     while not regions.isEmpty():
         members = regions.join(comps, "u")
-        picked = materialize(_pivots(members, FIRST_PIVOTS if level == 0 else PIVOTS), "pivots")
-        pairs = (members.join(picked, "reg").select("reg", "hot", "u", "n", "over", "c", F.explode("pivots").alias("q"))
-                 .where(F.col("u") != F.col("q.u"))
-                 .select("reg", "hot", "u", "n", "over", F.col("q.u").alias("p"), F.col("q.n").alias("pn"),
-                         (F.col("c") != F.col("q.c")).alias("apart")))
-        pairs = materialize(pairs, "region_pairs")
-
-        # Lower bounds from sizes and parity sketches, then exact sizes for what may link.
+        picked = materialize(_pivots(members, PIVOTS[min(level, len(PIVOTS) - 1)]), "pivots")
         small, large = F.least("n", "pn"), F.greatest("n", "pn")
-        distinct = pairs.where(F.col("apart")).select("p", "u", "pn", "n").distinct().where(5 * small >= 4 * large)
+        pairs = (members.join(picked, "reg").select("reg", "u", "n", "c", "ring_lo", "ring_hi", F.explode("pivots").alias("q"))
+                 .where((F.col("u") != F.col("q.u")) & (F.col("c") != F.col("q.c"))
+                        & (F.col("ring_lo") <= F.col("q.ring_hi") + RING) & (F.col("q.ring_lo") <= F.col("ring_hi") + RING))
+                 .select("reg", "u", "n", F.col("q.u").alias("p"), F.col("q.n").alias("pn")))
+        # Lower bounds from sizes and parity sketches, then exact sizes for what may link.
+        distinct = pairs.where(5 * small >= 4 * large).select("p", "u", "pn", "n").distinct()
         left = sketch.select(F.col("u").alias("p"), *[F.col(f"k{i}").alias(f"q{i}") for i in range(4)])
         differing = sum((F.bit_count(F.col(f"k{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(4)), F.lit(0))
-        bounded = distinct.join(sketch, "u").join(left, "p").withColumn("diff", differing).select(
-            "p", "u", "pn", "n", "diff")
+        total = F.col("n") + F.col("pn")
+        bounded = distinct.join(sketch, "u").join(left, "p").where(9 * differing <= total).select("p", "u", "pn", "n")
         bounded = materialize(bounded, "bounded_pairs")
-        exact = verify(bounded.where(9 * F.col("diff") <= F.col("n") + F.col("pn")).select("p", "u"), nodes, texts)
-        known = bounded.join(exact, ["p", "u"], "left").select(
-            "p", "u", F.when(F.col("both").isNotNull(), _distance(F.col("both"), F.col("n"), F.col("pn")))
-            .otherwise(2 * F.col("diff") / (F.col("n") + F.col("pn") + F.col("diff"))).alias("d"),
-            F.coalesce(5 * F.col("both") >= 4 * (F.col("n") + F.col("pn") - F.col("both")), F.lit(False)).alias("linked"))
+        exact = verify(bounded.select("p", "u"), nodes, texts)
+        known = bounded.join(exact, ["p", "u"]).select(
+            "p", "u", _distance(F.col("both"), F.col("n"), F.col("pn")).alias("d"),
+            (5 * F.col("both") >= 4 * (total - F.col("both"))).alias("linked"))
         known = materialize(known, "pair_distances")
 
         ends = comps.select(F.col("u").alias("p"), F.col("c").alias("a"))
@@ -268,23 +291,16 @@ def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         comps = materialize(comps.join(roots.withColumnRenamed("v", "c"), "c", "left").select(
             "u", F.coalesce("root", "c").alias("c")), "components")
 
-        # Balls with their windows, and what lies in no ball; pivots leave.
-        tested = pairs.join(known, ["p", "u"], "left").withColumn(
-            "d", F.when(F.col("apart"), F.coalesce("d", 1 - small / large)))
-        tested = tested.withColumn("linked", F.coalesce("linked", F.lit(False)))
+        # Pivots leave; the first one sets the rings of its region.
         is_pivot = picked.select("reg", F.explode("pivots.u").alias("u"))
-        tested = tested.join(is_pivot, ["reg", "u"], "left_anti")
-        own = ["u", "n", "over", "hot"]
-        cells = tested.where(F.col("linked") | (F.col("apart") & (F.col("d") <= 0.4 + 1e-9))).select(
-            F.xxhash64("reg", "p", F.lit(level)).alias("reg"), *own)
-        rest = (tested.groupBy("reg", *own).agg(F.max("linked").alias("inner")).where(~F.col("inner"))
-                .select("reg", *own))
-        following = cells.unionByName(rest)
-        # A region goes on while it has members of different components (and, if hot, one that needs pairs).
-        named = following.join(comps, "u")
-        alive = (named.groupBy("reg").agg(F.min("c").alias("lo"), F.max("c").alias("hi"),
-                                          F.max(~F.col("hot") | F.col("over")).alias("able"))
-                 .where((F.col("lo") != F.col("hi")) & F.col("able")).select("reg"))
+        following = regions.join(is_pivot, ["reg", "u"], "left_anti")
+        if level == 0:
+            centre = picked.select("reg", F.element_at("pivots", 1)["u"].alias("p"), F.element_at("pivots", 1)["n"].alias("pn"))
+            ringed = following.drop("ring_lo", "ring_hi").join(centre, "reg").join(known.select("p", "u", "d"), ["p", "u"], "left")
+            following = ringed.select("reg", "u", "n", F.coalesce("d", 1 - small / large).alias("ring_lo"),
+                                      F.coalesce("d", F.lit(1.0)).alias("ring_hi"))
+        alive = (following.join(comps, "u").groupBy("reg").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+                 .where(F.col("lo") != F.col("hi")).select("reg"))
         regions = materialize(following.join(alive, "reg", "left_semi"), "regions")
         level += 1
     return comps
@@ -295,7 +311,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     sets = materialize(texts.mapInArrow(
-        _sets, f"id {kind}, n bigint, u bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint, front array<bigint>"),
+        _sets, f"id {kind}, n bigint, u bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint, sample array<bigint>"),
         "shingle_sets")
     named = sets.where((F.col("n") > 0) & F.col("id").isNotNull())
     heads = named.groupBy("u").agg(F.min("id").alias("id"))
