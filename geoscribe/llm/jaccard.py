@@ -56,7 +56,9 @@ RING = 0.2 + 1e-9
 SAMPLE, COMMON = 16, 4
 BITMAP_BITS = 1 << 26
 #: Pivots of a region in each round; the last number holds for all further ones.
-PIVOTS = (1, 32, 64, 128)
+PIVOTS = (1, 2, 8, 32, 128)
+#: Parity sketches: a small one for all texts, a large one for texts of more than LARGE_FROM shingles.
+SMALL_BITS, LARGE_BITS, LARGE_FROM = 256, 2_048, 400
 SALT_ROWS = 500
 MEMO = 300_000
 MAX_BROADCAST_ROWS = 1_000_000
@@ -66,13 +68,14 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        low = word.translate(ASCII_LOWER)
+        h = self[word] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass"))
         return h
 
 
 def shingle_set(text: str | None, memo: dict) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
-    words = WORD.findall(text.translate(ASCII_LOWER)) if text else []
+    words = WORD.findall(text) if text else []
     if not words:
         return np.zeros(0, np.uint64)
     if len(memo) > MEMO:
@@ -91,7 +94,7 @@ def digest(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-_NAMES = ("id", "n", "u", "k0", "k1", "k2", "k3", "sample")
+_NAMES = ("id", "n", "u", "k0", "k1", "k2", "k3", "large", "sample")
 
 
 def _arrays(parts: list[np.ndarray]) -> pa.ListArray:
@@ -100,21 +103,28 @@ def _arrays(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
+def _parity(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """Parity of the number of shingles in each of ``bits`` classes, packed into longs."""
+    odd = np.bincount((shingles >> np.uint64(8)) & np.uint64(bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo = _WordHashes()
     for b in batches:
-        n, u, sketch, sample = [], [], [], []
+        n, u, sketch, large, sample = [], [], [], [], []
         for t in b.column("text"):
             s = shingle_set(t.as_py(), memo)
             n.append(len(s))
             u.append(digest(s))
-            odd = np.bincount((s >> np.uint64(8)) & np.uint64(255), minlength=256) & 1
-            sketch.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            sketch.append(_parity(s, SMALL_BITS))
+            large.append(_parity(s, LARGE_BITS).view(np.uint64) if len(s) > LARGE_FROM else s[:0])
             sample.append(s if u[-1] % SAMPLE == 0 else s[:0])
         parts = np.stack(sketch) if sketch else np.zeros((0, 4), np.int64)
         yield pa.RecordBatch.from_arrays(
             [b.column("id"), pa.array(n, pa.int64()), pa.array(u, pa.int64()),
-             *(pa.array(np.ascontiguousarray(parts[:, i])) for i in range(4)), _arrays(sample)], names=list(_NAMES))
+             *(pa.array(np.ascontiguousarray(parts[:, i])) for i in range(4)), _arrays(large), _arrays(sample)],
+            names=list(_NAMES))
 
 
 def _prefixes(bitmap: np.ndarray):
@@ -240,6 +250,16 @@ def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     return grouped.select("p", "u", "text").mapInArrow(_overlaps, "p bigint, u bigint, both bigint").distinct()
 
 
+def _large_bound(pairs: DataFrame, nodes: DataFrame, total: Column) -> DataFrame:
+    """Drop pairs of long texts whose large sketches differ in too many bits."""
+    large = nodes.where(F.col("n") > LARGE_FROM).select("u", "large")
+    other = large.select(F.col("u").alias("p"), F.col("large").alias("other"))
+    both = pairs.join(large, "u", "left").join(other, "p", "left")
+    bits = F.aggregate(F.zip_with("large", "other", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")),
+                       F.lit(0).cast("long"), lambda a, x: a + x)
+    return both.where(F.coalesce(9 * bits <= total, F.lit(True))).select("p", "u", "pn", "n")
+
+
 def _pivots(members: DataFrame, count: int) -> DataFrame:
     """``(reg, pivots)`` of regions that still have members of different components.
 
@@ -258,7 +278,7 @@ def _pivots(members: DataFrame, count: int) -> DataFrame:
 def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """``(u, c)`` for the nodes that meet another one in some region.
 
-    ``nodes``: ``(u, id, n, k0..k3, sample)``; ``texts``: ``(id, text)``.
+    ``nodes``: ``(u, id, n, k0..k3, large, sample)``; ``texts``: ``(id, text)``.
     """
     regions = materialize(first_regions(nodes, texts), "regions")
     comps = materialize(regions.select("u").distinct().withColumn("c", F.col("u")), "components")
@@ -278,6 +298,7 @@ def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         differing = sum((F.bit_count(F.col(f"k{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(4)), F.lit(0))
         total = F.col("n") + F.col("pn")
         bounded = distinct.join(sketch, "u").join(left, "p").where(9 * differing <= total).select("p", "u", "pn", "n")
+        bounded = _large_bound(bounded, nodes, total)
         bounded = materialize(bounded, "bounded_pairs")
         exact = verify(bounded.select("p", "u"), nodes, texts)
         known = bounded.join(exact, ["p", "u"]).select(
@@ -311,7 +332,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     sets = materialize(texts.mapInArrow(
-        _sets, f"id {kind}, n bigint, u bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint, sample array<bigint>"),
+        _sets, f"id {kind}, n bigint, u bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint, large array<bigint>, sample array<bigint>"),
         "shingle_sets")
     named = sets.where((F.col("n") > 0) & F.col("id").isNotNull())
     heads = named.groupBy("u").agg(F.min("id").alias("id"))
