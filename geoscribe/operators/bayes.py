@@ -34,19 +34,10 @@ from geoscribe.operators.joins import checked_broadcast
 from geoscribe.session import materialize
 
 
-# Longest literal query counted with one conditional sum per word.
-MAX_WIDE_WORDS = 64
-
-
 def _dedupe(words: list[str]) -> list[str]:
     return list(dict.fromkeys(words))
 
 
-def total_rows(train: DataFrame) -> Column:
-    """``N`` as a scalar subquery column."""
-    return train.select(F.count(F.lit(1))).scalar()
-
-
 def total_of(counts: DataFrame, n: str) -> Column:
     """``N`` as the sum of per-class counts (NULL class included), a scalar
     subquery over the same aggregate, so Spark reuses its exchange instead of
@@ -89,19 +80,11 @@ def score_words(train: DataFrame, cls: str, text: str, words: list[str]) -> Data
     """``(cls, n, p)`` for every class, for one query given as a word list.
 
     The word list is first lower-cased and de-duplicated in first-seen order,
-    as the reference does with its query line.  Up to ``MAX_WIDE_WORDS``
-    words are counted in one pass (one conditional sum per word); a longer
-    query goes through the candidate path of the batch classifier, and every
-    class without all words gets ``p = 0.0``, which is what the fold gives.
+    as the reference does with its query line.  All words are counted
+    in one pass (one conditional sum per word), whatever the length, and a
+    NULL class is a class like any other.
     """
     ws = _dedupe([w.lower() for w in words])
-    if len(ws) > MAX_WIDE_WORDS:
-        spark = train.sparkSession
-        query = spark.createDataFrame([(0, ws)], "query_id long, words array<string>")
-        cand = score_candidates(train, query, cls, text, ["query_id"]).select(cls, "p")
-        counts = class_counts(train, cls)
-        return (counts.join(cand, on=cls, how="left")
-                .select(cls, "n", F.coalesce("p", F.lit(0.0)).alias("p")))
     wide = _presence_wide(train, cls, text, ws)
     counts = F.array(*[F.col(f"_d{i}") for i in range(len(ws))]) if ws else F.array().cast("array<bigint>")
     # The prior is its own column: a subquery may not sit inside the fold lambda.

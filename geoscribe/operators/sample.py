@@ -12,19 +12,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HASH_BUCKETS = 1_000_000
+HASH_BITS = 60
 
 
 def sample_native(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def hash_bucket(key: str | Column) -> Column:
-    """First 32 bits of md5(key as text), as a number in [0, HASH_BUCKETS)."""
+def key_hash(key: str | Column) -> Column:
+    """First 60 bits of md5(key as text)."""
     k = F.col(key) if isinstance(key, str) else key
-    h32 = F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h32, F.lit(HASH_BUCKETS))
+    return F.conv(F.substring(F.md5(k.cast("string")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
 def sample_hash(df: DataFrame, key: str | Column, fraction: float) -> DataFrame:
-    return df.where(hash_bucket(key) < int(round(fraction * HASH_BUCKETS)))
+    """Rows whose key hash lies below ``fraction`` of the hash range, at full resolution."""
+    return df.where(key_hash(key) < int(fraction * (1 << HASH_BITS)))

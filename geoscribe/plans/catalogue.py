@@ -447,7 +447,7 @@ _NB_COUNTS_CTE = """
 
 _SAMPLE_SQL = """
     SELECT * FROM documents
-    WHERE CAST(concat('0x', substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 1000000 < 100000"""
+    WHERE CAST(concat('0x', substr(md5(CAST(doc_id AS VARCHAR)), 1, 15)) AS BIGINT) < 115292150460684704"""
 
 _PROFILE_SQL = """
     WITH a AS (SELECT count(*) AS n_rows, count(DISTINCT source) AS ds, count(DISTINCT lang) AS dl,
