@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoscribe.llm.common import ASCII_LOWER, WORD, documents, materialize
+from geoscribe.llm.common import documents, materialize
 from geoscribe.operators.joins import checked_broadcast
 
 SHINGLE = 5
@@ -58,7 +58,8 @@ BITMAP_BITS = 1 << 26
 #: Pivots of a region in each round; the last number holds for all further ones.
 PIVOTS = (1, 2, 8, 32, 128)
 #: Parity sketches: a small one for all texts, a large one for texts of more than LARGE_FROM shingles.
-SMALL_BITS, LARGE_BITS, LARGE_FROM = 256, 2_048, 400
+#: The large one has LARGE_SHARE to twice as many bits per shingle, so that it does not saturate.
+SMALL_BITS, LARGE_SHARE, LARGE_FROM = 256, 1, 400
 SALT_ROWS = 500
 MEMO = 300_000
 MAX_BROADCAST_ROWS = 1_000_000
@@ -67,15 +68,22 @@ MAX_BROADCAST_ROWS = 1_000_000
 # --- sets ------------------------------------------------------------------------
 
 class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        low = word.translate(ASCII_LOWER)
-        h = self[word] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass"))
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
 
-def shingle_set(text: str | None, memo: dict) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles."""
-    words = WORD.findall(text) if text else []
+def _utf8(column: pa.Array) -> list[bytes | None]:
+    return column.cast(pa.binary()).to_pylist()
+
+
+def shingle_set(text: bytes | None, memo: dict) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a UTF-8 text.
+
+    On bytes, ``lower`` touches A-Z only and ``split`` cuts at the six ASCII
+    white-space characters only.
+    """
+    words = text.lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
     if len(memo) > MEMO:
@@ -113,12 +121,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo = _WordHashes()
     for b in batches:
         n, u, sketch, large, sample = [], [], [], [], []
-        for t in b.column("text"):
-            s = shingle_set(t.as_py(), memo)
+        for t in _utf8(b.column("text")):
+            s = shingle_set(t, memo)
             n.append(len(s))
             u.append(digest(s))
             sketch.append(_parity(s, SMALL_BITS))
-            large.append(_parity(s, LARGE_BITS).view(np.uint64) if len(s) > LARGE_FROM else s[:0])
+            large.append(_parity(s, 1 << (LARGE_SHARE * len(s)).bit_length()).view(np.uint64) if len(s) > LARGE_FROM else s[:0])
             sample.append(s if u[-1] % SAMPLE == 0 else s[:0])
         parts = np.stack(sketch) if sketch else np.zeros((0, 4), np.int64)
         yield pa.RecordBatch.from_arrays(
@@ -133,8 +141,8 @@ def _prefixes(bitmap: np.ndarray):
         memo = _WordHashes()
         for b in batches:
             u, prefix = [], []
-            for t in b.column("text"):
-                s = shingle_set(t.as_py(), memo)
+            for t in _utf8(b.column("text")):
+                s = shingle_set(t, memo)
                 bit = s & np.uint64(BITMAP_BITS - 1)
                 common = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
                 k = len(s) // 5 + 1
@@ -165,8 +173,8 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pivot, held = None, None
     for b in batches:
         out: list[tuple[int, int, int]] = []
-        for p, u, t in zip(b.column("p").to_pylist(), b.column("u").to_pylist(), b.column("text")):
-            s = shingle_set(t.as_py(), memo)
+        for p, u, t in zip(b.column("p").to_pylist(), b.column("u").to_pylist(), _utf8(b.column("text"))):
+            s = shingle_set(t, memo)
             if digest(s) != u:
                 continue                                   # another text under the same id
             if u == p:
@@ -251,11 +259,21 @@ def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _large_bound(pairs: DataFrame, nodes: DataFrame, total: Column) -> DataFrame:
-    """Drop pairs of long texts whose large sketches differ in too many bits."""
+    """Drop pairs of long texts whose large sketches differ in too many bits.
+
+    Sketch sizes are powers of two, so of a pair that may link one has at most
+    twice the bits of the other; the halves of the larger are merged first.
+    """
     large = nodes.where(F.col("n") > LARGE_FROM).select("u", "large")
     other = large.select(F.col("u").alias("p"), F.col("large").alias("other"))
     both = pairs.join(large, "u", "left").join(other, "p", "left")
-    bits = F.aggregate(F.zip_with("large", "other", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")),
+    width = F.least(F.size("large"), F.size("other"))
+
+    def halved(sketch: str) -> Column:
+        halves = F.zip_with(F.slice(sketch, F.lit(1), width), F.slice(sketch, width + 1, width), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(sketch) > width, halves).otherwise(F.col(sketch))
+
+    bits = F.aggregate(F.zip_with(halved("large"), halved("other"), lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")),
                        F.lit(0).cast("long"), lambda a, x: a + x)
     return both.where(F.coalesce(9 * bits <= total, F.lit(True))).select("p", "u", "pn", "n")
 

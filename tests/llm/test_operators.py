@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geoscribe.llm import (chunks, jaccard, langid, licenses, mixing, quality, secrets, sharding, templates, url_ratio)
+from geoscribe.llm import (chunks, common, jaccard, langid, licenses, mixing, quality, secrets, sharding, templates, url_ratio)
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -90,7 +90,7 @@ def test_url_rules_and_model(spark):
 def _components(texts):
     sets, parent = {}, {}
     for i, t in texts:
-        w = WORDS.findall((t or "").translate(jaccard.ASCII_LOWER))
+        w = WORDS.findall((t or "").translate(common.ASCII_LOWER))
         sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
         parent[i] = i
 
