@@ -264,7 +264,9 @@ def _large_bound(pairs: DataFrame, nodes: DataFrame, total: Column) -> DataFrame
     Sketch sizes are powers of two, so of a pair that may link one has at most
     twice the bits of the other; the halves of the larger are merged first.
     """
-    large = nodes.where(F.col("n") > LARGE_FROM).select("u", "large")
+    long = pairs.where((F.col("n") > LARGE_FROM) & (F.col("pn") > LARGE_FROM))
+    wanted = materialize(long.select(F.explode(F.array("u", "p")).alias("u")).distinct(), "wanted_sketches")
+    large = nodes.where(F.col("n") > LARGE_FROM).join(wanted, "u", "left_semi").select("u", "large")
     other = large.select(F.col("u").alias("p"), F.col("large").alias("other"))
     both = pairs.join(large, "u", "left").join(other, "p", "left")
     width = F.least(F.size("large"), F.size("other"))
@@ -316,6 +318,7 @@ def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         differing = sum((F.bit_count(F.col(f"k{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(4)), F.lit(0))
         total = F.col("n") + F.col("pn")
         bounded = distinct.join(sketch, "u").join(left, "p").where(9 * differing <= total).select("p", "u", "pn", "n")
+        bounded = materialize(bounded, "sketched_pairs")
         bounded = _large_bound(bounded, nodes, total)
         bounded = materialize(bounded, "bounded_pairs")
         exact = verify(bounded.select("p", "u"), nodes, texts)
