@@ -7,8 +7,12 @@ texts of ``c`` holding ``w`` as a blank-separated token::
     p(c) = n_c / N * d_c(w_1) / n_c * ... * d_c(w_k) / n_c
 
 folded left to right exactly as the reference does (``x * d / n_c`` per word,
-starting from ``n_c / N``), so the doubles agree to the last bit.  The answer
-is every class whose ``p`` equals the maximum, and nothing when it is 0.
+starting from ``n_c / N``), so the doubles agree to the last bit.  The fold
+carries a power of two beside the mantissa (``scaled``), which is exact, so a
+long query does not underflow: classes are ranked by ``scaled``, and ``p`` may
+print as 0.0 for an answer below the range of doubles (``log_p`` still tells
+its size).  The answer is every class with the maximum, and nothing when a word
+of the query is in no class.
 
 Design for scale:
 
@@ -28,12 +32,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoscribe.functions.text import lower_words
 from geoscribe.operators.joins import checked_broadcast
 from geoscribe.session import materialize
 
 
+#: Power of two by which the fold rescales a small mantissa.
+SCALE = 500
+
+
 def _dedupe(words: list[str]) -> list[str]:
     return list(dict.fromkeys(words))
 
@@ -55,9 +64,34 @@ def priors(train: DataFrame, cls: str) -> DataFrame:
     return counts.select(cls, "n", (F.col("n") / total_of(counts, "n")).alias("prior"))
 
 
+def scaled_fold(prior: Column, counts: Column, n_c: Column) -> Column:
+    """``reduce(lambda x, d: x * d / n_c, counts, prior)`` as ``struct(e, m)``, worth ``m * 2^e``.
+
+    A mantissa below ``2^-SCALE`` is multiplied by ``2^SCALE``, so structs
+    compare as their values do (zeros aside).
+    """
+    def pair(e: Column, m: Column) -> Column:
+        return F.struct(e.cast("int").alias("e"), m.cast("double").alias("m"))
+
+    def step(acc: Column, d: Column) -> Column:
+        x = acc["m"] * d / n_c
+        return F.when((x > 0) & (x < 2.0 ** -SCALE), pair(acc["e"] - SCALE, x * 2.0 ** SCALE)).otherwise(pair(acc["e"], x))
+
+    return F.aggregate(counts, pair(F.lit(0), prior), step)
+
+
+def unscaled(scaled: Column) -> Column:
+    return scaled["m"] * F.pow(F.lit(2.0), scaled["e"])
+
+
+def log_score(scaled: Column) -> Column:
+    """Natural logarithm of a scaled probability, null for 0."""
+    return F.ln(scaled["m"]) + scaled["e"] * F.ln(F.lit(2.0))
+
+
 def fold_probability(prior: Column, counts: Column, n_c: Column) -> Column:
-    """``reduce(lambda x, d: x * d / n_c, counts, prior)`` as a Spark expression."""
-    return F.aggregate(counts, prior.cast("double"), lambda acc, d: acc * d / n_c)
+    """The fold as a double."""
+    return unscaled(scaled_fold(prior, counts, n_c))
 
 
 def _presence_wide(train: DataFrame, cls: str, text: str, words: list[str]) -> DataFrame:
@@ -77,7 +111,7 @@ def word_presence(train: DataFrame, cls: str, text: str, words: list[str]) -> Da
 
 
 def score_words(train: DataFrame, cls: str, text: str, words: list[str]) -> DataFrame:
-    """``(cls, n, p)`` for every class, for one query given as a word list.
+    """``(cls, n, p, log_p, scaled)`` for every class, for one query given as a word list.
 
     The word list is first lower-cased and de-duplicated in first-seen order,
     as the reference does with its query line.  All words are counted
@@ -89,22 +123,22 @@ def score_words(train: DataFrame, cls: str, text: str, words: list[str]) -> Data
     counts = F.array(*[F.col(f"_d{i}") for i in range(len(ws))]) if ws else F.array().cast("array<bigint>")
     # The prior is its own column: a subquery may not sit inside the fold lambda.
     with_prior = wide.withColumn("_prior", F.col("n") / total_of(wide, "n"))
-    p = fold_probability(F.col("_prior"), counts, F.col("n"))
-    return with_prior.select(cls, "n", p.alias("p"))
+    scored = with_prior.select(cls, "n", scaled_fold(F.col("_prior"), counts, F.col("n")).alias("scaled"))
+    return scored.select(cls, "n", unscaled(F.col("scaled")).alias("p"), log_score(F.col("scaled")).alias("log_p"), "scaled")
 
 
 def best_classes(scores: DataFrame, p: str = "p", by: list[str] = ()) -> DataFrame:
-    """Rows whose ``p`` equals the maximum (of their ``by`` group) and is above 0.
+    """Rows whose ``p`` (a double or a scaled struct) is the maximum (of their ``by`` group) and above 0.
 
     ``rank() = 1`` keeps every tied row; Catalyst evaluates it partially on
     each map task (WindowGroupLimit) before the exchange.
     """
+    value = F.col(p)["m"] if isinstance(scores.schema[p].dataType, T.StructType) else F.col(p)
+    scores = scores.where(value > 0)
     if not by:
-        top = scores.select(F.max(p)).scalar()
-        return scores.where((F.col(p) == top) & (F.col(p) > 0))
+        return scores.where(F.col(p) == scores.select(F.max(p)).scalar())
     w = Window.partitionBy(*by).orderBy(F.col(p).desc())
-    return (scores.withColumn("_r", F.rank().over(w))
-            .where((F.col("_r") == 1) & (F.col(p) > 0)).drop("_r"))
+    return scores.withColumn("_r", F.rank().over(w)).where(F.col("_r") == 1).drop("_r")
 
 
 def query_word_table(queries: DataFrame, query_keys: list[str], words: str = "words") -> DataFrame:
@@ -131,10 +165,10 @@ def presence_for_vocabulary(train: DataFrame, cls: str, text: str, vocab: DataFr
 
 def score_candidates(train: DataFrame, queries: DataFrame, cls: str, text: str,
                      query_keys: list[str], words: str = "words") -> DataFrame:
-    """``(query keys..., cls, p)`` for every class that holds all words of a query.
+    """``(query keys..., cls, p, scaled)`` for every class that holds all words of a query.
 
     Classes missing a word have ``p = 0`` and can never be chosen, so they are
-    never generated.
+    never generated.  A NULL class is a class like any other.
     """
     # The presence table feeds three branches whose pruning differs, so Spark
     # cannot share it; materialise it once rather than tokenise the corpus
@@ -149,19 +183,22 @@ def score_candidates(train: DataFrame, queries: DataFrame, cls: str, text: str,
     rarest = rarity.groupBy(*query_keys).agg(
         F.min_by("word", F.struct("n_cls", "pos")).alias("word"), F.count(F.lit(1)).alias("k"))
     candidates = rarest.join(pres.select(cls, "word"), on="word").select(*query_keys, cls, "k")
+    held = pres.select(F.col(cls).alias("_cls"), F.col("word").alias("_word"), "d")
     matched = (candidates.join(qw, on=query_keys)
-               .join(pres, on=[cls, "word"])
+               .join(held, F.col(cls).eqNullSafe(F.col("_cls")) & (F.col("word") == F.col("_word")))
                .groupBy(*query_keys, cls, "k")
                .agg(F.count(F.lit(1)).alias("_m"), F.array_sort(F.collect_list(F.struct("pos", "d"))).alias("_ds"))
                .where(F.col("_m") == F.col("k")))
     n_c = class_counts(train, cls, "n_c")
-    scored = matched.join(n_c, on=cls).withColumn("_prior", F.col("n_c") / total_of(n_c, "n_c"))
-    p = fold_probability(F.col("_prior"), F.transform("_ds", lambda s: s["d"]), F.col("n_c"))
-    return scored.select(*query_keys, cls, p.alias("p"))
+    sizes = n_c.select(F.col(cls).alias("_cls"), "n_c", (F.col("n_c") / total_of(n_c, "n_c")).alias("_prior"))
+    scored = matched.join(sizes, F.col(cls).eqNullSafe(F.col("_cls")))
+    scaled = scaled_fold(F.col("_prior"), F.transform("_ds", lambda s: s["d"]), F.col("n_c"))
+    scored = scored.select(*query_keys, cls, scaled.alias("scaled"))
+    return scored.select(*query_keys, cls, unscaled(F.col("scaled")).alias("p"), "scaled")
 
 
 def estimate_places(train: DataFrame, queries: DataFrame, cls: str, text: str,
                     query_keys: list[str] = ("query_id",), words: str = "words") -> DataFrame:
     """Most probable class(es) per query, ties kept; no row when the best ``p`` is 0."""
     keys = list(query_keys)
-    return best_classes(score_candidates(train, queries, cls, text, keys, words), "p", keys)
+    return best_classes(score_candidates(train, queries, cls, text, keys, words), "scaled", keys).drop("scaled")

@@ -81,16 +81,16 @@ def min_max(spark, d):
 
 
 def total_length(spark, d):
-    return _docs(spark, d).agg(F.sum(F.length("text")).cast("bigint").alias("total_length"))
+    return _t(spark, d, "documents").agg(F.sum(F.length("text")).cast("bigint").alias("total_length"))
 
 
 def avg_text_length(spark, d):
-    wide = profile.profile_wide(_docs(spark, d), text="text")
+    wide = profile.profile_wide(_t(spark, d, "documents"), text="text")
     return wide.select(F.round("avg_chars", 6).alias("avg_chars"), F.round("avg_words", 6).alias("avg_words"))
 
 
 def dataset_profile(spark, d):
-    long = profile.dataset_profile(_docs(spark, d), text="text",
+    long = profile.dataset_profile(_t(spark, d, "documents"), text="text",
                                    distinct_cols=["source", "lang"], minmax_cols=["n_chars"])
     return long.withColumn("value", F.round("value", 6))
 
@@ -119,7 +119,7 @@ def sample_hash(spark, d):
 
 def sampled_profile(spark, d):
     """The profile of a reproducible 10 % sample (the reference's draft Task 1)."""
-    sampled = sample.sample_hash(_docs(spark, d), "doc_id", SAMPLE_FRACTION)
+    sampled = sample.sample_hash(_t(spark, d, "documents"), "doc_id", SAMPLE_FRACTION)
     long = profile.dataset_profile(sampled, text="text", distinct_cols=["source", "lang"], minmax_cols=["n_chars"])
     return long.withColumn("value", F.round("value", 6))
 
@@ -293,12 +293,14 @@ def nb_word_presence(spark, d):
 
 
 def nb_scores(spark, d):
-    return bayes.score_words(_docs(spark, d), "source", "text", NB_WORDS)
+    """Scores of every class, best first."""
+    scores = bayes.score_words(_docs(spark, d), "source", "text", NB_WORDS)
+    return scores.orderBy(F.col("p").desc(), "source").select("source", "n", "p")
 
 
 def nb_argmax_ties(spark, d):
     scores = bayes.score_words(_docs(spark, d), "source", "text", NB_WORDS)
-    return bayes.best_classes(scores.select("source", "p"))
+    return bayes.best_classes(scores, "scaled").select("source", "p")
 
 
 def nb_batch(spark, d):
@@ -314,7 +316,7 @@ _DOC_TSV = [("doc_id", T.LongType()), ("lang", T.StringType()), ("source", T.Str
 
 
 def scan_delimited_roundtrip(spark, d):
-    docs = _docs(spark, d)
+    docs = _t(spark, d, "documents")
     flat = docs.select("doc_id", "lang", "source", "n_chars",
                        F.regexp_replace("text", "[\t\r\n]", " ").alias("text"))
     path = scratch_path(spark, "documents_tsv")
@@ -536,7 +538,7 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(CASE WHEN list_contains(ws, w.word) THEN 1 ELSE 0 END) AS BIGINT) AS d
         FROM dw, (VALUES (0, 'the'), (1, 'and'), (2, 'de')) AS w(pos, word)
         GROUP BY source, w.pos, w.word""",
-    "nb_scores": f"WITH {_NB_COUNTS_CTE} SELECT source, n, p FROM s",
+    "nb_scores": f"WITH {_NB_COUNTS_CTE} SELECT source, n, p FROM s ORDER BY p DESC, source",
     "nb_argmax_ties": f"""
         WITH {_NB_COUNTS_CTE}
         SELECT source, p FROM s WHERE p = (SELECT max(p) FROM s) AND p > 0""",

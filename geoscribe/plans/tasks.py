@@ -106,18 +106,19 @@ def run_phase1(spark: SparkSession, posts_path: str, stop_words_path: str, out_d
     stop = scan_word_list(spark, stop_words_path)
     out = out_dir.rstrip("/")
     paths = {}
+    # Countries and cities are free text, an open-ended dimension: their ordered parts
+    # are written in parallel (part files in name order concatenate to the sorted list).
     paths["result_1"] = sinks.write_metric_lines(_post_profile_lines(posts), f"{out}/result_1.tsv")
     paths["result_2"] = sinks.write_tsv(task2_country_counts(posts), f"{out}/result_2.tsv", ["country_name", "n"],
-                                        order_by=groups.rank_order("country_name"))
+                                        order_by=groups.rank_order("country_name"), single_file=False)
     paths["result_3"] = sinks.write_tsv(task3_country_centroids(posts), f"{out}/result_3.tsv",
-                                        ["country_name", "latitude", "longitude"], order_by=[F.col("country_name")])
+                                        ["country_name", "latitude", "longitude"], order_by=[F.col("country_name")],
+                                        single_file=False)
     sinks.write_csv(task3_country_centroids(posts).select(
         F.col("country_name").alias("Country"), F.col("latitude").alias("Lat"), F.col("longitude").alias("Lon")),
-        f"{out}/result_3_map.csv", order_by=[F.col("Country")])
+        f"{out}/result_3_map.csv", order_by=[F.col("Country")], single_file=False)
     paths["result_4"] = sinks.write_tsv(task4_peak_hour(posts), f"{out}/result_4.tsv", ["country_name", "hour", "n"],
-                                        order_by=[F.col("country_name")])
-    # One line per city: an open-ended dimension, so the ordered parts are written
-    # in parallel (part files in name order concatenate to the sorted list).
+                                        order_by=[F.col("country_name")], single_file=False)
     paths["result_5"] = sinks.write_tsv(task5_us_city_counts(posts), f"{out}/result_5.tsv", ["place_name", "n"],
                                         order_by=groups.rank_order("place_name"), single_file=False)
     paths["result_6"] = sinks.write_tsv(task6_top_us_words(posts, stop), f"{out}/result_6.tsv", ["word", "n"],

@@ -2,9 +2,10 @@
 
 Results are written by the executors straight from the DataFrame; nothing is
 collected and re-parallelised.  ``single_file=True`` mirrors the reference's
-one ``part-00000`` per result: the sort stays distributed (range partitions)
-and ``coalesce(1)`` only concatenates the sorted partitions in order.  Use
-``single_file=False`` for results that are large.
+one ``part-00000`` per result; one task then sorts and writes all of it, so it
+is for results of a bounded size (top-k, one row, a fixed list of metrics).
+``single_file=False`` writes range-sorted parts in parallel; in name order they
+concatenate to the sorted list.
 """
 
 from __future__ import annotations

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import fixtures
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +133,20 @@ def test_classifier_output_prints_probabilities_as_python_does(spark, data_dir,
     lines = next(out.glob("part-*")).read_text(encoding="utf-8").splitlines()
     best = fixtures.model_best(fixtures.model_scores(recs, ["love", "the", "city"]))
     assert lines == [f"{k}\t{best[k]!r}" for k in sorted(best)]
+
+
+def test_long_queries_do_not_underflow_and_null_is_a_class(spark):
+    words = [f"w{i}" for i in range(400)]
+    rows = [("A", " ".join(words))] + [("A", "x")] * 99 + [("B", " ".join(words))] + [("B", "x")] * 149
+    train = spark.createDataFrame(rows, "place_name string, tweet_text string")
+    scores = bayes.score_words(train, "place_name", "tweet_text", words)
+    assert [r.place_name for r in bayes.best_classes(scores, "scaled").collect()] == ["A"]
+    logs = {r.place_name: r.log_p for r in scores.collect()}
+    assert abs(logs["A"] - (math.log(0.4) - 400 * math.log(100))) < 1e-6
+    assert [r.place_name for r in tasks.classify(train, _queries(spark, [words])).collect()] == ["A"]
+    for k in (64, 65):
+        nulls = spark.createDataFrame([(None, " ".join(words[:k])), ("A", "x")], "place_name string, tweet_text string")
+        scores = bayes.score_words(nulls, "place_name", "tweet_text", words[:k])
+        literal = [(r.place_name, r.p) for r in bayes.best_classes(scores, "scaled").collect()]
+        batch = [(r.place_name, r.p) for r in tasks.classify(nulls, _queries(spark, [words[:k]])).collect()]
+        assert literal == batch == [(None, 0.5)]
