@@ -1,7 +1,7 @@
 """Command line.
 
     python -m geoscribe phase1   <posts.tsv> <stop_words.txt> <out_dir>
-    python -m geoscribe classify <posts.tsv> <query.txt> <out_path>
+    python -m geoscribe classify <posts.tsv> <query.txt> <out_path> [--all-lines]
     python -m geoscribe profile  <posts.tsv> [<sample fraction>]
 
 Uses the active SparkSession when submitted with ``spark-submit``; otherwise
@@ -13,28 +13,30 @@ from __future__ import annotations
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from geoscribe.operators.sample import sample_hash
+from geoscribe.operators.sample import sample_native
 from geoscribe.plans.tasks import run_classifier, run_phase1, task1_profile
 from geoscribe.session import build_session
 from geoscribe.sources import scan_delimited
 
 USAGE = __doc__
+SAMPLE_SEED = 5
+ALL_LINES = "--all-lines"
 
 
 def _profile(spark, path: str, fraction: float | None) -> list[tuple[str, float]]:
-    """The eleven metrics, optionally of a reproducible sample (keyed by the
-    whole line's fields, so any partitioning keeps the same rows)."""
+    """The eleven metrics, optionally of a Bernoulli sample of the lines with a
+    fixed seed (copies of a line are drawn one by one)."""
     posts = scan_delimited(spark, path)
     if fraction is not None:
-        line = F.concat_ws("\t", *[F.col(c).cast("string") for c in posts.columns])
-        posts = sample_hash(posts, line, fraction)
+        posts = sample_native(posts, fraction, SAMPLE_SEED)
     # Eleven rows: the one place a result is brought to the driver, to print it.
     return [(r.metric, r.value) for r in task1_profile(posts).orderBy("ord").collect()]
 
 
 def main(argv: list[str]) -> int:
+    all_lines = argv[:1] == ["classify"] and ALL_LINES in argv
+    argv = [a for a in argv if not (all_lines and a == ALL_LINES)]
     ok = (len(argv) == 4 and argv[0] in ("phase1", "classify")) or (argv[:1] == ["profile"] and len(argv) in (2, 3))
     if not ok:
         print(USAGE, file=sys.stderr)
@@ -47,7 +49,7 @@ def main(argv: list[str]) -> int:
         for name, path in run_phase1(spark, argv[1], argv[2], argv[3]).items():
             print(f"{name}\t{path}")
     else:
-        print(run_classifier(spark, argv[1], argv[2], argv[3]))
+        print(run_classifier(spark, argv[1], argv[2], argv[3], all_lines))
     return 0
 
 

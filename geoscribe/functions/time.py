@@ -21,13 +21,6 @@ def local_hour_from_epoch_ms(epoch_ms: str | Column, offset_seconds: str | Colum
     return F.floor(F.pmod(local_ms, F.lit(MS_PER_DAY)) / MS_PER_HOUR).cast("bigint")
 
 
-def local_hour_from_timestamp(ts: str | Column, offset_seconds: str | Column) -> Column:
-    """Hour of ``ts + offset`` for a TIMESTAMP_NTZ (wall clock in UTC)."""
-    t = F.col(ts) if isinstance(ts, str) else ts
-    off = F.col(offset_seconds) if isinstance(offset_seconds, str) else offset_seconds
-    return F.hour(F.timestamp_add("SECOND", off, t)).cast("bigint")
-
-
 def second_of_day(ts: str | Column) -> Column:
     """Whole seconds since midnight of a TIMESTAMP_NTZ."""
     t = F.col(ts) if isinstance(ts, str) else ts

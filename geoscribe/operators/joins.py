@@ -11,7 +11,8 @@ tiny.
 ``checked_broadcast`` is for inputs that are parameters rather than data (a
 stop-word list, the words of a batch of queries): it counts them (one small
 job over a small input) and broadcasts them only when the count is within a
-bound, so the large side is filtered where it is scanned.  Beyond the bound
+row and byte
+bounds, so the large side is filtered where it is scanned.  Beyond the bound
 the DataFrame is returned as is, and the join is planned as a shuffled join.
 Key sets derived from the large data itself are not counted this way (that
 would cost another pass over the data); their joins are left to the optimizer.
@@ -22,11 +23,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many rows are broadcast (a million short words is a few tens of MB).
+# At most this many rows, and bytes of values as text, are broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes, else ``df`` unchanged."""
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
+    width = sum(sizes[1:], sizes[0]).cast("long")
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df

@@ -49,44 +49,40 @@ def dataset_profile(df: DataFrame, text: str | None = None, distinct_cols: list[
     return profile_long(profile_wide(df, text, distinct_cols, minmax_cols))
 
 
+#: Columns of the post table that the profile counts and takes extremes of, in the order of the result.
+POST_DISTINCT = ["username", "country_name", "place_name", "language"]
+POST_EXTREMES = ["latitude", "longitude"]
+
+
 def post_profile(posts: DataFrame) -> DataFrame:
-    """The reference's eleven-line profile of the 13-field post table, in its order:
-    rows, users, countries, places, languages, min lat, min lon, max lat, max lon,
-    mean characters, mean words."""
-    wide = posts.agg(
-        F.count(F.lit(1)).alias("number_of_tweets"),
-        F.count_distinct("username").alias("number_of_users"),
-        F.count_distinct("country_name").alias("number_of_countries"),
-        F.count_distinct("place_name").alias("number_of_places"),
-        F.count_distinct("language").alias("number_of_languages"),
-        _extreme(F.min, posts, "latitude").alias("minimum_latitude"),
-        _extreme(F.min, posts, "longitude").alias("minimum_longitude"),
-        _extreme(F.max, posts, "latitude").alias("maximum_latitude"),
-        _extreme(F.max, posts, "longitude").alias("maximum_longitude"),
-        F.avg(F.length("tweet_text")).alias("average_tweet_in_characters"),
-        F.avg(word_count("tweet_text")).alias("average_tweet_in_words"),
-    )
-    return profile_long(wide)
-
-
-# Task 8 of the reference as SQL, with its two defects fixed:
-# extremes on doubles, and languages counted from the language column.  The
-# extremes normalise the sign of zero like ``profile_wide``.
-POST_PROFILE_SQL = """
-SELECT count(*)                     AS number_of_tweets,
-       count(DISTINCT username)     AS distinct_users,
-       count(DISTINCT country_name) AS distinct_countries,
-       count(DISTINCT place_name)   AS distinct_places,
-       count(DISTINCT language)     AS distinct_languages,
-       min(latitude) + 0.0          AS minimum_latitude,
-       min(longitude) + 0.0         AS minimum_longitude,
-       max(latitude) + 0.0          AS maximum_latitude,
-       max(longitude) + 0.0         AS maximum_longitude
-FROM {view}
-"""
+    """The eleven metrics of the 13-field post table, one row each."""
+    return dataset_profile(posts, "tweet_text", POST_DISTINCT, POST_EXTREMES)
+
+
+# The published output names of the SQL profile, each with its aggregate.
+# (Extremes are taken on doubles, with the sign of zero normalised like ``profile_wide``.)
+POST_SQL_METRICS = {
+    "number_of_tweets": "count(*)",
+    "distinct_users": "count(DISTINCT username)",
+    "distinct_countries": "count(DISTINCT country_name)",
+    "distinct_places": "count(DISTINCT place_name)",
+    "distinct_languages": "count(DISTINCT language)",
+    "minimum_latitude": "min(latitude) + 0.0",
+    "minimum_longitude": "min(longitude) + 0.0",
+    "maximum_latitude": "max(latitude) + 0.0",
+    "maximum_longitude": "max(longitude) + 0.0",
+}
+
+
+def aggregate_statement(metrics: dict[str, str], view: str = "{view}") -> str:
+    """An SQL statement with one aggregate per named metric."""
+    return "SELECT " + ", ".join(f"{agg} AS {name}" for name, agg in metrics.items()) + f" FROM {view}"
+
 
+def sql_profile(spark: SparkSession, df: DataFrame, sql_template: str) -> DataFrame:
+    """Run an aggregate SQL statement on ``df``, which it names ``{view}``.
 
-def sql_profile(spark: SparkSession, df: DataFrame, view: str, sql_template: str) -> DataFrame:
-    """Register ``df`` as a temp view and run an aggregate SQL statement on it."""
-    df.createOrReplaceTempView(view)
-    return spark.sql(sql_template.format(view=view))
+    Spark registers ``df`` under a name of its own for the statement and drops
+    it afterwards, so no view of the session is replaced.
+    """
+    return spark.sql(sql_template, view=df)

@@ -55,14 +55,19 @@ def wide_rows(ranked: DataFrame, group: str, item: str, n: str = "n", rank: str
     return ranked.groupBy(group).agg(joined.alias(out))
 
 
-def counts_as_map(df: DataFrame, outer: str, key: str, n: str = "n", out: str = "counts") -> DataFrame:
+def counts_as_map(df: DataFrame, outer: str, key: str, n: str = "n", out: str = "counts",
+                  null_n: str = "n_null") -> DataFrame:
     """Per ``outer`` value, a ``map<key, count>`` (the reference's ``collectAsMap``).
 
     The map is built per group of ``outer`` from already aggregated counts, so a
-    map holds one entry per distinct ``key`` of that group, never raw rows.
+    map holds one entry per distinct ``key`` of that group, never raw rows.  Map keys cannot be NULL, so rows with a NULL
+    key are counted in ``null_n``; a group with no other key has an empty map.
     """
-    counts = count_by_key(df.where(F.col(key).isNotNull()), [outer, key], n)   # map keys cannot be NULL
-    return counts.groupBy(outer).agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(n)))).alias(out))
+    counts = count_by_key(df, [outer, key], n)
+    entry = F.when(F.col(key).isNotNull(), F.struct(F.col(key), F.col(n)))     # collect_list leaves NULL out
+    return counts.groupBy(outer).agg(
+        F.map_from_entries(F.collect_list(entry)).alias(out),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col(n))), F.lit(0)).alias(null_n))
 
 
 def map_as_text(m: Column) -> Column:

@@ -104,7 +104,7 @@ def sql_profile(spark, d):
                max(n_chars)           AS max_chars
         FROM {view}
     """
-    return profile.sql_profile(spark, _t(spark, d, "documents"), "geoscribe_documents", template)
+    return profile.sql_profile(spark, _t(spark, d, "documents"), template)
 
 
 def sample_native(spark, d):

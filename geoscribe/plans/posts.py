@@ -100,7 +100,7 @@ def post_top_place_words(spark, d):
 
 
 def post_sql_profile(spark, d):
-    return tasks.task8_sql_profile(spark, derived_posts(spark, d), view="geoscribe_posts")
+    return tasks.task8_sql_profile(spark, derived_posts(spark, d))
 
 
 def post_classify(spark, d):
@@ -145,17 +145,17 @@ _TOKENS_CTE = """
 """
 
 _METRICS = [
-    ("number_of_tweets", "count(*)"),
-    ("number_of_users", "count(DISTINCT username)"),
-    ("number_of_countries", "count(DISTINCT country_name)"),
-    ("number_of_places", "count(DISTINCT place_name)"),
-    ("number_of_languages", "count(DISTINCT language)"),
-    ("minimum_latitude", "min(latitude) + 0.0"),
-    ("minimum_longitude", "min(longitude) + 0.0"),
-    ("maximum_latitude", "max(latitude) + 0.0"),
-    ("maximum_longitude", "max(longitude) + 0.0"),
-    ("average_tweet_in_characters", "avg(length(tweet_text))"),
-    ("average_tweet_in_words", "avg(len(string_split(tweet_text, ' ')))"),
+    ("n_rows", "count(*)"),
+    ("n_distinct_username", "count(DISTINCT username)"),
+    ("n_distinct_country_name", "count(DISTINCT country_name)"),
+    ("n_distinct_place_name", "count(DISTINCT place_name)"),
+    ("n_distinct_language", "count(DISTINCT language)"),
+    ("min_latitude", "min(latitude) + 0.0"),
+    ("min_longitude", "min(longitude) + 0.0"),
+    ("max_latitude", "max(latitude) + 0.0"),
+    ("max_longitude", "max(longitude) + 0.0"),
+    ("avg_chars", "avg(length(tweet_text))"),
+    ("avg_words", "avg(len(string_split(tweet_text, ' ')))"),
 ]
 
 _PROFILE_SQL = f"WITH {_POSTS_CTE}\n" + "\nUNION ALL\n".join(

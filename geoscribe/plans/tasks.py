@@ -82,8 +82,8 @@ def task7_top_words_of_top_cities(posts: DataFrame, stop, k_cities: int = TOP_CI
     return ranking.wide_rows(ranked, "place_name", "word") if wide else ranked
 
 
-def task8_sql_profile(spark: SparkSession, posts: DataFrame, view: str = "tweets") -> DataFrame:
-    return profile.sql_profile(spark, posts, view, profile.POST_PROFILE_SQL)
+def task8_sql_profile(spark: SparkSession, posts: DataFrame) -> DataFrame:
+    return profile.sql_profile(spark, posts, profile.aggregate_statement(profile.POST_SQL_METRICS))
 
 
 def classify(posts: DataFrame, queries: DataFrame) -> DataFrame:
@@ -138,9 +138,17 @@ def _post_profile_lines(posts: DataFrame) -> DataFrame:
     return long.select("ord", as_text.alias("value"))
 
 
-def run_classifier(spark: SparkSession, training_path: str, input_path: str, output_path: str) -> str:
-    """``classify <training> <input> <output>``: the first line of ``input`` is the query."""
+def run_classifier(spark: SparkSession, training_path: str, input_path: str, output_path: str,
+                   all_lines: bool = False) -> str:
+    """``classify <training> <input> <output>``: the first line of ``input`` is the query.
+
+    With ``all_lines`` every line is one, and the output names the line's id
+    before each place, in parallel parts.
+    """
     posts = scan_delimited(spark, training_path)
-    queries = scan_query_lines(spark, input_path, first_line_only=True)
+    queries = scan_query_lines(spark, input_path, first_line_only=not all_lines)
     best = classify(posts, queries)
+    if all_lines:
+        return sinks.write_tsv(best, output_path, ["query_id", "place_name", "p"],
+                               order_by=[F.col("query_id"), F.col("place_name")], single_file=False)
     return sinks.write_tsv(best, output_path, ["place_name", "p"], order_by=[F.col("place_name")])

@@ -54,13 +54,14 @@ def scan_word_list(spark: SparkSession, path: str, col: str = "word") -> DataFra
 def scan_query_lines(spark: SparkSession, path: str, first_line_only: bool = True) -> DataFrame:
     """Query texts, one per line: ``(query_id, words)``.
 
-    ``query_id`` follows file order (monotonically increasing id is stable for
-    a file source).  With ``first_line_only`` only the first line is a query,
-    as in the reference's classifier; the top-1 is a global TakeOrdered, not a
-    driver-side read.
+    ``query_id`` rises along each file but not from file to file (scans pack
+    files by size).  With ``first_line_only`` only the first line of the first
+    file by name is a query, as in the reference's classifier; the top-1 is a
+    global TakeOrdered, not a driver-side read.
     """
     df = spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("query_id"), F.col("value").alias("line"))
+        F.monotonically_increasing_id().alias("query_id"), F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
     if first_line_only:
-        df = df.orderBy("query_id").limit(1)
+        df = df.orderBy("file", "start", "query_id").limit(1)
     return df.select("query_id", query_word_list("line").alias("words"))

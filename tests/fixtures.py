@@ -12,9 +12,9 @@ from datetime import datetime, timezone
 
 BASE_MS = 1_443_600_000_000  # 2015-09-30 08:00:00 UTC
 
-VOCAB = ["the", "and", "of", "to", "in", "is", "we", "My", "photo", "Near", "CAN", "art", "east",
-         "a", "I", "x", "Straße", "café", "😀", "#job", "apply:", "don't", "(ord)", '"quote', "día",
-         "Österreich", "love", "city", "night", "coffee"]
+VOCAB = ["the", "and", "of", "to", "in", "is", "they", "Our", "river", "Under", "MAY", "tea", "north",
+         "b", "O", "y", "Größe", "naïve", "🚲", "#walk", "note:", "isn't", "(sic)", '"said', "año",
+         "Übung", "love", "city", "train", "bread"]
 
 STOP_WORDS = ["the", "and", "of", "to", "in", "is"]
 

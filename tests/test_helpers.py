@@ -51,3 +51,35 @@ def test_scratch_output_lives_under_the_checkpoint_dir(spark):
 
     assert all(norm(f).startswith(norm(base) + "/") for f in m.inputFiles())
     assert sorted(m.collect()) == sorted(df.collect())
+
+
+def test_null_map_keys_are_counted(spark):
+    from geoscribe.operators.ranking import counts_as_map
+
+    df = spark.createDataFrame([("x", None), ("x", "k"), ("y", None)], "g string, k string")
+    got = {r.g: (r.counts, r.n_null) for r in counts_as_map(df, "g", "k").collect()}
+    assert got == {"x": ({"k": 1}, 1), "y": ({}, 1)}
+
+
+def test_hash_sample_keeps_its_resolution(spark):
+    from geoscribe.operators.sample import sample_hash
+
+    n = sample_hash(spark.range(20_000_000), "id", 4e-7).count()
+    assert 1 <= n <= 24
+
+
+def test_broadcast_is_bounded_in_bytes(spark):
+    from geoscribe.operators.joins import checked_broadcast
+
+    words = spark.createDataFrame([("a" * 50,), (None,)], "word string")
+    plan = lambda df: df._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan(checked_broadcast(words))
+    assert "broadcast" not in plan(checked_broadcast(words, max_bytes=49))
+
+
+def test_first_query_line_is_of_the_first_file_by_name(spark, tmp_path):
+    from geoscribe.sources import scan_query_lines
+
+    (tmp_path / "a.txt").write_text("first line\n", encoding="utf-8")
+    (tmp_path / "b.txt").write_text("other line\n" * 500, encoding="utf-8")
+    assert [r.words for r in scan_query_lines(spark, str(tmp_path)).collect()] == [["first", "line"]]

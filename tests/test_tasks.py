@@ -129,7 +129,7 @@ def test_command_line_profile(spark, data_dir, recs, capsys):
 
     assert main(["profile", str(data_dir / "posts.tsv")]) == 0
     lines = capsys.readouterr().out.splitlines()
-    assert len(lines) == 11 and lines[0] == f"number_of_tweets\t{float(len(recs))}"
+    assert len(lines) == 11 and lines[0] == f"n_rows\t{float(len(recs))}"
     assert main(["profile", str(data_dir / "posts.tsv"), "0.5"]) == 0
     sampled = float(capsys.readouterr().out.splitlines()[0].split("\t")[1])
     assert 0 < sampled < len(recs)
