@@ -21,10 +21,10 @@ Design for scale:
 * Word presence is an algebraic aggregate: a literal query becomes one
   ``sum(array_contains(...))`` per word in a single pass; a batch of queries
   filters document words by the query vocabulary before a partial aggregate.
-* The batch path never pairs every query with every class: a class can only
-  win if it holds the query's rarest word, so candidates come from an equi
-  join on that one word, and the other words are checked by an equi join on
-  (class, word).  Candidates per query are cut with ``rank() = 1``, which
+* In the batch path a class can only win if it holds the query's rarest word,
+  so candidates come from an equi join on that one word, and the other words
+  are checked by an equi join on (class, word).  A query whose rarest word is
+  in every class still meets every class.  Candidates per query are cut with ``rank() = 1``, which
   Catalyst applies partially before the shuffle (WindowGroupLimit).
 """
 
