@@ -90,15 +90,26 @@ def python_float_text(c: str | Column) -> Column:
     Shortest digits: the first ``%.<p>e`` rendering (p = 0..16) that reads back
     as the same double.  Notation: Python's rule, plain for decimal exponents
     in [-4, 16) and ``d.ddde-05`` otherwise.  Meant for result sinks (a few
-    string operations per value), not for hot paths.  Known limit: for some
+    string operations per value), not for hot paths: the steps are bound in
+    lambdas, which keeps them out of the generated code.  Known limit: for some
     integral doubles of magnitude 1e16..1e19 Java's ``%e`` rounds twice and the
     text can carry one digit more than Python's.
     """
     x = F.col(c) if isinstance(c, str) else c
     x = x.cast("double")
-    shortest = F.coalesce(*[
-        F.when(F.format_string(f"%.{p}e", x).cast("double") == x, F.format_string(f"%.{p}e", x))
-        for p in range(17)])
+    renderings = F.transform(F.array(x), lambda v: F.coalesce(*[
+        F.when(F.format_string(f"%.{p}e", v).cast("double") == v, F.format_string(f"%.{p}e", v))
+        for p in range(17)]))
+    converted = F.get(F.transform(renderings, _plain_notation), 0)
+    return (F.when(x.isNull(), F.lit(None).cast("string"))
+            .when(F.isnan(x), F.lit("nan"))
+            .when(x == float("inf"), F.lit("inf"))
+            .when(x == float("-inf"), F.lit("-inf"))
+            .otherwise(converted))
+
+
+def _plain_notation(shortest: Column) -> Column:
+    """``d.ddde-05`` text as Python prints it."""
     sign = F.when(F.startswith(shortest, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
     mant = F.regexp_extract(shortest, r"^-?([0-9.]+)e", 1)
     exp = F.regexp_extract(shortest, r"e([-+][0-9]+)$", 1).cast("int")
@@ -115,8 +126,4 @@ def python_float_text(c: str | Column) -> Column:
     converted = (F.when((exp >= -4) & (exp < 0), small)
                  .when((exp >= 0) & (exp < 16), large)
                  .otherwise(sci))
-    return (F.when(x.isNull(), F.lit(None).cast("string"))
-            .when(F.isnan(x), F.lit("nan"))
-            .when(x == float("inf"), F.lit("inf"))
-            .when(x == float("-inf"), F.lit("-inf"))
-            .otherwise(F.concat(sign, converted)))
+    return F.concat(sign, converted)

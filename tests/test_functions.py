@@ -70,3 +70,11 @@ def test_python_float_text_examples(spark):
     vals = [3.197180310001877e-10, 87.20140983681473, -54.87555556, 1e-05, 0.0001, 12345678.0, 1e16, -0.0, 5e-324]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     assert [r[0] for r in df.select(python_float_text("v")).collect()] == [repr(v) for v in vals]
+
+
+def test_float_text_stays_out_of_generated_code(spark):
+    df = spark.createDataFrame([(0.1, 1e-7)], "a double, b double")
+    text = df.select(gt.python_float_text("a").alias("a"), gt.python_float_text("b").alias("b"))
+    code = text._jdf.queryExecution().debug().codegenToSeq().mkString(" ")
+    assert len(code) < 60_000
+    assert tuple(text.first()) == ("0.1", "1e-07")
