@@ -340,6 +340,14 @@ def sink_tsv(spark, d):
     return spark.read.text(path).select(F.get(parts, 0).alias("n_name"), F.get(parts, 1).cast("bigint").alias("n"))
 
 
+def sink_tsv_double(spark, d):
+    """Centroids written as range-sorted TSV parts, with doubles as text, and read back."""
+    path = scratch_path(spark, "centroid_tsv")
+    schema = [("user_id", T.LongType()), ("lat", T.DoubleType()), ("lon", T.DoubleType())]
+    sinks.write_tsv(group_centroid(spark, d), path, [c for c, _ in schema], order_by=[F.col("user_id")], single_file=False)
+    return scan_delimited(spark, path, schema)
+
+
 QUERIES: dict[str, QueryFn] = {
     "count_rows": count_rows,
     "distinct_counts": distinct_counts,
@@ -379,6 +387,7 @@ QUERIES: dict[str, QueryFn] = {
     "scan_delimited": scan_delimited_roundtrip,
     "scan_word_list": scan_word_list_roundtrip,
     "sink_tsv": sink_tsv,
+    "sink_tsv_double": sink_tsv_double,
 }
 
 
@@ -565,6 +574,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, lang, source, n_chars, CAST(length(text) AS BIGINT) AS text_len FROM documents""",
     "scan_word_list": f"WITH {_QUERY_LINES_CTE} SELECT DISTINCT word FROM qw",
     "sink_tsv": _GROUP_COUNT_SQL,
+    "sink_tsv_double": _CENTROID_SQL,
 }
 
 
