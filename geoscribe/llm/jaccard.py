@@ -222,19 +222,22 @@ def contract(edges: DataFrame) -> DataFrame:
 # --- regions -----------------------------------------------------------------------
 
 def first_regions(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(reg, u, n)``: texts placed with their first pivots, regions of one text left out."""
+    """``(reg, u, n, c, ring_lo, ring_hi)``: texts placed with their first pivots, regions of one text left out."""
     kind = texts.schema["id"].dataType.simpleString()
     prefixes = texts.mapInArrow(_prefixes(common_bitmap(nodes)), f"id {kind}, u bigint, prefix array<bigint>")
-    rows = (nodes.select("id", "u", "n").join(prefixes, ["id", "u"]).dropDuplicates(["id", "u"])
-            .select("u", "n", F.explode("prefix").alias("reg")))
-    shared = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("reg"))).where(F.col("c") > 1)
-    shared = materialize(shared.select("reg", "u", "n"), "shared_shingles")
+    rows = (nodes.select("id", "u").join(prefixes, ["id", "u"]).dropDuplicates(["id", "u"])
+            .select("u", F.explode("prefix").alias("reg")))
     # Neighbouring shingles make regions with the same members; one of each kind stays.
-    kinds = shared.groupBy("reg").agg(
-        F.count(F.lit(1)).alias("c"), F.sum(F.shiftright(F.xxhash64("u"), 20)).alias("h1"),
-        F.bit_xor(F.xxhash64(F.lit(1), "u")).alias("h2"))
-    chosen = kinds.groupBy("c", "h1", "h2").agg(F.min("reg").alias("reg")).select("reg")
-    return shared.join(chosen, "reg", "left_semi").select("*", F.lit(0.0).alias("ring_lo"), F.lit(1.0).alias("ring_hi"))
+    region = Window.partitionBy("reg")
+    shared = rows.select(
+        "reg", "u", F.count(F.lit(1)).over(region).alias("members"),
+        F.sum(F.shiftright(F.xxhash64("u"), 20)).over(region).alias("h1"),
+        F.bit_xor(F.xxhash64(F.lit(1), "u")).over(region).alias("h2")).where(F.col("members") > 1)
+    shared = materialize(shared, "shared_shingles")
+    chosen = shared.groupBy("members", "h1", "h2").agg(F.min("reg").alias("reg")).select("reg")
+    kept = shared.select("reg", "u").join(chosen, "reg", "left_semi")
+    return kept.join(nodes.select("u", "n"), "u").select(
+        "reg", "u", "n", F.col("u").alias("c"), F.lit(0.0).alias("ring_lo"), F.lit(1.0).alias("ring_hi"))
 
 
 def _distance(both: Column, a: Column, b: Column) -> Column:
@@ -302,13 +305,15 @@ def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """
     regions = materialize(first_regions(nodes, texts), "regions")
     comps = materialize(regions.select("u").distinct().withColumn("c", F.col("u")), "components")
+    nodes = materialize(nodes.select("u", "id", "n", "k0", "k1", "k2", "k3", "large").join(comps.select("u"), "u", "left_semi"), "met_nodes")
     sketch = nodes.select("u", "k0", "k1", "k2", "k3")
     level = 0
-    while not regions.isEmpty():
-        members = regions.join(comps, "u")
-        picked = materialize(_pivots(members, PIVOTS[min(level, len(PIVOTS) - 1)]), "pivots")
+    while True:
+        picked = materialize(_pivots(regions, PIVOTS[min(level, len(PIVOTS) - 1)]), "pivots")
+        if picked.isEmpty():
+            return comps
         small, large = F.least("n", "pn"), F.greatest("n", "pn")
-        pairs = (members.join(picked, "reg").select("reg", "u", "n", "c", "ring_lo", "ring_hi", F.explode("pivots").alias("q"))
+        pairs = (regions.join(picked, "reg").select("reg", "u", "n", "c", "ring_lo", "ring_hi", F.explode("pivots").alias("q"))
                  .where((F.col("u") != F.col("q.u")) & (F.col("c") != F.col("q.c"))
                         & (F.col("ring_lo") <= F.col("q.ring_hi") + RING) & (F.col("q.ring_lo") <= F.col("ring_hi") + RING))
                  .select("reg", "u", "n", F.col("q.u").alias("p"), F.col("q.n").alias("pn")))
@@ -333,19 +338,15 @@ def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         comps = materialize(comps.join(roots.withColumnRenamed("v", "c"), "c", "left").select(
             "u", F.coalesce("root", "c").alias("c")), "components")
 
-        # Pivots leave; the first one sets the rings of its region.
-        is_pivot = picked.select("reg", F.explode("pivots.u").alias("u"))
-        following = regions.join(is_pivot, ["reg", "u"], "left_anti")
+        # Pivots leave; the first one sets the rings of its region.  Regions of one component got no pivots and end.
+        following = regions.drop("c").join(picked, "reg").where(~F.array_contains("pivots.u", F.col("u")))
         if level == 0:
-            centre = picked.select("reg", F.element_at("pivots", 1)["u"].alias("p"), F.element_at("pivots", 1)["n"].alias("pn"))
-            ringed = following.drop("ring_lo", "ring_hi").join(centre, "reg").join(known.select("p", "u", "d"), ["p", "u"], "left")
-            following = ringed.select("reg", "u", "n", F.coalesce("d", 1 - small / large).alias("ring_lo"),
-                                      F.coalesce("d", F.lit(1.0)).alias("ring_hi"))
-        alive = (following.join(comps, "u").groupBy("reg").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-                 .where(F.col("lo") != F.col("hi")).select("reg"))
-        regions = materialize(following.join(alive, "reg", "left_semi"), "regions")
+            head = F.element_at("pivots", 1)
+            following = following.select("reg", "u", "n", head["u"].alias("p"), head["n"].alias("pn")).join(
+                known.select("p", "u", "d"), ["p", "u"], "left").select(
+                "reg", "u", "n", F.coalesce("d", 1 - small / large).alias("ring_lo"), F.coalesce("d", F.lit(1.0)).alias("ring_hi"))
+        regions = materialize(following.drop("pivots").join(comps, "u"), "regions")
         level += 1
-    return comps
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -356,8 +357,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         _sets, f"id {kind}, n bigint, u bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint, large array<bigint>, sample array<bigint>"),
         "shingle_sets")
     named = sets.where((F.col("n") > 0) & F.col("id").isNotNull())
-    heads = named.groupBy("u").agg(F.min("id").alias("id"))
-    nodes = materialize(named.join(heads, ["u", "id"]).dropDuplicates(["u"]), "nodes")
+    # Copies of a text leave one row per map task; the smallest id decides.
+    first = F.min(F.struct(*[c for c in _NAMES if c != "u"])).alias("first")
+    nodes = materialize(named.groupBy("u").agg(first).select("u", "first.*"), "nodes")
     comps = link_components(nodes, texts.where(F.col("id").isNotNull()))
     placed = sets.select("id", "n", "u").join(comps, "u", "left").withColumn(
         "c", F.when(F.col("n") > 0, F.coalesce("c", "u")))
