@@ -136,21 +136,31 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(bitmap: np.ndarray):
-    """The first ``n // 5 + 1`` shingles of each text, common ones last."""
+    """``(reg, u)``: the first ``n // 5 + 1`` shingles of each text, common ones last.
+
+    A task passes over sets it has met (it forgets them at ``MEMO``), so copies add a row a task, not one each.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _WordHashes()
+        memo, met = _WordHashes(), set()
         for b in batches:
             u, prefix = [], []
             for t in _utf8(b.column("text")):
                 s = shingle_set(t, memo)
+                d = digest(s)
+                if d in met:
+                    continue
+                if len(met) > MEMO:
+                    met.clear()
+                met.add(d)
                 bit = s & np.uint64(BITMAP_BITS - 1)
                 common = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
                 k = len(s) // 5 + 1
                 first = s[~common][:k]
                 prefix.append(first if len(first) == k else np.concatenate([first, s[common][:k - len(first)]]))
-                u.append(digest(s))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(u, pa.int64()), _arrays(prefix)],
-                                             names=["id", "u", "prefix"])
+                u.append(d)
+            flat = np.concatenate(prefix) if prefix else np.zeros(0, np.uint64)
+            owner = np.repeat(np.array(u, np.int64), [len(f) for f in prefix])
+            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(owner)], names=["reg", "u"])
 
     return run
 
@@ -223,18 +233,15 @@ def contract(edges: DataFrame) -> DataFrame:
 
 def first_regions(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """``(reg, u, n, c, ring_lo, ring_hi)``: texts placed with their first pivots, regions of one text left out."""
-    kind = texts.schema["id"].dataType.simpleString()
-    prefixes = texts.mapInArrow(_prefixes(common_bitmap(nodes)), f"id {kind}, u bigint, prefix array<bigint>")
-    rows = (nodes.select("id", "u").join(prefixes, ["id", "u"]).dropDuplicates(["id", "u"])
-            .select("u", F.explode("prefix").alias("reg")))
-    # Neighbouring shingles make regions with the same members; one of each kind stays.
+    rows = texts.select("text").mapInArrow(_prefixes(common_bitmap(nodes)), "reg bigint, u bigint")
+    # One exchange, by region: most shingles are one text's own.  Equal rows come from copies in several tasks.
     region = Window.partitionBy("reg")
-    shared = rows.select(
-        "reg", "u", F.count(F.lit(1)).over(region).alias("members"),
-        F.sum(F.shiftright(F.xxhash64("u"), 20)).over(region).alias("h1"),
-        F.bit_xor(F.xxhash64(F.lit(1), "u")).over(region).alias("h2")).where(F.col("members") > 1)
+    shared = (rows.withColumn("lo", F.min("u").over(region)).withColumn("hi", F.max("u").over(region))
+              .where(F.col("lo") < F.col("hi")).dropDuplicates(["reg", "u"])
+              .withColumn("members", F.count(F.lit(1)).over(region)).withColumn("mixed", F.bit_xor("u").over(region)))
     shared = materialize(shared, "shared_shingles")
-    chosen = shared.groupBy("members", "h1", "h2").agg(F.min("reg").alias("reg")).select("reg")
+    # Neighbouring shingles make regions with the same members; one of each kind stays.
+    chosen = shared.groupBy("members", "mixed", "lo", "hi").agg(F.min("reg").alias("reg")).select("reg")
     kept = shared.select("reg", "u").join(chosen, "reg", "left_semi")
     return kept.join(nodes.select("u", "n"), "u").select(
         "reg", "u", "n", F.col("u").alias("c"), F.lit(0.0).alias("ring_lo"), F.lit(1.0).alias("ring_hi"))
