@@ -1,19 +1,28 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash rolls over the UTF-8 bytes of a text; a chunk ends where the top
-``BITS`` bits of the hash are zero.  The hash sees the last 32 bytes only, so
-equal passages are cut alike wherever they stand and an insertion moves no
-other boundary.  Chunks are compared by a 128-bit digest over the whole corpus;
-maximal runs of neighbouring repeated chunks of at least ``MIN_RUN`` characters
-are repeats.  (A short common phrase fills a chunk now and then, never a run.)
-The first occurrence of a chunk, by id and position, is its original; all
-others can be cut out with ``remove_repeats``.
+A gear hash rolls over the UTF-8 bytes of a text and sees the last ``SEEN``
+bytes only; a chunk ends at the smallest hash of every ``REACH`` neighbouring
+positions.  Equal passages are cut alike wherever they stand, and each of at
+least ``SEEN + REACH - 1`` = 101 bytes (51 words of one letter) holds a cut whose hash
+saw nothing but the passage.
+
+The bytes seen at a cut are its anchor; anchors are compared over the whole
+corpus.  Each repeated one is aligned with its first occurrence, by id and
+position.  Neighbouring anchors with one alignment and equal chunks between
+them form a segment, which is extended character by character on both sides
+against the text of the first occurrence, at most ``CONTEXT`` characters (more
+than an end can be away from the passage's last anchor), and back to whole
+words.  Segments that touch or overlap make a run, in the copy and in the
+original; runs of at least ``MIN_RUN`` characters or over ``MIN_WORDS`` words
+are repeats.  ``remove_repeats`` cuts out what also stands earlier.
 
 The gear hash of all positions takes five vector additions per text: the hash
 over ``2k`` bytes is that over ``k`` bytes plus the one ``k`` bytes earlier,
 shifted.  Occurrences are counted with partial counts per task, and only
-chunks whose digest repeats are joined back, so a passage in a third of all
+anchors whose digest repeats are joined back, so a passage in a third of all
 documents is a skewed join side that Spark can split, never a group in a task.
+Only the ends of segments fetch text; extents on an original are combined by
+start before they meet.
 
 Positions are code points, ends exclusive.  Null and empty texts have no
 chunks; rows that repeat an id and a text count as one document more, and their
@@ -23,18 +32,21 @@ repeats are reported once; a null id is an id.  An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoscribe.llm.common import documents, null_safe
+from geoscribe.llm.common import WORD, documents, materialize, null_safe
 
-BITS = 6
-SHORTEST, LONGEST = 16, 1_024
+SEEN, REACH = 32, 70
+CONTEXT = 128
 MIN_RUN = 120
+MIN_WORDS = 50
 GEAR_KEY = b"gear"
 
 
@@ -44,95 +56,189 @@ def gear_table(key: bytes = GEAR_KEY) -> np.ndarray:
                      for i in range(256)], np.uint32)
 
 
-def chunk_ends(data: bytes, gear: np.ndarray, bits: int = BITS, shortest: int = SHORTEST,
-               longest: int = LONGEST) -> list[int]:
-    """Byte offsets after each chunk, always between characters."""
-    if not data:
-        return []
+def _cuts(data: bytes, gear: np.ndarray) -> np.ndarray:
+    """Byte offsets of the cuts, always between characters."""
     raw = np.frombuffer(data, np.uint8)
+    if len(raw) < SEEN + REACH - 1:
+        return np.zeros(0, np.int64)
     h = gear[raw]
     width = 1
-    while width < 32:
+    while width < SEEN:
         earlier = np.zeros_like(h)
         earlier[width:] = h[:-width]
         h = h + (earlier << np.uint32(width))
         width *= 2
-    starts_char = np.ones(len(raw) + 1, bool)                    # may a cut stand before byte i?
-    starts_char[:-1] = (raw & 0xC0) != 0x80
-    cuts = np.flatnonzero((h >> np.uint32(32 - bits)) == 0) + 1
-    ends, last = [], 0
-    for c in [*cuts[starts_char[cuts]].tolist(), len(data)]:
-        while c - last > longest:
-            forced = last + longest
-            while not starts_char[forced]:
-                forced -= 1
-            ends.append(forced)
-            last = forced
-        if c - last >= shortest or c == len(data) and c > last:
-            ends.append(c)
-            last = c
-    return ends
-
-
-_CHUNK = "d0 bigint, d1 bigint, row bigint, idx int, start int, end int"
+    inside = np.zeros(len(raw), bool)                            # would a cut after byte i split a character?
+    inside[:-1] = (raw[1:] & 0xC0) == 0x80
+    inside[1:] |= h[1:] == h[:-1]                                # one cut for a run of one byte
+    low = (h.astype(np.uint64) << np.uint64(31)) | np.arange(len(raw), dtype=np.uint64)
+    low[inside] |= np.uint64(1 << 63)
+    low = low[SEEN - 1:]
+    width = 1
+    while 2 * width <= REACH:
+        low = np.minimum(low[:-width], low[width:])
+        width *= 2
+    if width < REACH:
+        low = np.minimum(low[:width - REACH], low[REACH - width:])
+    low = low[low < np.uint64(1 << 63)]
+    return np.unique((low & np.uint64((1 << 31) - 1)).astype(np.int64)) + 1
+
+
+def chunk_ends(data: bytes, gear: np.ndarray) -> list[int]:
+    """Byte offsets after each chunk, always between characters."""
+    ends = _cuts(data, gear).tolist()
+    return ends if not data or ends and ends[-1] == len(data) else [*ends, len(data)]
+
+
+_CHUNK = "d bigint, c bigint, row bigint, idx int, end int"
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     gear = gear_table()
     for b in batches:
-        take, digests, rows, idx, starts, ends = [], [], [], [], [], []
+        take, digests, rows, idx, ends = [], [], [], [], []
         for k, (t, row) in enumerate(zip(b.column("text"), b.column("row").to_pylist())):
             data = (t.as_py() or "").encode("utf-8", "surrogatepass")
-            cut = chunk_ends(data, gear)
+            cuts = _cuts(data, gear)
+            cut = cuts.tolist()
             if not cut:
                 continue
-            first = [0, *cut[:-1]]
-            digests += [hashlib.blake2b(data[s:e], digest_size=16).digest() for s, e in zip(first, cut)]
+            digests += [(xxhash.xxh3_64_intdigest(data[e - SEEN:e]), xxhash.xxh3_64_intdigest(data[s:e]))
+                        for s, e in zip([0, *cut[:-1]], cut)]
             chars = np.zeros(len(data) + 1, np.int32)
             np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80, out=chars[1:])
-            starts.append(chars[first])
-            ends.append(chars[cut])
+            ends.append(chars[cuts])
             take += [k] * len(cut)
             rows += [row] * len(cut)
             idx += range(len(cut))
-        two = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-        none = [np.zeros(0, np.int32)]
+        two = np.array(digests, np.uint64).reshape(-1, 2).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.ascontiguousarray(two[:, 0])), pa.array(np.ascontiguousarray(two[:, 1])),
-             pa.array(rows, pa.int64()), pa.array(idx, pa.int32()), pa.array(np.concatenate(starts or none)),
-             pa.array(np.concatenate(ends or none)), b.column("id").take(pa.array(take, pa.int64()))],
-            names=["d0", "d1", "row", "idx", "start", "end", "id"])
+             pa.array(rows, pa.int64()), pa.array(idx, pa.int32()), pa.array(np.concatenate(ends or [np.zeros(0, np.int32)])),
+             b.column("id").take(pa.array(take, pa.int64()))],
+            names=["d", "c", "row", "idx", "end", "id"])
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("row"))
 
 
 def chunk_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(d0, d1, row, idx, start, end, id)`` per chunk; ``row`` tells texts of one id apart."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("row"))
+    """``(d, c, row, idx, end, id)`` per cut: digests of its anchor and chunk; ``row`` tells texts of one id apart."""
+    rows = _rows(docs, id_col, text_col)
     return rows.mapInArrow(_chunks, f"{_CHUNK}, id {rows.schema['id'].dataType.simpleString()}")
 
 
+def _contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(id, row, at, before, after)``: the text around the positions ``wanted`` (id, row, at)."""
+    lists = wanted.groupBy("id", "row").agg(F.collect_set("at").alias("ats"))
+    found = null_safe(rows, lists, ["id", "row"], "inner").select("id", "row", "text", F.explode("ats").alias("at"))
+    first = F.greatest(F.col("at") - CONTEXT, F.lit(0))
+    return found.select("id", "row", "at", F.substring("text", first + 1, F.col("at") - first).alias("before"),
+                        F.substring("text", F.col("at") + 1, F.lit(CONTEXT)).alias("after")).dropDuplicates(["id", "row", "at"])
+
+
+def _common(a: str, b: str) -> int:
+    """Length of the common beginning, back to a whole word."""
+    n = len(os.path.commonprefix((a, b)))
+    if n and not a[n - 1].isspace() and any(n < len(x) and not x[n].isspace() or n == len(x) == CONTEXT for x in (a, b)):
+        part = len(a[:n].split()[-1])
+        if part <= SEEN:                                         # text without spaces has no words to go back to
+            n -= part
+    return n
+
+
+def extent(before: str, after: str, first_before: str, first_after: str) -> tuple[int, int, int]:
+    """Characters shared before and after an anchor, and their number of words; zeros if the anchor differs."""
+    if not before or before[-1] != first_before[-1:]:
+        return 0, 0, 0
+    at_left = _common(before[::-1], first_before[::-1])
+    at_right = _common(after, first_after)
+    # A word across the anchor's end is no cut word: the shared part goes on at the other side.
+    if at_right == 0 and after and first_after and not before[-1].isspace() and not after[0].isspace():
+        whole = before + after
+        tail = len(whole[:len(before)].split()[-1])
+        at_right = -min(tail, at_left) if tail <= SEEN else 0
+    return at_left, at_right, len(WORD.findall(before[len(before) - at_left:] + after[:max(at_right, 0)]))
+
+
+def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        got = [extent(*x) for x in zip(*(b.column(c).to_pylist() for c in ("before", "after", "first_before", "first_after")))]
+        left, right, words = zip(*got) if got else ((), (), ())
+        keep = [c for c in b.schema.names if c not in ("before", "after", "first_before", "first_after")]
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(c) for c in keep), *(pa.array(x, pa.int32()) for x in (left, right, words))],
+            names=[*keep, "left", "right", "words"])
+
+
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """Repeated passages: ``(id, start, end, n_chunks, copies, first_id, n_cut_chars)``.
 
-    ``copies`` is the largest number of occurrences of a chunk of the run,
-    ``first_id`` the document with the original of its first chunk, and
-    ``n_cut_chars`` the characters that are not originals.
+    ``n_chunks`` is the number of repeated cuts in the run, ``copies`` the
+    largest number of occurrences of one of its anchors, ``first_id`` the
+    document with the original of its beginning, and ``n_cut_chars`` the
+    characters that also stand earlier.
     """
     chunks = chunk_texts(docs, id_col, text_col)
-    where = F.struct("id", "row", "start")
-    repeated = (chunks.groupBy("d0", "d1").agg(F.count(F.lit(1)).alias("copies"), F.min(where).alias("origin"))
+    repeated = (chunks.groupBy("d").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "row", "end", "c")).alias("o"))
                 .where(F.col("copies") > 1))
-    found = chunks.join(repeated, ["d0", "d1"]).select(
-        "id", "row", "idx", "start", "end", "copies", F.col("origin.id").alias("first_id"),
-        F.when(F.col("origin").eqNullSafe(where), 0).otherwise(F.col("end") - F.col("start")).alias("cut"))
-    # Identical rows repeat a position: the dense rank still tells neighbours, and one of them stays.
+    found = materialize(chunks.join(repeated, "d").select(
+        "id", "row", "idx", "end", "copies", F.col("o.id").alias("oid"), F.col("o.row").alias("orow"),
+        F.col("o.end").alias("oend"), (F.col("c") == F.col("o.c")).alias("whole"))
+        .dropDuplicates(["id", "row", "idx"]), "repeated_anchors")
+    # Segments: neighbouring anchors with one original, one shift and equal chunks between them.
     order = Window.partitionBy("id", "row").orderBy("idx")
-    runs = found.withColumn("run", F.col("idx") - F.dense_rank().over(order)).dropDuplicates(["id", "row", "idx"])
-    out = runs.groupBy("id", "row", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_chunks"),
-        F.max("copies").alias("copies"), F.min_by("first_id", "idx").alias("first_id"),
-        F.sum("cut").cast("long").alias("n_cut_chars"))
-    return out.where(F.col("end") - F.col("start") >= min_run).select(
-        F.col("id").alias(id_col), "start", "end", "n_chunks", "copies", "first_id", "n_cut_chars", "row")
+    place = F.struct("oid", "orow", (F.col("end") - F.col("oend")).alias("shift"), F.col("idx"))
+    copied = found.where(~(F.struct("id", "row", "end").eqNullSafe(F.struct("oid", "orow", "oend"))))
+    before = F.lag(place).over(order)
+    joined = (F.col("whole") & before["oid"].eqNullSafe(F.col("oid")) & (before["orow"] == F.col("orow"))
+              & (before["shift"] == F.col("end") - F.col("oend")) & (before["idx"] == F.col("idx") - 1))
+    marked = copied.withColumn("opens", ~F.coalesce(joined, F.lit(False)))
+    marked = marked.withColumn("closes", F.coalesce(F.lead("opens").over(order), F.lit(True)))
+    marked = marked.withColumn("segment", F.sum(F.col("opens").cast("int")).over(order))
+    edges = materialize(marked.where(F.col("opens") | F.col("closes")).drop("idx", "whole"), "segment_ends")
+    wanted = edges.select("id", "row", F.col("end").alias("at")).unionByName(
+        edges.select(F.col("oid").alias("id"), F.col("orow").alias("row"), F.col("oend").alias("at"))).distinct()
+    around = materialize(_contexts(_rows(docs, id_col, text_col), wanted), "segment_contexts")
+    own = null_safe(edges.withColumn("at", F.col("end")), around, ["id", "row", "at"], "inner").drop("at")
+    theirs = around.select(F.col("id").alias("oid"), F.col("row").alias("orow"), F.col("at").alias("oend"),
+                           F.col("before").alias("first_before"), F.col("after").alias("first_after"))
+    both = null_safe(own, theirs, ["oid", "orow", "oend"], "inner")
+    keep = ["id", "row", "segment", "end", "copies", "oid", "orow", "oend", "opens", "closes"]
+    both = both.select(*keep, "before", "after", "first_before", "first_after")
+    plain = ", ".join(f"{c} {both.schema[c].dataType.simpleString()}" for c in keep)
+    segments = both.mapInArrow(_extend, f"{plain}, left int, right int, words int").groupBy("id", "row", "segment").agg(
+        F.min(F.when(F.col("opens"), F.col("end") - F.col("left"))).alias("start"),
+        F.max(F.when(F.col("closes"), F.col("end") + F.col("right"))).alias("stop"), F.max("words").alias("words"),
+        F.max("copies").alias("copies"), F.min(F.struct("oid", "orow")).alias("o"),
+        F.min(F.col("end") - F.col("oend")).alias("shift")).where(F.col("stop") > F.col("start"))
+    segments = materialize(segments, "segments")
+    first = F.struct(F.col("o.oid").alias("id"))
+    extents = segments.select("id", "row", "start", "stop", "words", "copies", first.alias("first"), F.col("stop").alias("cut")).unionByName(
+        segments.select(F.col("o.oid").alias("id"), F.col("o.orow").alias("row"), (F.col("start") - F.col("shift")).alias("start"),
+                        (F.col("stop") - F.col("shift")).alias("stop"), "words", "copies", first.alias("first"),
+                        F.lit(None).cast("int").alias("cut")))
+    # One row per start: an original of very many copies has as many rows as characters at most.
+    extents = extents.groupBy("id", "row", "start").agg(
+        F.max("stop").alias("stop"), F.max("words").alias("words"), F.max("copies").alias("copies"),
+        F.min("first").alias("first"), F.max("cut").alias("cut"))
+    by_start = Window.partitionBy("id", "row").orderBy("start")
+    earlier = by_start.rowsBetween(Window.unboundedPreceding, -1)
+    cut_from = F.greatest(F.col("start"), F.coalesce(F.max("cut").over(earlier), F.lit(0)))
+    extents = extents.withColumn("new", F.col("start") > F.coalesce(F.max("stop").over(earlier), F.lit(-1))).withColumn(
+        "n_cut", F.when(F.col("cut") > cut_from, F.col("cut") - cut_from).otherwise(0))
+    extents = extents.withColumn("run", F.sum(F.col("new").cast("int")).over(by_start))
+    runs = extents.groupBy("id", "row", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("end"), F.max("words").alias("words"),
+        F.max("copies").alias("copies"), F.min_by("first", "start").alias("first"),
+        F.sum("n_cut").cast("long").alias("n_cut_chars"))
+    runs = runs.where((F.col("end") - F.col("start") >= min_run) | (F.col("words") > MIN_WORDS))
+    ends = found.groupBy("id", "row").agg(F.collect_list("end").alias("ends"))
+    out = null_safe(runs, ends, ["id", "row"], "inner")
+    inside = F.size(F.filter("ends", lambda e: (e > F.col("start")) & (e <= F.col("end")))).cast("long")
+    return out.select(F.col("id").alias(id_col), "start", "end", inside.alias("n_chunks"), "copies",
+                      F.col("first.id").alias("first_id"), "n_cut_chars", "row")
 
 
 def remove_repeats(docs: DataFrame, repeats: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

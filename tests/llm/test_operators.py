@@ -253,3 +253,24 @@ def test_licenses(spark, docs, empty):
     assert (50_002, 0) not in got or got[50_002, 0].family == "unknown"
     assert not {50_003, 50_004, 50_005} & {k[0] for k in got}
     assert licenses.scan_licenses(empty).count() == 0
+
+
+def test_chunks_find_every_passage_of_51_words(spark):
+    rows, want = [], {}
+    for seed in range(150):
+        rng = np.random.default_rng(seed)
+        size = 1 if seed < 20 else 4
+
+        def words(n, most):
+            return ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(1, most + 1))) for _ in range(n)]
+
+        passage = " ".join(words(51, size))
+        for k in (2 * seed, 2 * seed + 1):
+            lead, tail = " ".join(words(30, 9)) + " ", " " + " ".join(words(30, 9))
+            rows.append((k, lead + passage + tail, "en", "s", 1))
+            want[k] = (len(lead), len(lead) + len(passage))
+    got = {r.doc_id: r for r in chunks.find_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert set(got) == set(want)
+    for k, (start, end) in want.items():
+        assert 0 <= start - got[k].start <= 2 and 0 <= got[k].end - end <= 2, k
+        assert got[k].n_cut_chars == (got[k].end - got[k].start if k % 2 else 0) and got[k].first_id == k - k % 2
