@@ -3,29 +3,34 @@
 Texts become sequences of words in lower case in which numbers, names and
 units are replaced by typed placeholders.  Windows of ``WINDOW`` tokens of
 the benchmark items are joined by hash (and then by their text) with those of
-all documents.  A window match carries the values that stood in its slots;
-along one alignment (document position minus item position) every slot value
-of the item must always map to the same document value of that alignment.  A
-document is contaminated by an item when consistent alignments cover at least
-``MIN_COVERAGE`` of the item's windows, so verbatim copies are caught as well
-as questions with other numbers and names.
+all documents.  A shared window only makes a candidate: the item's tokens are
+then matched in order with the document's tokens around that alignment, blocks
+of at least ``MIN_BLOCK`` equal tokens, so changed, added and dropped words cost
+what they cover and no more.  Every slot value of the item must always map to
+the same document value.  A document is contaminated by an item when blocks
+cover at least ``MIN_COVERAGE`` of the item's tokens, so verbatim copies are
+caught as well as questions with other numbers and names.
 
 Only document windows that may match leave their task: the benchmark's window
 hashes set a bitmap of fixed size, built by an aggregation (``bit_or``), and
 windows that miss it are dropped.  False hits fall out in the join.  The bitmap
 has the same size for any benchmark; the benchmark itself is never broadcast.
 
-Windows need ``MIN_PLAIN`` tokens that are no placeholders.  Items shorter
-than a window are one window of their own length; items of fewer than
-``MIN_PLAIN`` plain tokens identify nothing.  Null and empty texts and items
-match nothing; rows that share an id count as one document; a null id is an
-id.  Empty tables give no rows.
+Windows need ``MIN_PLAIN`` tokens that are no placeholders; poorer ones are
+joined on their literal words instead.  Items shorter than a window are one
+window of their own length; items of fewer than ``MIN_TOKENS`` tokens identify
+nothing.  A capitalised word that opens an item is read both as a word and as a
+name.  An item without any unedited window of ``WINDOW`` tokens is not found.
+
+Null and empty texts and items match nothing; rows that share an id count as
+one document; a null id is an id.  Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +38,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoscribe.llm.common import benchmark, documents
+from geoscribe.llm.common import benchmark, documents, materialize
 
 WINDOW = 8
 MIN_PLAIN = 4
+MIN_TOKENS = 4
+MIN_BLOCK = 2
 MIN_COVERAGE = 0.5
 BITMAP_BITS = 1 << 26
 MEMO = 300_000
@@ -83,13 +90,14 @@ class _Tokens(dict):
 _SLOT_CODE = {k: np.uint64(xxhash.xxh3_64_intdigest(v.encode())) for k, v in _SLOTS.items()}
 
 
-def canonical(text: str, memo: _Tokens) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Tokens, their slot kinds (0: none) and codes, stops removed."""
+def canonical(text: str, memo: _Tokens) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, their slot kinds (0: none), codes and literal codes, stops removed."""
     tokens = _TOKEN.findall(text)
     if len(memo) > MEMO:
         memo.clear()
     rows = np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
     kind, code = memo.kind[rows], memo.code[rows]
+    literal = code
     stop = kind == _STOP
     opens = np.ones(len(tokens), bool)                      # first token of a sentence: no name
     opens[1:] = stop[:-1]
@@ -99,36 +107,54 @@ def canonical(text: str, memo: _Tokens) -> tuple[list[str], np.ndarray, np.ndarr
     for k, c in _SLOT_CODE.items():
         code = np.where(slot == k, c, code)
     keep = ~stop
-    return [t for t, k in zip(tokens, keep.tolist()) if k], slot[keep], code[keep]
+    return [t for t, k in zip(tokens, keep.tolist()) if k], slot[keep], code[keep], literal[keep]
 
 
-def window_hashes(slot: np.ndarray, code: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each window, 0 where it has too few plain tokens."""
+def window_hashes(slot: np.ndarray, code: np.ndarray, literal: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each window, 0 where it has too few plain tokens; starts and literal hashes of the windows that are poor
+    or would be if their first token were a name."""
     n = len(code) - width + 1
     if n < 1:
-        return np.zeros(0, np.uint64)
-    h = np.full(n, width, np.uint64)
-    for k in range(width):
-        h = (h ^ code[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+
+    def mixed(start: int, parts: list[np.ndarray]) -> np.ndarray:
+        h = np.full(len(parts[0]), start, np.uint64)
+        for x in parts:
+            h = (h ^ x) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        return h
+
+    h = mixed(width, [code[k:k + n] for k in range(width)])
     plain = np.concatenate([[0], np.cumsum(slot == 0)])
-    h[plain[width:] - plain[:-width] < min(MIN_PLAIN, width)] = 0
-    return h
+    plain = plain[width:] - plain[:-width]
+    least = min(MIN_PLAIN, width)
+    h[plain < least] = 0
+    poor = np.flatnonzero(plain <= least)
+    return h, poor, mixed(width + (1 << 32), [literal[poor + k] for k in range(width)])
 
 
-def _window(tokens: list[str], slot: np.ndarray, at: int, width: int) -> tuple[str, list[str]]:
-    """Canonical text and slot values."""
+def _window(tokens: list[str], slot: np.ndarray, at: int, width: int) -> str:
+    """Canonical text."""
     part, kinds = [t.lower() for t in tokens[at:at + width]], slot[at:at + width].tolist()
-    return " ".join(_SLOTS.get(k, t) for t, k in zip(part, kinds)), [f"{k}{t}" for t, k in zip(part, kinds) if k]
+    return " ".join(_SLOTS.get(k, t) for t, k in zip(part, kinds))
+
+
+def _literal(tokens: list[str], at: int, width: int) -> str:
+    return "=" + " ".join(t.lower() for t in tokens[at:at + width])
+
 
+def _kinds(tokens: list[str], slot: np.ndarray, start: int, end: int) -> list[str]:
+    """Tokens in lower case behind the digit of their slot kind."""
+    return [f"{k}{t.lower()}" for t, k in zip(tokens[start:end], slot[start:end].tolist())]
 
-_WINDOW = "h bigint, pos int, win string, slots array<string>, n int"
 
+_WINDOW = "h bigint, pos int, win string, first int, toks array<string>, n int"
 
-def _emit(ids, take: list[int], found: list[tuple], names=("h", "pos", "win", "slots", "n", "id")) -> pa.RecordBatch:
-    cols = list(zip(*found)) if found else [()] * 5
+
+def _emit(ids, take: list[int], found: list[tuple], names=("h", "pos", "win", "first", "toks", "n", "id")) -> pa.RecordBatch:
+    cols = list(zip(*found)) if found else [()] * 6
     arrays = [pa.array(np.array(cols[0], np.uint64).view(np.int64)), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()),
-              pa.array(cols[3], pa.list_(pa.string())), pa.array(cols[4], pa.int32())]
+              pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.list_(pa.string())), pa.array(cols[5], pa.int32())]
     return pa.RecordBatch.from_arrays([*arrays, ids.take(pa.array(take, pa.int64()))], names=list(names))
 
 
@@ -138,43 +164,98 @@ def _item_windows(width: int):
         for b in batches:
             take, found = [], []
             for k, t in enumerate(b.column("text")):
-                tokens, slot, code = canonical(t.as_py() or "", memo)
+                tokens, slot, code, literal = canonical(t.as_py() or "", memo)
                 w = min(width, len(tokens))
-                if w < MIN_PLAIN:
+                if w < MIN_TOKENS:
                     continue
-                h = window_hashes(slot, code, w)
-                at = np.flatnonzero(h)
-                for i in at.tolist():
-                    found.append((h[i], i, *_window(tokens, slot, i, w), len(at)))
-                    take.append(k)
+                toks = _kinds(tokens, slot, 0, len(tokens))
+                readings = [(slot, code)]
+                if slot[0] == 0 and len(tokens[0]) > 1 and tokens[0][0].isupper() and tokens[0][1:].islower():
+                    named = slot.copy(), code.copy()
+                    named[0][0], named[1][0] = _CAPITAL, _SLOT_CODE[_CAPITAL]
+                    readings.append(named)
+                for r, (kinds, codes) in enumerate(readings):
+                    h, poor, lit = window_hashes(kinds, codes, literal, w)
+                    at = np.flatnonzero(h if r == 0 else h[:1])
+                    rows = [(h[i], i, _window(tokens, kinds, i, w)) for i in at.tolist()]
+                    if r == 0:
+                        rows += [(x, i, _literal(tokens, i, w)) for i, x in zip(poor.tolist(), lit)]
+                    found += [(*x, 0, toks, len(tokens)) for x in rows]
+                    take += [k] * len(rows)
             yield _emit(b.column("id"), take, found)
 
     return run
 
 
-def _document_windows(widths: list[int], bitmap: np.ndarray):
+def _document_windows(widths: list[int], bitmap: np.ndarray, reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Tokens()
         mask = np.uint64(BITMAP_BITS - 1)
+
+        def hits(h: np.ndarray) -> np.ndarray:
+            bit = h & mask
+            hit = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
+            return np.flatnonzero((hit == 1) & (h != 0))
+
         for b in batches:
             take, found = [], []
             for k, t in enumerate(b.column("text")):
                 text = t.as_py()
                 if not text:
                     continue
-                tokens, slot, code = canonical(text, memo)
+                tokens, slot, code, literal = canonical(text, memo)
                 for w in widths:
-                    h = window_hashes(slot, code, w)
-                    bit = h & mask
-                    hit = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
-                    for i in np.flatnonzero((hit == 1) & (h != 0)).tolist():
-                        found.append((h[i], i, *_window(tokens, slot, i, w), 0))
-                        take.append(k)
+                    h, poor, lit = window_hashes(slot, code, literal, w)
+                    rows = [(h[i], i, _window(tokens, slot, i, w)) for i in hits(h).tolist()]
+                    rows += [(lit[i], int(poor[i]), _literal(tokens, int(poor[i]), w)) for i in hits(lit).tolist()]
+                    for x in rows:
+                        first = max(0, x[1] - reach)
+                        found.append((*x, first, _kinds(tokens, slot, first, x[1] + w + reach), 0))
+                    take += [k] * len(rows)
             yield _emit(b.column("id"), take, found)
 
     return run
 
 
+def aligned(item: list[str], part: list[str]) -> tuple[int, bool]:
+    """Tokens of the item in blocks that also stand, in order, in the document's part, and whether a slot changed.
+
+    No token counts when blocks of ``MIN_PLAIN`` tokens or more disagree on a slot; shorter ones are left out then.
+    """
+    def shapes(toks: list[str]) -> list[str]:
+        return [_SLOTS.get(int(t[0]), t[1:]) for t in toks]
+
+    a, b = shapes(item), shapes(part)
+    blocks = SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
+    values: dict[str, str] = {}
+    covered = 0
+    for i, j, size in sorted(blocks, key=lambda x: -x[2]):
+        if size < MIN_BLOCK:
+            break
+        pairs = [(x, y) for x, y in zip(item[i:i + size], part[j:j + size]) if x[0] != "0"]
+        new = dict(values)
+        if all(new.setdefault(x, y) == y for x, y in pairs):
+            values, covered = new, covered + size
+        elif size >= MIN_PLAIN:
+            return 0, False
+    return covered, any(x != y for x, y in values.items())
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        got = []
+        for item, toks, at in zip(*(b.column(c).to_pylist() for c in ("item_toks", "toks", "at"))):
+            slack = 4 + len(item) // 4
+            part = toks[max(0, at - slack):at + len(item) + slack]
+            best = aligned(item, part)
+            if best[0] < len(item) and item[0][0] == "0" and f"{_CAPITAL}{item[0][1:]}" in part:
+                best = max(best, aligned([f"{_CAPITAL}{item[0][1:]}", *item[1:]], part))
+            got.append(best)
+        k, changed = zip(*got) if got else ((), ())
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("item"), b.column("n"), pa.array(k, pa.int64()),
+                                          pa.array(changed, pa.bool_())], names=["id", "item", "n", "k", "changed"])
+
+
 def _bitmap(items: DataFrame) -> np.ndarray:
     """Fixed-size bitmap of window hashes: at most ``BITMAP_BITS / 32`` rows reach the driver."""
     bit = F.col("h").bitwiseAND(F.lit(BITMAP_BITS - 1))
@@ -188,33 +269,36 @@ def _bitmap(items: DataFrame) -> np.ndarray:
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                  min_coverage: float = MIN_COVERAGE) -> DataFrame:
-    """``(id, item, matched_windows, item_windows, coverage, slots_changed)`` per contaminated document and item."""
+    """``(id, item, matched_tokens, item_tokens, coverage, slots_changed)`` per contaminated document and item."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     bench = items.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"))
 
     def kind(df: DataFrame) -> str:
         return f"{_WINDOW}, id {df.schema['id'].dataType.simpleString()}"
 
-    wanted = bench.mapInArrow(_item_windows(window), kind(bench))
+    wanted = materialize(bench.mapInArrow(_item_windows(window), kind(bench)), "item_windows")
     bitmap = _bitmap(wanted)
     widths = sorted({window, *(r.w for r in wanted.where(F.size(F.split("win", " ")) < window).select(
         F.size(F.split("win", " ")).alias("w")).distinct().collect())})           # at most WINDOW numbers
-    have = rows.mapInArrow(_document_windows(widths, bitmap), kind(rows))
+    longest = wanted.agg(F.max("n")).collect()[0][0] or 0
+    have = rows.mapInArrow(_document_windows(widths, bitmap, 2 * longest + 4), kind(rows))
+    # One row per alignment: neighbouring windows of a copy have the same.
+    text = F.xxhash64("i.toks").alias("item_key")
     matches = have.alias("d").join(wanted.alias("i"), ["h", "win"]).select(
-        F.col("d.id").alias("id"), F.col("i.id").alias("item"), F.col("i.n").alias("n"), F.col("i.pos").alias("at"),
-        (F.col("d.pos") - F.col("i.pos")).alias("shift"),
-        F.arrays_zip(F.col("i.slots").alias("i"), F.col("d.slots").alias("d")).alias("slots"))
-    # An alignment has at most one match per window of the item, so its lists are as short as the item.
-    aligned = matches.groupBy("id", "item", "n", "shift").agg(
-        F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("map"))
-    sources = F.size(F.array_distinct(F.transform("map", lambda s: s["i"])))
-    aligned = aligned.where(F.size("map") == sources).select(
-        "id", "item", "n", F.explode("at").alias("at"), F.exists("map", lambda s: s["i"] != s["d"]).alias("changed"))
-    out = aligned.groupBy("id", "item", "n").agg(F.count_distinct("at").alias("k"), F.bool_and("changed").alias("changed"))
-    coverage = F.col("k") / F.col("n")
-    return out.where(coverage >= min_coverage).select(
-        F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("k").alias("matched_windows"),
-        F.col("n").cast("long").alias("item_windows"), coverage.alias("coverage"), F.col("changed").alias("slots_changed"))
+        F.col("d.id").alias("id"), F.col("i.id").alias("item"), F.col("i.n").alias("n"), F.col("i.toks").alias("item_toks"),
+        F.col("d.toks").alias("toks"), (F.col("d.pos") - F.col("i.pos") - F.col("d.first")).alias("at"),
+        (F.col("d.pos") - F.col("i.pos")).alias("shift"), text)
+    alignments = matches.withColumn("part", F.xxhash64(F.slice(
+        "toks", F.greatest(F.col("at"), F.lit(0)) + 1, F.col("n")))).dropDuplicates(["id", "item", "item_key", "shift", "part"])
+    plain = alignments.select("id", "item", "n")
+    checked = alignments.select("id", "item", "n", "item_toks", "toks", "at").mapInArrow(
+        _verify, ", ".join(f"{c} {plain.schema[c].dataType.simpleString()}" for c in plain.columns) + ", k bigint, changed boolean")
+    out = checked.where(F.col("k") / F.col("n") >= min_coverage).groupBy("id", "item", "n").agg(
+        F.max(F.struct("k", (~F.col("changed")).alias("same"))).alias("best"))
+    return out.select(
+        F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("best.k").alias("matched_tokens"),
+        F.col("n").cast("long").alias("item_tokens"), (F.col("best.k") / F.col("n")).alias("coverage"),
+        (~F.col("best.same")).alias("slots_changed"))
 
 
 def op5_template_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -274,3 +274,31 @@ def test_chunks_find_every_passage_of_51_words(spark):
     for k, (start, end) in want.items():
         assert 0 <= start - got[k].start <= 2 and 0 <= got[k].end - end <= 2, k
         assert got[k].n_cut_chars == (got[k].end - got[k].start if k % 2 else 0) and got[k].first_id == k - k % 2
+
+
+def test_templates_find_items_with_edited_words(spark):
+    rng = np.random.default_rng(2)
+    items, rows = [], []
+    for k in range(60):
+        words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j)}" for j in range(20)]
+        items.append((k, " ".join(words)))
+        for n in (1, 2, 3):                                # edits close together leave a window of 8 whole
+            at = int(rng.integers(9, 12))
+            for j in range(n):
+                edited = ([*words[:at], "changed", *words[at + 1:]], [*words[:at], "added", *words[at:]],
+                          words[:at] + words[at + 1:])[int(rng.integers(0, 3))]
+                words, at = edited, at + 1
+            rows.append((100 * n + k, "Some text before it. " + " ".join(words) + " and after it", "en", "s", 1))
+            words = items[k][1].split()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = templates.contaminated(spark.createDataFrame(rows, SCHEMA), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(d, d % 100) for d, *_ in rows}
+
+
+def test_templates_find_copies_of_plain_poor_and_opening_name_items(spark):
+    texts = ["What is 12 * 30 + 4?", "Anna has 3 apples, 5 pears, 7 plums", "Which river runs through the old town?"]
+    bench = spark.createDataFrame([*enumerate(texts)], "item_id long, text string")
+    rows = [(k, f"they asked: {t} and so on", "en", "s", 1) for k, t in enumerate(texts)]
+    rows += [(9, "what is 13 * 30 + 5? Nobody knows which river that is", "en", "s", 1)]
+    got = templates.contaminated(spark.createDataFrame(rows, SCHEMA), bench).collect()
+    assert {(r.doc_id, r.item_id, r.slots_changed) for r in got} == {(k, k, False) for k in range(3)}
