@@ -1,15 +1,15 @@
 """Secret scan: three fixed patterns, and a dictionary-primed zstandard novelty test.
 
-The patterns yield the base spans.  Further candidates are long tokens that
-follow a sensitive word.  Each is compressed by zstandard with a raw dictionary
+The patterns yield the base spans.  Further candidates are long tokens
+near a sensitive word, before or after it.  Each is compressed by zstandard with a raw dictionary
 made of the corpus's common identifiers and the text around the candidate
 (without copies of the candidate itself); the bytes it adds, over its length,
 are its novelty.  Ordinary identifiers and repeated names cost next to nothing;
 random key material stays incompressible and is reported as ``novel``.
 
-The identifier dictionary counts every identifier-like token of every text
-(partial counts per task, then by token) and keeps the ``TOP_IDENTIFIERS`` that
-most texts use, so it is a few dozen KB for any corpus.
+The identifier dictionary counts every identifier-like token and long word of
+every text (partial counts per task, then by token) and keeps the
+``TOP_IDENTIFIERS`` of each that most texts use, so it is a few dozen KB for any corpus.
 
 Nulls: a null or empty text has no span; its base digest is that of the empty
 string.  Null ids are returned as they are, repeated rows are scanned alike, an
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -46,9 +47,10 @@ _HEX = re.compile(r"[0-9a-f]{16,}")          # a run is maximal, so the length c
 
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _SENSITIVE_WORDS = ("pass", "secret", "token", "key", "auth", "credential", "bearer", "private", "pwd", "cert", "sign")
-_SENSITIVE = re.compile(r"(?ai:(?<![a-z])(?:" + "|".join(_SENSITIVE_WORDS) + r")[a-z]*)")
+_SENSITIVE = re.compile(r"(?ai:(?:" + "|".join(_SENSITIVE_WORDS) + r")[a-z]*)")
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{MIN_CANDIDATE},}}")
-_IDENTIFIER = re.compile(r"[A-Za-z]*[0-9_][A-Za-z0-9_]*")
+_NAME = re.compile(r"[A-Za-z_.-][A-Za-z0-9_.-]*=+(?=[^=])")
+_IDENTIFIER = re.compile(r"[A-Za-z]*[0-9_][A-Za-z0-9_]*|[A-Za-z]{8,}")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -64,22 +66,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Long tokens with a letter and a digit after a sensitive word, outside the spans taken."""
+    """Long tokens within ``CONTEXT`` characters of a sensitive word on either side, outside the spans taken.
+
+    Sensitive words count inside joined names (``accessKey``, ``AccountKey``).  ``name=value`` is split at its first
+    ``=``, so the name is a cue and the value a candidate.
+    """
     low = text.lower()
     if not any(w in low for w in _SENSITIVE_WORDS):
         return []
     out = []
-    last = -CONTEXT - 1
-    cues = [m.end() for m in _SENSITIVE.finditer(text)]
-    at = 0
+    cues = [(m.start(), m.end()) for m in _SENSITIVE.finditer(text)]
+    starts, ends = [c[0] for c in cues], [c[1] for c in cues]
     for m in _CANDIDATE.finditer(text):
-        while at < len(cues) and cues[at] <= m.start():
-            last = cues[at]
-            at += 1
-        token = m.group()
-        if m.start() - last > CONTEXT or not any(c.isdigit() for c in token) or not any(c.isalpha() for c in token):
-            continue
-        out.append((m.start(), m.end()))
+        start, end = m.span()
+        name = _NAME.match(text, start, end)
+        if name and end - name.end() >= MIN_CANDIDATE:
+            start = name.end()
+        before, after = bisect_right(ends, start) - 1, bisect_left(starts, end)
+        if before >= 0 and start - ends[before] <= CONTEXT or after < len(cues) and starts[after] - end <= CONTEXT:
+            out.append((start, end))
     if not taken:
         return out
     return [(a, b) for a, b in out if not any(s < b and a < e for s, _, e in taken)]
@@ -130,10 +135,16 @@ def _identifiers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def identifier_dictionary(texts: DataFrame, top: int = TOP_IDENTIFIERS) -> bytes:
-    """The commonest identifiers of all texts, the commonest last (nearest to the candidate)."""
+    """The commonest long words, then identifiers, of all texts, the commonest last (nearest to the candidate)."""
     counts = texts.mapInArrow(_identifiers, "item string, n bigint").groupBy("item").agg(F.sum("n").alias("n"))
-    best = counts.where(F.col("n") > 1).orderBy(F.col("n").desc(), "item").limit(top).collect()
-    return b" ".join(r.item.encode() for r in reversed(best))[-DICTIONARY_BYTES:]
+    plain = F.col("item").rlike("^[A-Za-z]+$")
+    known = counts.where(F.col("n") > 1)
+    order = [F.col("n").desc(), F.col("item")]
+    best = known.where(plain).orderBy(*order).limit(top).withColumn("plain", F.lit(True)).unionByName(
+        known.where(~plain).orderBy(*order).limit(top).withColumn("plain", F.lit(False))).collect()
+    best.sort(key=lambda r: (r.n, r.item), reverse=True)
+    parts = [b" ".join(r.item.encode() for r in reversed(best) if r.plain == kind)[-DICTIONARY_BYTES:] for kind in (True, False)]
+    return b" ".join(x for x in parts if x)
 
 
 def _scanner(dictionary: bytes, min_novelty: float) -> Callable:

@@ -302,3 +302,11 @@ def test_templates_find_copies_of_plain_poor_and_opening_name_items(spark):
     rows += [(9, "what is 13 * 30 + 5? Nobody knows which river that is", "en", "s", 1)]
     got = templates.contaminated(spark.createDataFrame(rows, SCHEMA), bench).collect()
     assert {(r.doc_id, r.item_id, r.slots_changed) for r in got} == {(k, k, False) for k in range(3)}
+
+
+def test_secrets_in_joined_names_without_digits_and_before_the_cue():
+    key = "Zk" + "vQxHLmTjrWpGYbNncDsA"
+    for text in (f"accessKey={key}", f"AccountKey={key};", f"encryptionKey: {key}", f"auth_key {key}", f"{key} is the secret"):
+        at = text.index(key)
+        assert (at, 3, at + len(key)) in secrets.scan_text(text, b""), text
+    assert not secrets.scan_text("the key is internationalization or responsibilities", b"internationalization responsibilities")
