@@ -39,6 +39,7 @@ CONTEXT = 48
 SURROUNDING = 1_024
 MIN_NOVELTY = 0.7
 DICTIONARY_BYTES = 24_000
+SLICE = 63
 
 # Fixed patterns of the contract.
 _ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""")
@@ -91,12 +92,22 @@ def _candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
 
 
 def novelty(candidate: bytes, around: bytes, dictionary: bytes) -> float:
-    """Bytes that the candidate adds to what the dictionaries explain, over its length."""
-    primer = dictionary + b"\n" + around.replace(candidate, b"")
-    c = zstandard.ZstdCompressor(
-        level=9, dict_data=zstandard.ZstdCompressionDict(primer, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
-        write_content_size=False, write_checksum=False, write_dict_id=False)
-    return (len(c.compress(candidate)) - len(c.compress(b""))) / max(len(candidate), 1)
+    """Bytes that the candidate adds to what the dictionaries explain, over its length.
+
+    Slices of at most ``SLICE`` bytes, each after the slices before it, are compressed on their own: from 64 bytes on
+    zstandard codes literals by frequency, and random keys over small alphabets would score the less the longer they are.
+    """
+    known = dictionary + b"\n" + around.replace(candidate, b"")
+    n = max(1, -(-len(candidate) // SLICE))
+    edges = [len(candidate) * k // n for k in range(n + 1)]
+    added = 0
+    for start, end in zip(edges, edges[1:]):
+        primer = known + candidate[max(0, start - SURROUNDING):start]
+        c = zstandard.ZstdCompressor(
+            level=9, dict_data=zstandard.ZstdCompressionDict(primer, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+            write_content_size=False, write_checksum=False, write_dict_id=False)
+        added += len(c.compress(candidate[start:end])) - len(c.compress(b""))
+    return added / max(len(candidate), 1)
 
 
 def scan_text(text: str | None, dictionary: bytes, min_novelty: float = MIN_NOVELTY) -> list[tuple[int, int, int]]:

@@ -310,3 +310,13 @@ def test_secrets_in_joined_names_without_digits_and_before_the_cue():
         at = text.index(key)
         assert (at, 3, at + len(key)) in secrets.scan_text(text, b""), text
     assert not secrets.scan_text("the key is internationalization or responsibilities", b"internationalization responsibilities")
+
+
+def test_long_keys_over_small_alphabets_are_novel():
+    rng = np.random.default_rng(4)
+    for alphabet in ("0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"):
+        for n in (40, 64, 96, 128, 512):
+            key = "".join(alphabet[x] for x in rng.integers(0, len(alphabet), n))
+            assert secrets.novelty(key.encode(), b"", b"") >= 0.95
+            assert (14, 3, 14 + n) in secrets.scan_text(f"the auth_key: {key}", b"")
+    assert secrets.novelty(b"get_value_of_item_" * 40, b"", b"") < 0.3
