@@ -1,8 +1,11 @@
 """Corpus pipeline: quality, near duplicates, decontamination, mixture, shards.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns the documents that go on
-(all columns of ``docs``; the last one returns the shard of every row).  Stages
-decide by document id, null matching null.  ``run`` writes each stage's result
+(all columns of ``docs``; the last one returns the shard of every row).  Quality,
+near duplicates and decontamination decide by row: by document id and a 128-bit
+hash of the text (by language and source too where those count), null matching null, so
+texts that share an id or have none are kept or dropped each by itself; texts
+without an id are in no group of near duplicates.  ``run`` writes each stage's result
 as Parquet below the shared checkpoint folder and reads it back, so a lost
 executor never sends the work back further than one stage.
 
@@ -20,17 +23,31 @@ from geoscribe.llm import common, jaccard, mixing, quality, sharding, templates
 ORACLE_SQL = None
 
 
+_KEY = "_row_key"
+
+
+def _keyed(docs: DataFrame, *more: str) -> DataFrame:
+    """``docs`` with a key that tells texts of one id apart."""
+    return docs.withColumn(_KEY, F.struct("doc_id", *more, F.xxhash64("text").alias("h0"),
+                                          F.xxhash64(F.lit("row"), F.col("text")).alias("h1")))
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    return common.null_safe(docs, keys.select(_KEY).distinct(), [_KEY], "left_anti").drop(_KEY)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the base rules or are outliers of their language and source."""
-    rejected = quality.judge_quality(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return common.null_safe(docs, rejected, ["doc_id"], "left_anti")
+    keyed = _keyed(docs, "lang", "source")
+    return _without(keyed, quality.judge_quality(keyed, id_col=_KEY).where(~F.col("kept")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of every group, and one of identical rows."""
-    groups = jaccard.jaccard_components(docs)
-    copies = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    kept = common.null_safe(docs, copies, ["doc_id"], "left_anti")
+    keyed = _keyed(docs)
+    named = keyed.where(F.col("doc_id").isNotNull())
+    groups = jaccard.jaccard_components(named, id_col=_KEY)
+    kept = _without(keyed, groups.where(F.col("component_id") != F.col(_KEY)))
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
     number = "_row_number_of_equal_rows"
     return kept.withColumn(number, F.row_number().over(same)).where(F.col(number) == 1).drop(number)
@@ -38,8 +55,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item or a re-parameterised one."""
-    leaks = templates.contaminated(docs, common.benchmark(spark, sf_dir)).select("doc_id").distinct()
-    return common.null_safe(docs, leaks, ["doc_id"], "left_anti")
+    keyed = _keyed(docs)
+    return _without(keyed, templates.contaminated(keyed, common.benchmark(spark, sf_dir), id_col=_KEY))
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,3 +27,27 @@ def test_empty(spark):
         assert docs.count() == 0
         if "shard" in docs.columns:
             break
+
+
+def _words(start, n=40):
+    return " ".join(f"word{chr(97 + start)}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n))
+
+
+def test_rejected_rows_leave_clean_rows_of_their_id(spark):
+    item = next(r.text for r in common.benchmark(spark, SF).collect() if r.text)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for doc_id in (None, 7):
+        clean = [(doc_id, _words(k), "en", "s", 1) for k in range(2)]
+        kept = cp.quality_rules(spark, spark.createDataFrame([*clean, (doc_id, "too short", "en", "s", 1)], schema), SF)
+        assert sorted(r.text for r in kept.collect()) == sorted(r[1] for r in clean)
+        leak = (doc_id, f"{_words(5)} {item} {_words(6)}", "en", "s", 1)
+        kept = cp.decontamination(spark, spark.createDataFrame([*clean, leak], schema), SF)
+        assert sorted(r.text for r in kept.collect()) == sorted(r[1] for r in clean)
+
+
+def test_near_duplicates_leave_other_texts_of_a_repeated_id(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, _words(1), "en", "s", 1), (2, _words(1), "en", "s", 1), (2, _words(3), "en", "s", 1),
+            (None, _words(4), "en", "s", 1), (None, _words(8), "en", "s", 1)]
+    kept = cp.near_duplicates(spark, spark.createDataFrame(rows, schema), SF)
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in spark.createDataFrame([rows[0], *rows[2:]], schema).collect())
