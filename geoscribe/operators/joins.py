@@ -16,6 +16,9 @@ bounds, so the large side is filtered where it is scanned.  Beyond the bound
 the DataFrame is returned as is, and the join is planned as a shuffled join.
 Key sets derived from the large data itself are not counted this way (that
 would cost another pass over the data); their joins are left to the optimizer.
+
+``hot_key_join`` keeps a skewed join off single tasks: keys above a share of the
+rows are found by a partial count and joined by broadcast, the rest by shuffle.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoscribe.session import materialize
+
 # At most this many rows, and bytes of values as text, are broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 << 20
@@ -35,3 +40,51 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     width = sum(sizes[1:], sizes[0]).cast("long")
     n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
     return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df
+
+
+#: A key is hot when it holds more than one in this many rows, so there are fewer hot keys than that.
+MAX_HOT_KEYS = 1_000
+
+
+def _equal(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]):
+    cond = None
+    for a, b in on:
+        c = left[a].eqNullSafe(right[b])
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def hot_keys(df: DataFrame, keys: list[str], max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+    """The keys that hold more than one in ``max_hot`` rows, as ``_hot_0`` ..: fewer than ``max_hot`` rows.
+
+    One partial count per key and task crosses the network.  The result is written
+    (it is tiny) because every user of it reads it more than once.
+    """
+    named = [F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]
+    counts = df.groupBy(*named).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    return materialize(counts.where(F.col("_n") * max_hot > total).drop("_n"), "hot_keys")
+
+
+def hot_key_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], how: str = "inner",
+                 max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+    """Join rows to a table that is unique per key, with the hot keys of ``left`` apart.
+
+    ``on`` pairs a left with a right column; null equals null, and the right key
+    columns are dropped.  ``how`` is ``inner`` or ``left``.  The rows of ``right``
+    for hot keys (fewer than ``max_hot``, by the definition of hot) are
+    broadcast, so rows of a hot key are joined where they are read and never
+    land in one task.  The others meet in a shuffled join in which no key has
+    more than one in ``max_hot`` of the rows.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be inner or left, not {how}")
+    hot = F.broadcast(hot_keys(left, [a for a, _ in on], max_hot))
+    at_left = [(a, f"_hot_{i}") for i, (a, _) in enumerate(on)]
+    at_right = [(b, f"_hot_{i}") for i, (_, b) in enumerate(on)]
+    few = F.broadcast(right.join(hot, _equal(right, hot, at_right), "left_semi"))
+    of_hot = left.join(hot, _equal(left, hot, at_left), "left_semi")
+    others = left.join(hot, _equal(left, hot, at_left), "left_anti")
+    drop = [b for _, b in on]
+    joined = [side.join(dim, _equal(side, dim, on), how).drop(*drop) for side, dim in ((of_hot, few), (others, right))]
+    return joined[0].unionByName(joined[1])
