@@ -14,10 +14,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from geoscribe.operators.sample import sample_native
+from geoscribe.operators.sample import sample_lines
 from geoscribe.plans.tasks import run_classifier, run_phase1, task1_profile
 from geoscribe.session import build_session
-from geoscribe.sources import scan_delimited
+from geoscribe.sources import parse_fields, scan_delimited
 
 USAGE = __doc__
 SAMPLE_SEED = 5
@@ -26,10 +26,9 @@ ALL_LINES = "--all-lines"
 
 def _profile(spark, path: str, fraction: float | None) -> list[tuple[str, float]]:
     """The eleven metrics, optionally of a Bernoulli sample of the lines with a
-    fixed seed (copies of a line are drawn one by one)."""
-    posts = scan_delimited(spark, path)
-    if fraction is not None:
-        posts = sample_native(posts, fraction, SAMPLE_SEED)
+    fixed seed (drawn by file and line number, so copies of a line are drawn apart)."""
+    posts = scan_delimited(spark, path) if fraction is None else parse_fields(
+        sample_lines(spark, path, fraction, SAMPLE_SEED))
     # Eleven rows: the one place a result is brought to the driver, to print it.
     return [(r.metric, r.value) for r in task1_profile(posts).orderBy("ord").collect()]
 

@@ -1,4 +1,6 @@
-from geoscribe.sources.delimited import parse_fields, scan_delimited, scan_query_lines, scan_word_list
+from geoscribe.sources.delimited import (parse_fields, reject_reason, scan_delimited, scan_query_lines,
+                                         scan_with_rejects, scan_word_list, stage_delimited)
 from geoscribe.sources.tables import table
 
-__all__ = ["parse_fields", "scan_delimited", "scan_query_lines", "scan_word_list", "table"]
+__all__ = ["parse_fields", "reject_reason", "scan_delimited", "scan_query_lines", "scan_with_rejects", "scan_word_list",
+           "stage_delimited", "table"]
