@@ -1,5 +1,5 @@
 """DataFrame operators; each takes and returns a DataFrame."""
 
-from geoscribe.operators import bayes, groups, joins, profile, ranking, sample, words
+from geoscribe.operators import bayes, groups, index, joins, profile, ranking, sample, words
 
-__all__ = ["bayes", "groups", "joins", "profile", "ranking", "sample", "words"]
+__all__ = ["bayes", "groups", "index", "joins", "profile", "ranking", "sample", "words"]

@@ -55,12 +55,29 @@ def wide_rows(ranked: DataFrame, group: str, item: str, n: str = "n", rank: str
     return ranked.groupBy(group).agg(joined.alias(out))
 
 
+def counts_table(df: DataFrame, outer: str, key: str, n: str = "n") -> DataFrame:
+    """``(outer, key, n)``: the counts as rows, whatever the number of keys per ``outer`` value; NULL keys included."""
+    return count_by_key(df, [outer, key], n)
+
+
+def top_counts_map(df: DataFrame, outer: str, key: str, k: int, n: str = "n", out: str = "counts") -> DataFrame:
+    """Per ``outer`` value a ``map<key, count>`` of its ``k`` most frequent non-NULL keys (ties by key).
+
+    The limit is applied to the counted rows, partly before the shuffle, so no value
+    ever holds more than ``k`` entries, however many keys a group has.
+    """
+    counts = counts_table(df.where(F.col(key).isNotNull()), outer, key, n)
+    ranked = top_n_per_group(counts, outer, key, k, n)
+    return ranked.groupBy(outer).agg(F.map_from_entries(F.collect_list(F.struct(key, n))).alias(out))
+
+
 def counts_as_map(df: DataFrame, outer: str, key: str, n: str = "n", out: str = "counts",
                   null_n: str = "n_null") -> DataFrame:
     """Per ``outer`` value, a ``map<key, count>`` (the reference's ``collectAsMap``).
 
     The map is built per group of ``outer`` from already aggregated counts, so a
-    map holds one entry per distinct ``key`` of that group, never raw rows.  Map keys cannot be NULL, so rows with a NULL
+    map holds one entry per distinct ``key`` of that group, never raw rows.  For keys of a
+    known small domain; otherwise ``counts_table`` or ``top_counts_map``.  Map keys cannot be NULL, so rows with a NULL
     key are counted in ``null_n``; a group with no other key has an empty map.
     """
     counts = count_by_key(df, [outer, key], n)

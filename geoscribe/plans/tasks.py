@@ -18,7 +18,7 @@ from geoscribe.functions.text import python_float_text
 from geoscribe.functions.time import local_hour_from_epoch_ms
 from geoscribe.operators import bayes, groups, profile, ranking, words
 from geoscribe.session import materialize
-from geoscribe.sources import scan_delimited, scan_query_lines, scan_word_list
+from geoscribe.sources import scan_delimited, scan_query_lines, scan_with_rejects, scan_word_list
 
 # Parameters of the reference's tasks.
 MIN_POSTS_FOR_CENTROID = 11       # countries with fewer than 11 posts have no centroid
@@ -99,13 +99,20 @@ def run_phase1(spark: SparkSession, posts_path: str, stop_words_path: str, out_d
     The text input is split and typed once and staged as parquet under the
     shared checkpoint directory; every task then reads only its own columns
     (pruning, pushed filters) instead of re-parsing the whole text file.
+    Lines that are not whole records still count where their fields are there;
+    ``rejects.tsv`` says how many there are by reason, counted in the staging pass' output.
     """
-    posts = scan_delimited(spark, posts_path)
+    posts = scan_with_rejects(spark, posts_path)
     if stage_as_parquet:
         posts = materialize(posts, "posts")
+    rejects = posts.where(F.col("_reject").isNotNull())
+    posts = posts.drop("_reject", "_line")
     stop = scan_word_list(spark, stop_words_path)
     out = out_dir.rstrip("/")
     paths = {}
+    # One line per reason: at most one per numeric field, and short lines.
+    sinks.write_tsv(groups.count_by_key(rejects, "_reject"), f"{out}/rejects.tsv", ["_reject", "n"],
+                    order_by=groups.rank_order("_reject"), single_file=True)
     # Countries and cities are free text, an open-ended dimension: their ordered parts
     # are written in parallel (part files in name order concatenate to the sorted list).
     paths["result_1"] = sinks.write_metric_lines(_post_profile_lines(posts), f"{out}/result_1.tsv")
@@ -122,11 +129,11 @@ def run_phase1(spark: SparkSession, posts_path: str, stop_words_path: str, out_d
     paths["result_5"] = sinks.write_tsv(task5_us_city_counts(posts), f"{out}/result_5.tsv", ["place_name", "n"],
                                         order_by=groups.rank_order("place_name"), single_file=False)
     paths["result_6"] = sinks.write_tsv(task6_top_us_words(posts, stop), f"{out}/result_6.tsv", ["word", "n"],
-                                        order_by=groups.rank_order("word"))
+                                        order_by=groups.rank_order("word"), single_file=True)
     paths["result_7"] = sinks.write_tsv(task7_top_words_of_top_cities(posts, stop), f"{out}/result_7.tsv",
-                                        ["place_name", "top_words"], order_by=[F.col("place_name")])
+                                        ["place_name", "top_words"], order_by=[F.col("place_name")], single_file=True)
     sql = task8_sql_profile(spark, posts)
-    paths["result_8"] = sinks.write_tsv(sql, f"{out}/result_8.tsv", sql.columns)
+    paths["result_8"] = sinks.write_tsv(sql, f"{out}/result_8.tsv", sql.columns, single_file=True)
     return paths
 
 
@@ -151,4 +158,4 @@ def run_classifier(spark: SparkSession, training_path: str, input_path: str, out
     if all_lines:
         return sinks.write_tsv(best, output_path, ["query_id", "place_name", "p"],
                                order_by=[F.col("query_id"), F.col("place_name")], single_file=False)
-    return sinks.write_tsv(best, output_path, ["place_name", "p"], order_by=[F.col("place_name")])
+    return sinks.write_tsv(best, output_path, ["place_name", "p"], order_by=[F.col("place_name")], single_file=True)

@@ -50,7 +50,8 @@ def test_single_file_sink_is_globally_sorted(spark, tmp_path):
 
     ev = table(spark, SF_SMALL, "events").repartition(16).select("event_id", "value")
     out = tmp_path / "sorted"
-    sinks.write_tsv(ev, str(out), ["value", "event_id"], order_by=[F.col("value").desc(), F.col("event_id")])
+    sinks.write_tsv(ev, str(out), ["value", "event_id"], order_by=[F.col("value").desc(), F.col("event_id")],
+                    single_file=True)
     parts = sorted(out.glob("part-*"))
     assert len(parts) == 1
     rows = [line.split("\t") for line in parts[0].read_text(encoding="utf-8").splitlines()]
