@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geoscribe.operators.joins import anti_join
+
 
 def count_by_key(df: DataFrame, key: str | list[str], n: str = "n") -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
@@ -38,14 +40,13 @@ def small_groups(df: DataFrame, key: str, max_n: int, n: str = "n") -> DataFrame
 
 
 def without_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """All rows of ``df`` whose key is not in ``keys`` (``subtractByKey``); duplicates kept.
+    """All rows of ``df`` whose key is not in ``keys`` (``subtractByKey``); duplicates and NULL keys kept.
 
-    No broadcast hint: the key set grows with the data, so the join strategy is
-    left to the optimizer's size estimate (broadcast below
-    ``spark.sql.autoBroadcastJoinThreshold``, otherwise a shuffled anti join
-    that AQE can split when a key is skewed).
+    For a key set that comes from other data than ``df``.  It may grow with that data, so
+    its size is checked: broadcast, or a Bloom filter of bounded size first
+    (``joins.anti_join``).  Either way the rows of ``df`` are judged where they are scanned.
     """
-    return df.join(keys.select(key), on=key, how="left_anti")
+    return anti_join(df, keys.select(key), key)
 
 
 def group_centroid(df: DataFrame, key: str, lat: str | Column, lon: str | Column, min_n: int,
@@ -65,20 +66,26 @@ def group_centroid(df: DataFrame, key: str, lat: str | Column, lon: str | Column
 
 def centroid_by_join(df: DataFrame, key: str, lat: str | Column, lon: str | Column, max_small: int,
                      lat_out: str = "lat", lon_out: str = "lon") -> DataFrame:
-    """The reference's plan shape (drop small keys by anti join, average latitude
-    and longitude separately, join the two per-key results 1:1), with every
-    step applied to per-key aggregates instead of raw rows.
+    """The reference's plan shape (drop small keys, average latitude and longitude
+    separately, join the two per-key results 1:1), with every step applied to
+    per-key aggregates instead of raw rows.
 
-    Three aggregates (sizes, mean latitude, mean longitude) each shuffle only
-    partial aggregates; all three come out hash-partitioned on ``key``, so the
-    inner join and the anti join reuse that partitioning and add no exchange.
+    Both aggregates shuffle only partial aggregates and come out hash-partitioned
+    on ``key``, so the inner join adds no exchange; the sizes ride along with the
+    latitudes, so small keys go by a filter.
     """
     lat_c = F.col(lat) if isinstance(lat, str) else lat
     lon_c = F.col(lon) if isinstance(lon, str) else lon
-    small = small_groups(df, key, max_small)
-    lat_df = df.groupBy(key).agg(F.avg(lat_c).alias(lat_out))
+    lat_df = df.groupBy(key).agg(F.avg(lat_c).alias(lat_out), F.count(F.lit(1)).alias("_n"))
     lon_df = df.groupBy(key).agg(F.avg(lon_c).alias(lon_out))
-    return without_keys(lat_df.join(lon_df, on=key, how="inner"), small, key)
+    return lat_df.where(F.col("_n") > max_small).drop("_n").join(lon_df, on=key, how="inner")
+
+
+def join_aggregates(left: DataFrame, right: DataFrame, key: str, right_key: str) -> DataFrame:
+    """Two tables' per-key aggregates joined 1:1; each table is scanned once and both aggregates
+    come out hash-partitioned on the key, so the join adds no exchange."""
+    renamed = right.withColumnRenamed(right_key, key) if right_key != key else right
+    return left.join(renamed, on=key, how="inner")
 
 
 def peak_of_counts(counts: DataFrame, key: str, hour: str, n: str = "n") -> DataFrame:

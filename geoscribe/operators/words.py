@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoscribe.functions.text import words as split_words
-from geoscribe.operators.joins import checked_broadcast
+from geoscribe.operators.joins import anti_join
 
 # A short English stop-word list used by the catalogue queries.
 STOP_WORDS = ("the", "of", "and", "to", "is", "in")
@@ -28,13 +28,12 @@ def remove_stopwords(tokens: DataFrame, stop, word: str = "word") -> DataFrame:
     """Drop every token equal to a stop word; other duplicates are kept (bag difference).
 
     ``stop`` is a Python collection (a literal ``IN`` set evaluated in the scan
-    stage, no join) or a one-column DataFrame of words (an anti join with the
-    word list broadcast behind a size check, so tokens are never shuffled by
-    word; a list beyond the bound falls back to a shuffled anti join).
+    stage, no join) or a one-column DataFrame of words: an anti join with the
+    word list broadcast behind a size check, and beyond it behind a Bloom filter,
+    so tokens are not shuffled by word either way.
     """
     if isinstance(stop, DataFrame):
-        stop_df = stop.select(F.col(stop.columns[0]).alias(word))
-        return tokens.join(checked_broadcast(stop_df), on=word, how="left_anti")
+        return anti_join(tokens, stop, word)
     return tokens.where(~F.col(word).isin(list(stop)))
 
 
