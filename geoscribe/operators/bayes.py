@@ -21,11 +21,19 @@ Design for scale:
 * Word presence is an algebraic aggregate: a literal query becomes one
   ``sum(array_contains(...))`` per word in a single pass; a batch of queries
   filters document words by the query vocabulary before a partial aggregate.
-* In the batch path a class can only win if it holds the query's rarest word,
-  so candidates come from an equi join on that one word, and the other words
-  are checked by an equi join on (class, word).  A query whose rarest word is
-  in every class still meets every class.  Candidates per query are cut with ``rank() = 1``, which
-  Catalyst applies partially before the shuffle (WindowGroupLimit).
+* In the batch path equal word lists are scored once, whatever the number of
+  queries that have them.  A class can only win if it holds the list's rarest
+  word, so candidates come from that word's inverted list (the classes that hold
+  it, with ``d``), and the other words are checked by an equi join on (class, word).
+* Candidates are pruned by a bound: every factor of the fold is at most 1, so
+  ``p(c) <= d_c(w) / N`` for each word ``w``.  The few classes with the largest ``d``
+  of the rarest word are scored first; only classes whose ``d`` reaches ``N``
+  times the best ``p`` among them are scored after that.  Inverted lists are cut by
+  magnitude (the binary logarithm of ``d``), a join key, so entries below the
+  bound are not even compared.  A word in every class no longer pairs its list
+  with every class.
+* The best classes per list are cut with ``rank() = 1``, which Catalyst applies
+  partially before the shuffle (WindowGroupLimit).
 """
 
 from __future__ import annotations
@@ -119,7 +127,8 @@ def score_words(train: DataFrame, cls: str, text: str, words: list[str]) -> Data
     NULL class is a class like any other.
     """
     ws = _dedupe([w.lower() for w in words])
-    wide = _presence_wide(train, cls, text, ws)
+    # One row per class, written once: the total below reads it again, not the texts.
+    wide = materialize(_presence_wide(train, cls, text, ws), "nb_presence_wide")
     counts = F.array(*[F.col(f"_d{i}") for i in range(len(ws))]) if ws else F.array().cast("array<bigint>")
     # The prior is its own column: a subquery may not sit inside the fold lambda.
     with_prior = wide.withColumn("_prior", F.col("n") / total_of(wide, "n"))
@@ -163,42 +172,91 @@ def presence_for_vocabulary(train: DataFrame, cls: str, text: str, vocab: DataFr
             .groupBy(cls, "word").agg(F.count(F.lit(1)).alias("d")))
 
 
-def score_candidates(train: DataFrame, queries: DataFrame, cls: str, text: str,
-                     query_keys: list[str], words: str = "words") -> DataFrame:
-    """``(query keys..., cls, p, scaled)`` for every class that holds all words of a query.
+#: Classes per word, by falling ``d``, that are scored to find the bound.
+FIRST_CANDIDATES = 8
+#: The bound is lowered by this part, far above the rounding of the fold.
+SLACK = 1e-9
 
-    Classes missing a word have ``p = 0`` and can never be chosen, so they are
-    never generated.  A NULL class is a class like any other.
-    """
-    # The presence table feeds three branches whose pruning differs, so Spark
-    # cannot share it; materialise it once rather than tokenise the corpus
-    # three times.  The query side is small next to the corpus and is re-read.
-    qw = query_word_table(queries, query_keys, words)
-    pres = materialize(presence_for_vocabulary(train, cls, text, qw.select("word")), "nb_presence")
-    classes_per_word = pres.groupBy("word").agg(F.count(F.lit(1)).alias("n_cls"))
-    # A word no class holds gets n_cls = 0 and becomes the query's rarest word,
-    # which then finds no candidate: the query has no answer, as it should.
-    rarity = (qw.join(classes_per_word, on="word", how="left")
-              .select(*query_keys, "pos", "word", F.coalesce("n_cls", F.lit(0)).alias("n_cls")))
-    rarest = rarity.groupBy(*query_keys).agg(
-        F.min_by("word", F.struct("n_cls", "pos")).alias("word"), F.count(F.lit(1)).alias("k"))
-    candidates = rarest.join(pres.select(cls, "word"), on="word").select(*query_keys, cls, "k")
+
+def distinct_lists(queries: DataFrame, query_keys: list[str], words: str = "words") -> tuple[DataFrame, DataFrame]:
+    """``(lists, named)``: distinct normalised word lists as ``(list_id, words)``, and every query's keys with its ``list_id``."""
+    normal = F.array_distinct(F.transform(words, lambda w: F.lower(w)))
+    asked = queries.select(*query_keys, normal.alias("words")).where(F.col("words").isNotNull())
+    lists = asked.select("words").distinct().withColumn("list_id", F.monotonically_increasing_id())
+    lists = materialize(lists, "nb_lists")
+    return lists, asked.join(lists, "words").select(*query_keys, "list_id")
+
+
+def _magnitude(d: Column) -> Column:
+    return F.floor(F.log2(d)).cast("int")
+
+
+def _matched(candidates: DataFrame, list_words: DataFrame, pres: DataFrame, sizes: DataFrame, cls: str) -> DataFrame:
+    """``(list_id, cls, p, scaled)`` of the candidates ``(list_id, cls, k, least)`` that hold all ``k`` words,
+    each in at least ``least`` texts."""
     held = pres.select(F.col(cls).alias("_cls"), F.col("word").alias("_word"), "d")
-    matched = (candidates.join(qw, on=query_keys)
-               .join(held, F.col(cls).eqNullSafe(F.col("_cls")) & (F.col("word") == F.col("_word")))
-               .groupBy(*query_keys, cls, "k")
+    matched = (candidates.join(list_words, "list_id")
+               .join(held, F.col(cls).eqNullSafe(F.col("_cls")) & (F.col("word") == F.col("_word")) & (F.col("d") >= F.col("least")))
+               .groupBy("list_id", cls, "k")
                .agg(F.count(F.lit(1)).alias("_m"), F.array_sort(F.collect_list(F.struct("pos", "d"))).alias("_ds"))
                .where(F.col("_m") == F.col("k")))
-    n_c = class_counts(train, cls, "n_c")
-    sizes = n_c.select(F.col(cls).alias("_cls"), "n_c", (F.col("n_c") / total_of(n_c, "n_c")).alias("_prior"))
     scored = matched.join(sizes, F.col(cls).eqNullSafe(F.col("_cls")))
     scaled = scaled_fold(F.col("_prior"), F.transform("_ds", lambda s: s["d"]), F.col("n_c"))
-    scored = scored.select(*query_keys, cls, scaled.alias("scaled"))
-    return scored.select(*query_keys, cls, unscaled(F.col("scaled")).alias("p"), "scaled")
+    scored = scored.select("list_id", cls, scaled.alias("scaled"))
+    return scored.select("list_id", cls, unscaled(F.col("scaled")).alias("p"), "scaled")
+
+
+def candidate_classes(rarest: DataFrame, pres: DataFrame, cls: str) -> DataFrame:
+    """``(list_id, cls, k, least)``: classes of each list's rarest word that hold it at least ``least`` times.
+
+    ``rarest`` is ``(list_id, word, k, least)``.  Lists meet only the magnitudes of
+    their word from that of ``least`` upwards.
+    """
+    entries = pres.select(cls, "word", "d", _magnitude(F.col("d")).alias("mag"))
+    top = entries.groupBy("word").agg(F.max("mag").alias("_top"))
+    wanted = (rarest.join(top, "word").withColumn("_low", _magnitude(F.greatest(F.col("least"), F.lit(1.0))))
+              .where(F.col("_low") <= F.col("_top"))
+              .select("list_id", "word", "k", "least", F.explode(F.sequence("_low", "_top")).alias("mag")))
+    return wanted.join(entries, ["word", "mag"]).where(F.col("d") >= F.col("least")).select("list_id", cls, "k", "least")
+
+
+def score_lists(train: DataFrame, lists: DataFrame, cls: str, text: str) -> DataFrame:
+    """``(list_id, cls, p, scaled)`` of every class that can be the best of a list (and some that are not).
+
+    Classes missing a word have ``p = 0`` and classes below the bound cannot win, so
+    neither is generated.  A NULL class is a class like any other.
+    """
+    list_words = query_word_table(lists, ["list_id"])
+    # The presence table (corpus-sized work) feeds several branches whose pruning
+    # differs, so Spark cannot share it; it is written once.
+    pres = materialize(presence_for_vocabulary(train, cls, text, list_words.select("word")), "nb_presence")
+    n_c = materialize(class_counts(train, cls, "n_c"), "nb_classes")
+    sizes = n_c.select(F.col(cls).alias("_cls"), "n_c", (F.col("n_c") / total_of(n_c, "n_c")).alias("_prior"))
+    classes_per_word = pres.groupBy("word").agg(F.count(F.lit(1)).alias("n_cls"))
+    # A word no class holds gets n_cls = 0 and becomes the list's rarest word,
+    # which then finds no candidate: the list has no answer, as it should.
+    rarity = (list_words.join(classes_per_word, on="word", how="left")
+              .select("list_id", "pos", "word", F.coalesce("n_cls", F.lit(0)).alias("n_cls")))
+    rarest = rarity.groupBy("list_id").agg(
+        F.min_by("word", F.struct("n_cls", "pos")).alias("word"), F.count(F.lit(1)).alias("k"))
+    rarest = materialize(rarest, "nb_rarest")
+
+    by_d = Window.partitionBy("word").orderBy(F.col("d").desc(), F.col(cls))
+    first = pres.withColumn("_r", F.row_number().over(by_d)).where(F.col("_r") <= FIRST_CANDIDATES)
+    tried = rarest.join(first.select(cls, "word"), "word").select("list_id", cls, "k", F.lit(0.0).alias("least"))
+    best = _matched(tried, list_words, pres, sizes, cls).where(F.col("scaled")["m"] > 0)
+    best = best.groupBy("list_id").agg(F.max("scaled").alias("_best"))
+    total = F.log2(total_of(n_c, "n_c"))
+    least = F.pow(F.lit(2.0), F.log2(F.col("_best")["m"]) + F.col("_best")["e"] + F.col("_log_n")) * (1 - SLACK)
+    bounded = (rarest.join(best, "list_id", "left").withColumn("_log_n", total)
+               .select("list_id", "word", "k", F.coalesce(least, F.lit(0.0)).alias("least")))
+    return _matched(candidate_classes(bounded, pres, cls), list_words, pres, sizes, cls)
 
 
 def estimate_places(train: DataFrame, queries: DataFrame, cls: str, text: str,
                     query_keys: list[str] = ("query_id",), words: str = "words") -> DataFrame:
     """Most probable class(es) per query, ties kept; no row when the best ``p`` is 0."""
     keys = list(query_keys)
-    return best_classes(score_candidates(train, queries, cls, text, keys, words), "scaled", keys).drop("scaled")
+    lists, named = distinct_lists(queries, keys, words)
+    best = best_classes(score_lists(train, lists, cls, text), "scaled", ["list_id"]).drop("scaled")
+    return named.join(best, "list_id").select(*keys, cls, "p")

@@ -150,3 +150,56 @@ def test_long_queries_do_not_underflow_and_null_is_a_class(spark):
         literal = [(r.place_name, r.p) for r in bayes.best_classes(scores, "scaled").collect()]
         batch = [(r.place_name, r.p) for r in tasks.classify(nulls, _queries(spark, [words[:k]])).collect()]
         assert literal == batch == [(None, 0.5)]
+
+
+def _train(spark, n_classes=300, seed=11):
+    """Many classes; every text holds 'the', so its list of classes is all of them."""
+    import random
+
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(25)]
+    rows = [(None if c == 0 else f"c{c}", " ".join(["The"] + rng.choices(vocab, k=rng.randrange(1, 6))))
+            for c in range(n_classes) for _ in range(rng.randrange(1, 12) if c else 30)]
+    return rows, spark.createDataFrame(rows, "cls string, text string")
+
+
+def _brute(rows, words):
+    from collections import defaultdict
+    from functools import reduce
+
+    texts = defaultdict(list)
+    for c, t in rows:
+        texts[c].append(set(t.lower().split(" ")))
+    ws = list(dict.fromkeys(w.lower() for w in words))
+    p = {c: reduce(lambda x, w: x * sum(w in t for t in ts) / len(ts), ws, len(ts) / len(rows)) for c, ts in texts.items()}
+    best = max(p.values())
+    return {(c, v) for c, v in p.items() if v == best and v > 0}
+
+
+def test_pruned_batch_equals_brute_force(spark):
+    from geoscribe.operators import bayes
+
+    rows, train = _train(spark)
+    lists = [["the"], ["the", "w1"], ["w2", "The", "w3"], ["w4", "w5", "w6", "w7"], ["nowhere", "the"], ["w8"] * 3, ["w9", "w10"]]
+    queries = [(i, ws) for i, ws in enumerate(lists * 20)]
+    got = {}
+    for r in bayes.estimate_places(train, spark.createDataFrame(queries, "query_id int, words array<string>"), "cls", "text").collect():
+        got.setdefault(r.query_id, set()).add((r.cls, r.p))
+    for i, ws in queries:
+        assert got.get(i, set()) == _brute(rows, ws)
+
+
+def test_candidates_are_bounded_by_distinct_lists(spark):
+    """Equal lists are scored once, and classes below the bound are never paired with a list."""
+    from geoscribe.operators import bayes
+
+    rows, train = _train(spark)
+    queries = spark.createDataFrame([(i, ["the", "W1"] if i % 2 else ["The"]) for i in range(500)], "query_id int, words array<string>")
+    lists, named = bayes.distinct_lists(queries, ["query_id"])
+    assert lists.count() == 2 and named.count() == 500
+    scored = bayes.score_lists(train, lists, "cls", "text")
+    assert scored.count() < 2 * 300 / 4
+    pres = bayes.presence_for_vocabulary(train, "cls", "text", spark.createDataFrame([("the",)], "word string"))
+    rarest = spark.createDataFrame([(0, "the", 1, 11.0), (1, "the", 1, 0.0)], "list_id long, word string, k int, least double")
+    per_list = {r.list_id: r["count"] for r in bayes.candidate_classes(rarest, pres, "cls").groupBy("list_id").count().collect()}
+    assert per_list[1] == 300 and per_list[0] == pres.where("d >= 11").count() < 60
