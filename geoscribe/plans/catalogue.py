@@ -22,10 +22,11 @@ from pyspark.sql import types as T
 
 from geoscribe import sinks
 from geoscribe.functions.text import PY_WHITESPACE, lines, query_word_list
-from geoscribe.functions.time import local_hour_from_second_of_day, second_of_day
-from geoscribe.operators import bayes, groups, profile, ranking, sample, words
+from geoscribe.functions.time import second_of_day
+from geoscribe.operators import bayes, groups, hours, index, joins, profile, ranking, sample, words
+from geoscribe.plans import files as file_queries
 from geoscribe.plans import posts as post_queries
-from geoscribe.session import scratch_path
+from geoscribe.session import materialize, scratch_path
 from geoscribe.sources import scan_delimited, scan_word_list, table
 from geoscribe.sources.tables import spread
 
@@ -34,6 +35,7 @@ STOP = words.STOP_WORDS                     # stop words removed from token coun
 SMALL_MAX = 60                              # users with at most 60 events are "small"
 TOP_K_KEYS = 5                              # top sources within lang = 'en'
 TOP_K_WORDS = 10                            # words per report
+TOP_MAP_KEYS = 3                            # entries of a bounded map
 NB_WORDS = ["the", "and", "de"]             # the literal classifier query
 SAMPLE_FRACTION, SAMPLE_SEED = 0.1, 5       # the reference's sample parameters
 
@@ -61,13 +63,9 @@ def count_rows(spark, d):
 
 
 def distinct_counts(spark, d):
-    docs = _t(spark, d, "documents")
-    doc_counts = docs.select(F.struct(F.count_distinct("lang").alias("l"),
-                                      F.count_distinct("source").alias("s"))).scalar()
-    ev = _t(spark, d, "events").agg(F.count_distinct("user_id").alias("n_users"),
-                                    F.count_distinct("event_type").alias("n_event_types"))
-    return ev.select("n_users", "n_event_types", doc_counts.getField("l").alias("n_langs"),
-                     doc_counts.getField("s").alias("n_sources"))
+    docs, ev = _t(spark, d, "documents"), _t(spark, d, "events")
+    return spark.range(1).select(*[profile.distinct_count(df, c).alias(name) for df, c, name in (
+        (ev, "user_id", "n_users"), (ev, "event_type", "n_event_types"), (docs, "lang", "n_langs"), (docs, "source", "n_sources"))])
 
 
 def distinct_values(spark, d):
@@ -108,8 +106,8 @@ def sql_profile(spark, d):
 
 
 def sample_native(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", "source", "lang")
-    return sample.sample_native(docs, SAMPLE_FRACTION, SAMPLE_SEED)
+    """The reference's seeded draw, by file and row position."""
+    return sample.sample_rows(_t(spark, d, "documents"), SAMPLE_FRACTION, SAMPLE_SEED).select("doc_id", "source", "lang")
 
 
 def sample_hash(spark, d):
@@ -173,23 +171,37 @@ def centroid_csv(spark, d):
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def _hour_counts(spark, d) -> DataFrame:
-    """``(n_name, hour, n)``: events per nation and local hour.
+def events_without_keys(spark, d):
+    """Events of users who are no customer with an urgent order: raw rows against a key set from
+    another table, taken as past the broadcast bound (so through the Bloom filter)."""
+    urgent = _t(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT").select("o_custkey")
+    ev = _t(spark, d, "events").select("event_id", "user_id")
+    return joins.bloom_anti_join(ev, urgent, "user_id")
 
-    Events are first counted per (user, second of day) on the map side, so the
-    join with customers sees at most 86,400 rows per user however hot a user
-    is; the small customer x nation side is built first.  Exact: the local
-    hour depends only on the whole-second time of day and the offset.
-    """
+
+def key_join_tables(spark, d):
+    """Order and event aggregates of each customer with both, joined 1:1."""
+    spent = _t(spark, d, "orders").groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.round(F.avg("o_totalprice"), 6).alias("avg_price"))
+    seen = _t(spark, d, "events").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_events"), F.round(F.avg("value"), 6).alias("avg_value"))
+    return groups.join_aggregates(spent, seen, "o_custkey", "user_id")
+
+
+def global_index(spark, d):
+    """Position of every user in the order of event counts."""
+    counts = groups.count_by_key(_t(spark, d, "events"), "user_id")
+    return index.global_index(counts, groups.rank_order("user_id"))
+
+
+def _hour_counts(spark, d, max_rows: int | None = None) -> DataFrame:
+    """``(n_name, hour, n)``: events per nation and local hour, as histograms (``operators.hours``)."""
     cust = _t(spark, d, "customer").select("c_custkey", "c_nationkey")
-    nation = _t(spark, d, "nation").select("n_nationkey", "n_name")
-    cust_nat = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
-        "c_custkey", "n_name", ((F.col("n_nationkey") - 12) * 3600).alias("offset_s"))
-    ev = _t(spark, d, "events")
-    per_sec = ev.groupBy("user_id", second_of_day("ts").alias("sec")).agg(F.count(F.lit(1)).alias("c"))
-    joined = per_sec.join(cust_nat, per_sec.user_id == cust_nat.c_custkey)
-    hours = joined.select("n_name", local_hour_from_second_of_day("sec", "offset_s").alias("hour"), "c")
-    return hours.groupBy("n_name", "hour").agg(F.sum("c").cast("bigint").alias("n"))
+    nation = _t(spark, d, "nation").select("n_nationkey", "n_name", ((F.col("n_nationkey") - 12) * 3600).alias("offset_s"))
+    who = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
+    # The offsets are the nations', so their divisor is taken from that table.
+    return hours.hour_histogram(_t(spark, d, "events"), "user_id", second_of_day("ts"), who, "c_custkey", "n_name", "offset_s",
+                                max_rows=max_rows, slot=hours.slot_seconds(nation, "offset_s"))
 
 
 def local_hour(spark, d):
@@ -201,6 +213,11 @@ def peak_hour(spark, d):
     return groups.peak_of_counts(_hour_counts(spark, d), "n_name", "hour")
 
 
+def peak_hour_hot_keys(spark, d):
+    """The peak hour with the customers taken as past the broadcast bound: hot users apart."""
+    return groups.peak_of_counts(_hour_counts(spark, d, max_rows=0), "n_name", "hour")
+
+
 def filtered_group_count(spark, d):
     orders = _t(spark, d, "orders")
     cond = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "5-LOW")
@@ -236,6 +253,13 @@ def stopword_anti(spark, d):
     return groups.count_by_key(words.remove_stopwords(toks, stop), "lang", "n_tokens")
 
 
+def stopword_anti_bloom(spark, d):
+    """The same with the list taken as past the broadcast bound: a Bloom filter in the scan stage."""
+    toks = words.token_table(_docs(spark, d), "text", keep=["lang"])
+    stop = spark.createDataFrame([(w,) for w in STOP], "word string")
+    return groups.count_by_key(joins.bloom_anti_join(toks, stop, "word"), "lang", "n_tokens")
+
+
 def word_freq_topk(spark, d):
     en = _docs(spark, d).where(F.col("lang") == "en")
     toks = words.remove_stopwords(words.token_table(en, "text"), STOP)
@@ -267,6 +291,15 @@ def counts_as_map(spark, d):
     return m.select("lang", ranking.map_as_text(F.col("counts")).alias("counts"))
 
 
+def counts_table(spark, d):
+    return ranking.counts_table(_t(spark, d, "documents"), "lang", "source")
+
+
+def top_counts_map(spark, d):
+    m = ranking.top_counts_map(_t(spark, d, "documents"), "lang", "source", TOP_MAP_KEYS)
+    return m.select("lang", ranking.map_as_text(F.col("counts")).alias("counts"))
+
+
 # -------------------------------------------------------------- classifier family
 
 def _benchmark_queries(spark, d) -> DataFrame:
@@ -363,21 +396,28 @@ QUERIES: dict[str, QueryFn] = {
     "group_count_sorted": group_count_sorted,
     "small_groups": small_groups,
     "large_groups_anti": large_groups_anti,
+    "events_without_keys": events_without_keys,
+    "key_join_tables": key_join_tables,
+    "global_index": global_index,
     "group_centroid": group_centroid,
     "key_join_aggregates": key_join_aggregates,
     "centroid_csv": centroid_csv,
     "local_hour": local_hour,
     "peak_hour": peak_hour,
+    "peak_hour_hot_keys": peak_hour_hot_keys,
     "filtered_group_count": filtered_group_count,
     "top_keys": top_keys,
     "semi_join_top_keys": semi_join_top_keys,
     "tokens": tokens,
     "stopword_anti": stopword_anti,
+    "stopword_anti_bloom": stopword_anti_bloom,
     "word_freq_topk": word_freq_topk,
     "group_word_counts": group_word_counts,
     "top_words_per_top_key": top_words_per_top_key,
     "top_words_wide": top_words_wide,
     "counts_as_map": counts_as_map,
+    "counts_table": counts_table,
+    "top_counts_map": top_counts_map,
     "query_words": query_words,
     "nb_priors": nb_priors,
     "nb_word_presence": nb_word_presence,
@@ -460,6 +500,17 @@ _SAMPLE_SQL = """
     SELECT * FROM documents
     WHERE CAST(concat('0x', substr(md5(CAST(doc_id AS VARCHAR)), 1, 15)) AS BIGINT) < 115292150460684704"""
 
+_ROW_SAMPLE_SQL = """
+    SELECT doc_id, source, lang FROM (SELECT doc_id, source, lang, row_number() OVER () - 1 AS pos FROM documents)
+    WHERE CAST(concat('0x', substr(md5('5:documents.parquet:' || CAST(pos AS VARCHAR)), 1, 15)) AS BIGINT)
+          < 115292150460684704"""
+
+_PEAK_SQL = """
+        c AS (SELECT n_name, hour, count(*) AS n FROM h GROUP BY n_name, hour)
+        SELECT n_name, hour, n FROM (
+            SELECT *, row_number() OVER (PARTITION BY n_name ORDER BY n DESC, hour ASC) AS rn FROM c)
+        WHERE rn = 1"""
+
 _PROFILE_SQL = """
     WITH a AS (SELECT count(*) AS n_rows, count(DISTINCT source) AS ds, count(DISTINCT lang) AS dl,
                       min(n_chars) AS mn, max(n_chars) AS mx, avg(length(text)) AS ac,
@@ -491,7 +542,20 @@ ORACLE_SQL: dict[str, str] = {
         SELECT count(*) AS n_rows, count(DISTINCT source) AS n_sources, count(DISTINCT lang) AS n_langs,
                min(n_chars) AS min_chars, max(n_chars) AS max_chars FROM documents""",
     "sample_hash": f"SELECT doc_id, source, lang FROM ({_SAMPLE_SQL})",
+    # Row positions as the table's one file has them.
+    "sample_native": _ROW_SAMPLE_SQL,
     "group_count_sorted": _GROUP_COUNT_SQL,
+    "events_without_keys": """
+        SELECT event_id, user_id FROM events
+        WHERE user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+    "key_join_tables": """
+        SELECT o_custkey, n_orders, avg_price, n_events, avg_value
+        FROM (SELECT o_custkey, count(*) AS n_orders, round(avg(o_totalprice), 6) AS avg_price FROM orders GROUP BY o_custkey)
+        JOIN (SELECT user_id, count(*) AS n_events, round(avg(value), 6) AS avg_value FROM events GROUP BY user_id)
+          ON o_custkey = user_id""",
+    "global_index": """
+        SELECT user_id, n, row_number() OVER (ORDER BY n DESC, user_id) - 1 AS index
+        FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id)""",
     "small_groups": "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) <= 60",
     "large_groups_anti": """
         SELECT user_id, count(*) AS n FROM events
@@ -502,11 +566,9 @@ ORACLE_SQL: dict[str, str] = {
     "centroid_csv": _CENTROID_SQL,
     "local_hour": f"WITH {_HOURS_CTE} SELECT hour AS local_hour, count(*) AS n FROM h GROUP BY hour",
     "peak_hour": f"""
-        WITH {_HOURS_CTE},
-        c AS (SELECT n_name, hour, count(*) AS n FROM h GROUP BY n_name, hour)
-        SELECT n_name, hour, n FROM (
-            SELECT *, row_number() OVER (PARTITION BY n_name ORDER BY n DESC, hour ASC) AS rn FROM c)
-        WHERE rn = 1""",
+        WITH {_HOURS_CTE}, {_PEAK_SQL}""",
+    "peak_hour_hot_keys": f"""
+        WITH {_HOURS_CTE}, {_PEAK_SQL}""",
     "filtered_group_count": """
         SELECT o_custkey, count(*) AS n FROM orders
         WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW'
@@ -521,6 +583,9 @@ ORACLE_SQL: dict[str, str] = {
     "stopword_anti": f"""
         WITH {_TOKENS_CTE}
         SELECT lang, count(*) AS n_tokens FROM tw WHERE word NOT IN ({_STOP_SQL}) GROUP BY lang""",
+    "stopword_anti_bloom": f"""
+        WITH {_TOKENS_CTE}
+        SELECT lang, count(*) AS n_tokens FROM tw WHERE word NOT IN ({_STOP_SQL}) GROUP BY lang""",
     "word_freq_topk": f"""
         WITH {_TOKENS_CTE}
         SELECT word, count(*) AS n FROM tw WHERE lang = 'en' AND word NOT IN ({_STOP_SQL})
@@ -534,6 +599,20 @@ ORACLE_SQL: dict[str, str] = {
     "counts_as_map": """
         SELECT lang, string_agg(source || '=' || CAST(n AS VARCHAR), ',' ORDER BY source) AS counts
         FROM (SELECT lang, source, count(*) AS n FROM documents GROUP BY lang, source) GROUP BY lang""",
+    "counts_table": "SELECT lang, source, count(*) AS n FROM documents GROUP BY lang, source",
+    "top_counts_map": """
+        SELECT lang, string_agg(source || '=' || CAST(n AS VARCHAR), ',' ORDER BY source) AS counts
+        FROM (SELECT lang, source, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, source) AS rn
+              FROM (SELECT lang, source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY lang, source))
+        WHERE rn <= 3 GROUP BY lang""",
+    "query_file_lines": f"""
+        WITH {_QUERY_LINES_CTE},
+        wl AS (SELECT item_id, line_no, string_agg(word, ' ' ORDER BY pos) AS words FROM qw GROUP BY item_id, line_no)
+        SELECT item_id % 8 AS folder,
+               row_number() OVER (PARTITION BY item_id % 8 ORDER BY item_id, line_no) - 1 AS line,
+               row_number() OVER (ORDER BY item_id % 8, item_id, line_no) - 1 AS index, words
+        FROM wl""",
+    "metrics_file": f"SELECT ord, value FROM ({_PROFILE_SQL.format(src='documents')})",
     "query_words": f"""
         WITH {_QUERY_LINES_CTE}
         SELECT item_id, line_no, count(*) AS n_words, string_agg(word, ' ' ORDER BY pos) AS words
@@ -581,3 +660,6 @@ ORACLE_SQL: dict[str, str] = {
 # The reference's own tasks on the post table derived from the driver tables.
 QUERIES.update(post_queries.QUERIES)
 ORACLE_SQL.update(post_queries.ORACLE_SQL)
+# Queries over written files.
+QUERIES.update(file_queries.QUERIES)
+ORACLE_SQL.update(file_queries.ORACLE_SQL)

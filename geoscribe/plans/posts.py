@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoscribe.operators import words
+from geoscribe.operators.joins import dimension_join
 from geoscribe.plans import tasks
 from geoscribe.sources import table
 
@@ -47,10 +48,11 @@ def derived_posts(spark, d: str) -> DataFrame:
     cust = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")
     nation = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, d, "region").select("r_regionkey", "r_name")
-    # customer x nation x region is the small side; events meet one join.
+    # customer x nation x region is unique per customer; events meet one join, by broadcast
+    # while that table is small and with hot customers apart beyond.
     who = (cust.join(nation, cust.c_nationkey == nation.n_nationkey)
            .join(region, nation.n_regionkey == region.r_regionkey))
-    posts = ev.join(who, ev.user_id == who.c_custkey)
+    posts = dimension_join(ev, who, [("user_id", "c_custkey")])
     return posts.select(
         F.timestamp_diff("MILLISECOND", _epoch(), F.col("ts")).alias("utc_time"),
         F.col("n_name").alias("country_name"),
