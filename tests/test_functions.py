@@ -78,3 +78,26 @@ def test_float_text_stays_out_of_generated_code(spark):
     code = text._jdf.queryExecution().debug().codegenToSeq().mkString(" ")
     assert len(code) < 60_000
     assert tuple(text.first()) == ("0.1", "1e-07")
+
+
+def test_float_text_over_all_magnitudes(spark):
+    """Python's own text, over random bit patterns, integral doubles of 1e16..1e19 and short decimals."""
+    import math
+    import random
+    import struct
+
+    import pandas as pd
+
+    rng = random.Random(9)
+    bits = [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(8_000)]
+    xs = [v for v in bits if math.isfinite(v) and not 1e19 < abs(v) < 1e30]
+    xs += [rng.choice([-1, 1]) * float(rng.randrange(10 ** 16, 10 ** 19)) for _ in range(8_000)]
+    xs += [float(10 ** k + d) for k in range(15, 19) for d in (-1, 0, 1, 5, 50, 64, 100)] + [2.0 ** k for k in range(-60, 64)]
+    xs += [rng.uniform(-180, 180) for _ in range(2_000)] + [round(rng.uniform(-180, 180), rng.randrange(8)) for _ in range(2_000)]
+    xs += [5e-324, 1.5e-323, 2e-44, 9.999999999999999e22, 1e16, 9999999999999998.0, 0.0001, 0.00001, 0.0, -0.0, 1e22, 123456.0]
+    df = spark.createDataFrame(pd.DataFrame({"x": xs}))
+    got = df.select("x", gt.python_float_text("x").alias("t")).collect()
+    wrong = [(r.x, r.t) for r in got if r.t != repr(r.x)]
+    assert wrong == []
+    odd = spark.sql("select * from values (double('nan')), (double('inf')), (double('-inf')), (null) as t(x)")
+    assert [r.t for r in odd.select(gt.python_float_text("x").alias("t")).collect()] == ["nan", "inf", "-inf", None]
