@@ -26,7 +26,7 @@ Design for scale:
   word, so candidates come from that word's inverted list (the classes that hold
   it, with ``d``), and the other words are checked by an equi join on (class, word).
 * Candidates are pruned by a bound: every factor of the fold is at most 1, so
-  ``p(c) <= d_c(w) / N`` for each word ``w``.  The few classes with the largest ``d``
+  ``p(c) <= d_c(w) / N`` for each word ``w``.  A few classes with large ``d``
   of the rarest word are scored first; only classes whose ``d`` reaches ``N``
   times the best ``p`` among them are scored after that.  Inverted lists are cut by
   magnitude (the binary logarithm of ``d``), a join key, so entries below the
@@ -172,7 +172,7 @@ def presence_for_vocabulary(train: DataFrame, cls: str, text: str, vocab: DataFr
             .groupBy(cls, "word").agg(F.count(F.lit(1)).alias("d")))
 
 
-#: Classes per word, by falling ``d``, that are scored to find the bound.
+#: Classes per word that are scored to find the bound: the one with the largest ``d`` of each hash group of classes.
 FIRST_CANDIDATES = 8
 #: The bound is lowered by this part, far above the rounding of the fold.
 SLACK = 1e-9
@@ -241,9 +241,9 @@ def score_lists(train: DataFrame, lists: DataFrame, cls: str, text: str) -> Data
         F.min_by("word", F.struct("n_cls", "pos")).alias("word"), F.count(F.lit(1)).alias("k"))
     rarest = materialize(rarest, "nb_rarest")
 
-    by_d = Window.partitionBy("word").orderBy(F.col("d").desc(), F.col(cls))
-    first = pres.withColumn("_r", F.row_number().over(by_d)).where(F.col("_r") <= FIRST_CANDIDATES)
-    tried = rarest.join(first.select(cls, "word"), "word").select("list_id", cls, "k", F.lit(0.0).alias("least"))
+    group = F.pmod(F.xxhash64(cls), F.lit(FIRST_CANDIDATES)).alias("_group")
+    first = pres.groupBy("word", group).agg(F.max(F.struct("d", cls)).alias("_first")).select("word", F.col("_first")[cls].alias(cls))
+    tried = rarest.join(first, "word").select("list_id", cls, "k", F.lit(0.0).alias("least"))
     best = _matched(tried, list_words, pres, sizes, cls).where(F.col("scaled")["m"] > 0)
     best = best.groupBy("list_id").agg(F.max("scaled").alias("_best"))
     total = F.log2(total_of(n_c, "n_c"))
