@@ -22,6 +22,12 @@ window of their own length; items of fewer than ``MIN_TOKENS`` tokens identify
 nothing.  A capitalised word that opens an item is read both as a word and as a
 name.  An item without any unedited window of ``WINDOW`` tokens is not found.
 
+A window row is a hash and a position, whatever the length of its text: the
+documents found to be aligned with items are read once more, and each alignment's
+slice of the document (the item's length and a quarter) is cut out then, once per
+group of alignments that lie no further apart than a copy may drift.  A very long
+item or text therefore costs its own length per alignment, not per window.
+
 Null and empty texts and items match nothing; rows that share an id count as
 one document; a null id is an id.  Empty tables give no rows.
 """
@@ -31,6 +37,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +46,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoscribe.llm.common import benchmark, documents, materialize
+from geoscribe.llm.common import benchmark, documents, materialize, null_safe
+from geoscribe.operators.joins import checked_broadcast
 
 WINDOW = 8
 MIN_PLAIN = 4
@@ -46,7 +55,8 @@ MIN_TOKENS = 4
 MIN_BLOCK = 2
 MIN_COVERAGE = 0.5
 BITMAP_BITS = 1 << 26
-MEMO = 300_000
+MEMO = 600_000
+BLOCK_CHARS = 1 << 18
 
 # Fixed values.
 UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces "
@@ -55,59 +65,99 @@ UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg gram gr
 NUMBER_WORDS = ("two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty sixty seventy "
                 "eighty ninety hundred thousand million").split()
 
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]")
+_TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]|\d+(?:[.,]\d+)*")         # letters are most of a text: tried first
 _WORD, _CAPITAL, _NUMBER, _UNIT, _STOP = range(5)
 _SLOTS = {_CAPITAL: "<name>", _NUMBER: "<num>", _UNIT: "<unit>"}
+_FIXED = dict.fromkeys(UNITS, _UNIT) | dict.fromkeys(NUMBER_WORDS, _NUMBER) | dict.fromkeys(".!?\n", _STOP)
 
 
 class _Tokens(dict):
-    """Token -> number of its row in ``kind`` and ``code``; a cache that starts anew when full."""
+    """Token -> number of its row in ``kinds`` and ``codes``; a cache that starts anew when full."""
 
     def __init__(self):
         super().__init__()
-        self.kind, self.code = np.zeros(2 * MEMO, np.int8), np.zeros(2 * MEMO, np.uint64)
+        self.kinds: list[int] = []
+        self.codes: list[int] = []
+        self._arrays = np.zeros(0, np.int8), np.zeros(0, np.uint64)
 
     def __missing__(self, token: str) -> int:
-        row = len(self)
-        if row >= len(self.kind):                           # a text with more distinct tokens than the cache
-            self.kind, self.code = np.resize(self.kind, 2 * row), np.resize(self.code, 2 * row)
+        row = self[token] = len(self.kinds)
         low = token.lower()
-        if token[0] in ".!?\n":
-            kind = _STOP
-        elif token[0].isdigit() or low in NUMBER_WORDS:
+        first = token[0]
+        if low in _FIXED:
+            kind = _FIXED[low]
+        elif first.isdigit():
             kind = _NUMBER
-        elif low in UNITS:
-            kind = _UNIT
-        elif len(token) > 1 and token[0].isupper() and token[1:].islower():
-            kind = _CAPITAL
         else:
-            kind = _WORD
-        self.kind[row], self.code[row] = kind, xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass"))
-        self[token] = row
+            kind = _CAPITAL if first != low[0] and len(token) > 1 and first.isupper() and token[1:].islower() else _WORD
+        self.kinds.append(kind)
+        self.codes.append(xxhash.xxh3_64_intdigest(low))
         return row
 
+    def rows(self, tokens: list[str]) -> np.ndarray:
+        if len(self) > MEMO:
+            self.clear()
+            self.kinds.clear()
+            self.codes.clear()
+            self._arrays = self._arrays[0][:0], self._arrays[1][:0]
+        if len(tokens) < 2:
+            return np.array([self[t] for t in tokens], np.int64)
+        return np.array(itemgetter(*tokens)(self), np.int64)          # one call for the whole block
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """Kinds and codes of all rows; only the new ones are converted."""
+        done = len(self._arrays[0])
+        if done < len(self.kinds):
+            self._arrays = (np.concatenate([self._arrays[0], np.array(self.kinds[done:], np.int8)]),
+                            np.concatenate([self._arrays[1], np.array(self.codes[done:], np.uint64)]))
+        return self._arrays
+
 
 _SLOT_CODE = {k: np.uint64(xxhash.xxh3_64_intdigest(v.encode())) for k, v in _SLOTS.items()}
 
 
-def canonical(text: str, memo: _Tokens) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, their slot kinds (0: none), codes and literal codes, stops removed."""
-    tokens = _TOKEN.findall(text)
-    if len(memo) > MEMO:
-        memo.clear()
-    rows = np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
-    kind, code = memo.kind[rows], memo.code[rows]
-    literal = code
-    stop = kind == _STOP
-    opens = np.ones(len(tokens), bool)                      # first token of a sentence: no name
-    opens[1:] = stop[:-1]
-    after_number = np.zeros(len(tokens), bool)
-    after_number[1:] = kind[:-1] == _NUMBER
-    slot = np.where((kind == _CAPITAL) & ~opens | (kind == _NUMBER) | (kind == _UNIT) & after_number, kind, 0)
-    for k, c in _SLOT_CODE.items():
-        code = np.where(slot == k, c, code)
-    keep = ~stop
-    return [t for t, k in zip(tokens, keep.tolist()) if k], slot[keep], code[keep], literal[keep]
+class Canonical:
+    """Texts in canonical form: tokens without stops, their slot kinds (0: none), codes and literal
+    codes, one text behind the other, with the place where each begins in ``starts``."""
+
+    def __init__(self, texts: list[str], memo: _Tokens):
+        split = [_TOKEN.findall(t) for t in texts]
+        tokens = list(chain.from_iterable(split))
+        rows = memo.rows(tokens)
+        kinds, codes = memo.arrays()
+        kind, code = kinds[rows], codes[rows]
+        ends = np.cumsum([len(part) for part in split], dtype=np.int64)
+        begins = (ends - [len(part) for part in split])[[len(part) > 0 for part in split]]
+        stop = kind == _STOP
+        opens = np.ones(len(tokens), bool)                  # first token of a sentence or text: no name
+        opens[1:] = stop[:-1]
+        opens[begins] = True
+        after_number = np.zeros(len(tokens), bool)
+        after_number[1:] = kind[:-1] == _NUMBER
+        after_number[begins] = False
+        slot = np.where((kind == _CAPITAL) & ~opens | (kind == _NUMBER) | (kind == _UNIT) & after_number, kind, 0)
+        keep = np.flatnonzero(~stop)
+        self._tokens, self._at = tokens, keep
+        self.slot, self.literal = slot[keep], code[keep]
+        self.code = self.literal.copy()
+        for k, c in _SLOT_CODE.items():
+            self.code[self.slot == k] = c
+        self.starts = np.concatenate([[0], np.searchsorted(keep, ends)]).astype(np.int64)
+
+    def tokens(self, start: int, end: int) -> list[str]:
+        return [self._tokens[i] for i in self._at[start:end].tolist()]
+
+    def window(self, at: int, width: int) -> str:
+        """Canonical text."""
+        kinds = self.slot[at:at + width].tolist()
+        return " ".join(_SLOTS.get(k) or t.lower() for t, k in zip(self.tokens(at, at + width), kinds))
+
+    def literal_window(self, at: int, width: int) -> str:
+        return "=" + " ".join(t.lower() for t in self.tokens(at, at + width))
+
+    def kinds(self, start: int, end: int) -> list[str]:
+        """Tokens in lower case behind the digit of their slot kind."""
+        return [f"{k}{t.lower()}" for t, k in zip(self.tokens(start, end), self.slot[start:end].tolist())]
 
 
 def window_hashes(slot: np.ndarray, code: np.ndarray, literal: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,29 +183,16 @@ def window_hashes(slot: np.ndarray, code: np.ndarray, literal: np.ndarray, width
     return h, poor, mixed(width + (1 << 32), [literal[poor + k] for k in range(width)])
 
 
-def _window(tokens: list[str], slot: np.ndarray, at: int, width: int) -> str:
-    """Canonical text."""
-    part, kinds = [t.lower() for t in tokens[at:at + width]], slot[at:at + width].tolist()
-    return " ".join(_SLOTS.get(k, t) for t, k in zip(part, kinds))
-
-
-def _literal(tokens: list[str], at: int, width: int) -> str:
-    return "=" + " ".join(t.lower() for t in tokens[at:at + width])
-
-
-def _kinds(tokens: list[str], slot: np.ndarray, start: int, end: int) -> list[str]:
-    """Tokens in lower case behind the digit of their slot kind."""
-    return [f"{k}{t.lower()}" for t, k in zip(tokens[start:end], slot[start:end].tolist())]
+_WINDOW = "h bigint, pos int, win string, n int"
 
 
-_WINDOW = "h bigint, pos int, win string, first int, toks array<string>, n int"
-
-
-def _emit(ids, take: list[int], found: list[tuple], names=("h", "pos", "win", "first", "toks", "n", "id")) -> pa.RecordBatch:
-    cols = list(zip(*found)) if found else [()] * 6
+def _emit(b: pa.RecordBatch, take: list[int], found: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*found)) if found else [()] * 4
     arrays = [pa.array(np.array(cols[0], np.uint64).view(np.int64)), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()),
-              pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.list_(pa.string())), pa.array(cols[5], pa.int32())]
-    return pa.RecordBatch.from_arrays([*arrays, ids.take(pa.array(take, pa.int64()))], names=list(names))
+              pa.array(cols[3], pa.int32())]
+    at = pa.array(take, pa.int64())
+    return pa.RecordBatch.from_arrays([*arrays, b.column("id").take(at), b.column("row").take(at)],
+                                      names=["h", "pos", "win", "n", "id", "row"])
 
 
 def _item_windows(width: int):
@@ -163,31 +200,51 @@ def _item_windows(width: int):
         memo = _Tokens()
         for b in batches:
             take, found = [], []
-            for k, t in enumerate(b.column("text")):
-                tokens, slot, code, literal = canonical(t.as_py() or "", memo)
-                w = min(width, len(tokens))
+            for k, t in enumerate(b.column("text").to_pylist()):
+                c = Canonical([t or ""], memo)
+                n = len(c.slot)
+                w = min(width, n)
                 if w < MIN_TOKENS:
                     continue
-                toks = _kinds(tokens, slot, 0, len(tokens))
-                readings = [(slot, code)]
-                if slot[0] == 0 and len(tokens[0]) > 1 and tokens[0][0].isupper() and tokens[0][1:].islower():
-                    named = slot.copy(), code.copy()
-                    named[0][0], named[1][0] = _CAPITAL, _SLOT_CODE[_CAPITAL]
-                    readings.append(named)
-                for r, (kinds, codes) in enumerate(readings):
-                    h, poor, lit = window_hashes(kinds, codes, literal, w)
-                    at = np.flatnonzero(h if r == 0 else h[:1])
-                    rows = [(h[i], i, _window(tokens, kinds, i, w)) for i in at.tolist()]
-                    if r == 0:
-                        rows += [(x, i, _literal(tokens, i, w)) for i, x in zip(poor.tolist(), lit)]
-                    found += [(*x, 0, toks, len(tokens)) for x in rows]
-                    take += [k] * len(rows)
-            yield _emit(b.column("id"), take, found)
+                first = c.tokens(0, 1)[0]
+                slot, code = c.slot.copy(), c.code.copy()
+                h, poor, lit = window_hashes(slot, code, c.literal, w)
+                rows = [(h[i], i, c.window(i, w)) for i in np.flatnonzero(h).tolist()]
+                rows += [(x, i, c.literal_window(i, w)) for i, x in zip(poor.tolist(), lit)]
+                if slot[0] == 0 and len(first) > 1 and first[0].isupper() and first[1:].islower():
+                    c.slot[0], code[0] = _CAPITAL, _SLOT_CODE[_CAPITAL]      # the opening word read as a name
+                    h = window_hashes(c.slot, code, c.literal, w)[0][:1]
+                    rows += [(h[0], 0, c.window(0, w))] if h[0] else []
+                found += [(*x, n) for x in rows]
+                take += [k] * len(rows)
+            yield _emit(b, take, found)
 
     return run
 
 
-def _document_windows(widths: list[int], bitmap: np.ndarray, reach: int):
+def _item_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each item's tokens, once."""
+    memo = _Tokens()
+    for b in batches:
+        toks = []
+        for t in b.column("text").to_pylist():
+            c = Canonical([t or ""], memo)
+            toks.append(c.kinds(0, len(c.slot)))
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), pa.array(toks, pa.list_(pa.string()))],
+                                         names=["id", "row", "toks"])
+
+
+def _pieces(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``BLOCK_CHARS`` characters together (a longer text is a range of its own)."""
+    start = chars = 0
+    for i, t in enumerate(texts):
+        chars += len(t)
+        if chars >= BLOCK_CHARS or i + 1 == len(texts):
+            yield start, i + 1
+            start, chars = i + 1, 0
+
+
+def _document_windows(widths: list[int], bitmap: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Tokens()
         mask = np.uint64(BITMAP_BITS - 1)
@@ -199,24 +256,58 @@ def _document_windows(widths: list[int], bitmap: np.ndarray, reach: int):
 
         for b in batches:
             take, found = [], []
-            for k, t in enumerate(b.column("text")):
-                text = t.as_py()
-                if not text:
-                    continue
-                tokens, slot, code, literal = canonical(text, memo)
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            for first, last in _pieces(texts):
+                c = Canonical(texts[first:last], memo)
                 for w in widths:
-                    h, poor, lit = window_hashes(slot, code, literal, w)
-                    rows = [(h[i], i, _window(tokens, slot, i, w)) for i in hits(h).tolist()]
-                    rows += [(lit[i], int(poor[i]), _literal(tokens, int(poor[i]), w)) for i in hits(lit).tolist()]
-                    for x in rows:
-                        first = max(0, x[1] - reach)
-                        found.append((*x, first, _kinds(tokens, slot, first, x[1] + w + reach), 0))
-                    take += [k] * len(rows)
-            yield _emit(b.column("id"), take, found)
+                    h, poor, lit = window_hashes(c.slot, c.code, c.literal, w)
+                    rows = [(h[i], i, False) for i in hits(h).tolist()]
+                    rows += [(lit[i], int(poor[i]), True) for i in hits(lit).tolist()]
+                    for x, at, is_literal in rows:
+                        text = int(np.searchsorted(c.starts, at, "right")) - 1
+                        if at + w <= c.starts[text + 1]:                    # not across two texts
+                            win = c.literal_window(at, w) if is_literal else c.window(at, w)
+                            found.append((x, at - int(c.starts[text]), win, 0))
+                            take.append(first + text)
+            yield _emit(b, take, found)
 
     return run
 
 
+def _slack(n: int) -> int:
+    """Tokens by which a copy may drift from an alignment of an item of ``n`` tokens."""
+    return 4 + n // 4
+
+
+def representatives(shifts: list[int], n: int) -> list[int]:
+    """Middles of groups of shifts no further apart than the slack: each stands for its group's copies."""
+    out: list[int] = []
+    group: list[int] = []
+    for s in sorted(set(shifts)):
+        if group and s - group[0] > _slack(n):
+            out.append((group[0] + group[-1]) // 2)
+            group = []
+        group.append(s)
+    return [*out, (group[0] + group[-1]) // 2] if group else out
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each document and item it is aligned with, the document's tokens around every alignment."""
+    memo = _Tokens()
+    for b in batches:
+        for k, (text, aligned_with) in enumerate(zip(b.column("text").to_pylist(), b.column("found").to_pylist())):
+            c = Canonical([text], memo)
+            rows = []
+            for f in aligned_with:
+                for at in representatives(f["shifts"], f["n"]):
+                    rows.append((f["item"], f["item_row"], c.kinds(max(0, at - _slack(f["n"])), max(0, at + f["n"] + _slack(f["n"])))))
+            item, item_row, part = zip(*rows)
+            kind = b.column("found").type.value_type.field("item").type
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id").take(pa.array([k] * len(rows))), pa.array(item, kind), pa.array(item_row, pa.int64()),
+                 pa.array(part, pa.list_(pa.string()))], names=["id", "item", "item_row", "part"])
+
+
 def aligned(item: list[str], part: list[str]) -> tuple[int, bool]:
     """Tokens of the item in blocks that also stand, in order, in the document's part, and whether a slot changed.
 
@@ -243,16 +334,15 @@ def aligned(item: list[str], part: list[str]) -> tuple[int, bool]:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        got = []
-        for item, toks, at in zip(*(b.column(c).to_pylist() for c in ("item_toks", "toks", "at"))):
-            slack = 4 + len(item) // 4
-            part = toks[max(0, at - slack):at + len(item) + slack]
+        got, sizes = [], []
+        for item, part in zip(*(b.column(c).to_pylist() for c in ("toks", "part"))):
             best = aligned(item, part)
             if best[0] < len(item) and item[0][0] == "0" and f"{_CAPITAL}{item[0][1:]}" in part:
                 best = max(best, aligned([f"{_CAPITAL}{item[0][1:]}", *item[1:]], part))
             got.append(best)
+            sizes.append(len(item))
         k, changed = zip(*got) if got else ((), ())
-        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("item"), b.column("n"), pa.array(k, pa.int64()),
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("item"), pa.array(sizes, pa.int32()), pa.array(k, pa.int64()),
                                           pa.array(changed, pa.bool_())], names=["id", "item", "n", "k", "changed"])
 
 
@@ -270,29 +360,30 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                  min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``(id, item, matched_tokens, item_tokens, coverage, slots_changed)`` per contaminated document and item."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    bench = items.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"))
-
-    def kind(df: DataFrame) -> str:
-        return f"{_WINDOW}, id {df.schema['id'].dataType.simpleString()}"
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("row"))
+    bench = items.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"), F.xxhash64(item_text_col).alias("row"))
+    doc_id, item_id = (df.schema["id"].dataType.simpleString() for df in (rows, bench))
 
-    wanted = materialize(bench.mapInArrow(_item_windows(window), kind(bench)), "item_windows")
+    wanted = materialize(bench.mapInArrow(_item_windows(window), f"{_WINDOW}, id {item_id}, row bigint"), "item_windows")
     bitmap = _bitmap(wanted)
-    widths = sorted({window, *(r.w for r in wanted.where(F.size(F.split("win", " ")) < window).select(
-        F.size(F.split("win", " ")).alias("w")).distinct().collect())})           # at most WINDOW numbers
-    longest = wanted.agg(F.max("n")).collect()[0][0] or 0
-    have = rows.mapInArrow(_document_windows(widths, bitmap, 2 * longest + 4), kind(rows))
-    # One row per alignment: neighbouring windows of a copy have the same.
-    text = F.xxhash64("i.toks").alias("item_key")
-    matches = have.alias("d").join(wanted.alias("i"), ["h", "win"]).select(
-        F.col("d.id").alias("id"), F.col("i.id").alias("item"), F.col("i.n").alias("n"), F.col("i.toks").alias("item_toks"),
-        F.col("d.toks").alias("toks"), (F.col("d.pos") - F.col("i.pos") - F.col("d.first")).alias("at"),
-        (F.col("d.pos") - F.col("i.pos")).alias("shift"), text)
-    alignments = matches.withColumn("part", F.xxhash64(F.slice(
-        "toks", F.greatest(F.col("at"), F.lit(0)) + 1, F.col("n")))).dropDuplicates(["id", "item", "item_key", "shift", "part"])
-    plain = alignments.select("id", "item", "n")
-    checked = alignments.select("id", "item", "n", "item_toks", "toks", "at").mapInArrow(
-        _verify, ", ".join(f"{c} {plain.schema[c].dataType.simpleString()}" for c in plain.columns) + ", k bigint, changed boolean")
+    widths = sorted({window, *(r.w for r in wanted.select(F.least("n", F.lit(window)).alias("w")).distinct().collect())})  # at most WINDOW
+    have = rows.mapInArrow(_document_windows(widths, bitmap), f"{_WINDOW}, id {doc_id}, row bigint")
+    # Which documents are aligned with which items, and where; one list per document and item.
+    shifts = have.alias("d").join(wanted.alias("i"), ["h", "win"]).select(
+        F.col("d.id").alias("id"), F.col("d.row").alias("row"), F.col("i.id").alias("item"), F.col("i.row").alias("item_row"),
+        F.col("i.n").alias("n"), (F.col("d.pos") - F.col("i.pos")).alias("shift"))
+    per_item = shifts.groupBy("id", "row", "item", "item_row", "n").agg(F.collect_set("shift").alias("shifts"))
+    per_document = materialize(per_item.groupBy("id", "row").agg(
+        F.collect_list(F.struct("item", "item_row", "n", "shifts")).alias("found")), "aligned_documents")
+    # Only these documents are read again, each once; their keys are broadcast behind a check of their size.
+    keys = checked_broadcast(per_document.select("id", "row"))
+    again = null_safe(rows.where(F.col("text").isNotNull()), keys, ["id", "row"], "left_semi").dropDuplicates(["id", "row"])
+    sliced = null_safe(again, per_document, ["id", "row"], "inner").select("id", "text", "found").mapInArrow(
+        _slices, f"id {doc_id}, item {item_id}, item_row bigint, part array<string>")
+    tokens = bench.dropDuplicates(["id", "row"]).mapInArrow(_item_tokens, f"id {item_id}, row bigint, toks array<string>")
+    paired = null_safe(sliced, tokens.select(F.col("id").alias("item"), F.col("row").alias("item_row"), "toks"),
+                       ["item", "item_row"], "inner").select("id", "item", "toks", "part")
+    checked = paired.mapInArrow(_verify, f"id {doc_id}, item {item_id}, n int, k bigint, changed boolean")
     out = checked.where(F.col("k") / F.col("n") >= min_coverage).groupBy("id", "item", "n").agg(
         F.max(F.struct("k", (~F.col("changed")).alias("same"))).alias("best"))
     return out.select(

@@ -320,3 +320,22 @@ def test_long_keys_over_small_alphabets_are_novel():
             assert secrets.novelty(key.encode(), b"", b"") >= 0.95
             assert (14, 3, 14 + n) in secrets.scan_text(f"the auth_key: {key}", b"")
     assert secrets.novelty(b"get_value_of_item_" * 40, b"", b"") < 0.3
+
+
+def test_templates_find_a_very_long_item_copied_whole(spark):
+    """An item of 20,000 tokens, copied into a text with edits and numbers changed, beside short items and texts."""
+    rng = np.random.default_rng(8)
+    words = [f"w{a}" for a in "abcdefghijklmnopqrstuvwxyz"]
+    long_item = " ".join(f"{rng.choice(words)}{chr(97 + int(rng.integers(0, 26)))}{chr(97 + int(rng.integers(0, 26)))}x"
+                         if rng.random() > 0.02 else str(rng.integers(0, 9)) for _ in range(20_000))
+    tokens = long_item.split()
+    edited = tokens[:300] + ["added"] * 3 + tokens[300:9_000] + tokens[9_005:]
+    bench = spark.createDataFrame([(1, long_item), (2, "Every day the red fox jumps over nine lazy dogs near here.")],
+                                  "item_id long, text string")
+    rows = [(1, "Before it. " + long_item + " after it", "en", "s", 1), (2, " ".join(edited), "en", "s", 1),
+            (3, " ".join(rng.permutation(tokens)), "en", "s", 1), (4, "x " * 50_000, "en", "s", 1),
+            (5, "Every day the red fox jumps over nine lazy dogs near here.", "en", "s", 1), (None, long_item, "en", "s", 1)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("found", F.lit(1)).withColumn("item", F.lit("x"))
+    got = {(r.doc_id, r.item_id): r for r in templates.contaminated(df, bench).collect()}
+    assert set(got) == {(1, 1), (2, 1), (5, 2), (None, 1)}
+    assert got[1, 1].coverage == 1.0 and got[2, 1].coverage > 0.99
