@@ -20,14 +20,16 @@ the smallest document id that is reachable by links.
    first pivot is its ring: by the triangle inequality texts whose rings are more
    than ``r`` apart cannot link, so later pivots are only paired with the window
    of rings around their own.  Pivots leave, and the region goes on with its
-   other members until all are in one component.  Distances need no text where
-   sizes or a parity sketch of the sets already prove that they are too large.
+   other members until all are in one component.  Sizes and a parity sketch of the
+   sets, carried by the members, prove most distances too large before a pair
+   becomes a row.
 4. Components are merged after each round by contracting the new links.
 
-A region of ``m`` members yields at most ``PIVOTS[-1] * m`` pairs a round, and a
-group of copies becomes one component within a few pivots, so groups of any
-size cost work in proportion to their members; nothing is capped and the join
-is exact.  All state lives in DataFrames; links and components are never
+A group of copies becomes one component within a few pivots and costs work in
+proportion to its members.  Texts that share a region and link with none of its
+pivots are compared with each (sizes, rings and 256-bit sketches, inside one
+expression), but only pairs that these bounds leave open become rows and
+fetch texts; nothing is capped and the join is exact.  All state lives in DataFrames; links and components are never
 collected.
 
 Words are runs of non-white space with A-Z in lower case.  A text with fewer
@@ -56,10 +58,11 @@ RING = 0.2 + 1e-9
 SAMPLE, COMMON = 16, 4
 BITMAP_BITS = 1 << 26
 #: Pivots of a region in each round; the last number holds for all further ones.
-PIVOTS = (1, 2, 8, 32, 128)
+PIVOTS = (1, 2, 8, 32, 128, 512)
 #: Parity sketches: a small one for all texts, a large one for texts of more than LARGE_FROM shingles.
 #: The large one has LARGE_SHARE to twice as many bits per shingle, so that it does not saturate.
 SMALL_BITS, LARGE_SHARE, LARGE_FROM = 256, 1, 400
+SKETCH = ("k0", "k1", "k2", "k3")
 SALT_ROWS = 500
 MEMO = 300_000
 MAX_BROADCAST_ROWS = 1_000_000
@@ -243,8 +246,8 @@ def first_regions(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     # Neighbouring shingles make regions with the same members; one of each kind stays.
     chosen = shared.groupBy("members", "mixed", "lo", "hi").agg(F.min("reg").alias("reg")).select("reg")
     kept = shared.select("reg", "u").join(chosen, "reg", "left_semi")
-    return kept.join(nodes.select("u", "n"), "u").select(
-        "reg", "u", "n", F.col("u").alias("c"), F.lit(0.0).alias("ring_lo"), F.lit(1.0).alias("ring_hi"))
+    return kept.join(nodes.select("u", "n", *SKETCH), "u").select(
+        "reg", "u", "n", *SKETCH, F.col("u").alias("c"), F.lit(0.0).alias("ring_lo"), F.lit(1.0).alias("ring_hi"))
 
 
 def _distance(both: Column, a: Column, b: Column) -> Column:
@@ -302,7 +305,16 @@ def _pivots(members: DataFrame, count: int) -> DataFrame:
     order = Window.partitionBy("reg").orderBy(F.xxhash64("u"), "u")       # limited per task before the exchange
     rest = (members.join(largest, "reg").where(F.col("c") != F.col("largest"))
             .withColumn("r", F.row_number().over(order)).where(F.col("r") <= count))
-    return rest.groupBy("reg").agg(F.collect_list(F.struct("u", "c", "n", "ring_lo", "ring_hi")).alias("pivots"))
+    return rest.groupBy("reg").agg(F.collect_list(F.struct("u", "c", "n", *SKETCH, "ring_lo", "ring_hi")).alias("pivots"))
+
+
+def _may_link(q: Column) -> Column:
+    """Whether a member may link with the pivot ``q`` of its region, by component, ring, size and small sketch."""
+    small, large = F.least(F.col("n"), q["n"]), F.greatest(F.col("n"), q["n"])
+    differing = sum((F.bit_count(F.col(k).bitwiseXOR(q[k])) for k in SKETCH), F.lit(0))
+    return ((F.col("c") != q["c"]) & (5 * small >= 4 * large)
+            & (F.col("ring_lo") <= q["ring_hi"] + RING) & (q["ring_lo"] <= F.col("ring_hi") + RING)
+            & (9 * differing <= F.col("n") + q["n"]))
 
 
 def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -312,25 +324,20 @@ def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """
     regions = materialize(first_regions(nodes, texts), "regions")
     comps = materialize(regions.select("u").distinct().withColumn("c", F.col("u")), "components")
-    nodes = materialize(nodes.select("u", "id", "n", "k0", "k1", "k2", "k3", "large").join(comps.select("u"), "u", "left_semi"), "met_nodes")
-    sketch = nodes.select("u", "k0", "k1", "k2", "k3")
+    nodes = materialize(nodes.select("u", "id", "n", "large").join(comps.select("u"), "u", "left_semi"), "met_nodes")
     level = 0
     while True:
         picked = materialize(_pivots(regions, PIVOTS[min(level, len(PIVOTS) - 1)]), "pivots")
         if picked.isEmpty():
             return comps
         small, large = F.least("n", "pn"), F.greatest("n", "pn")
-        pairs = (regions.join(picked, "reg").select("reg", "u", "n", "c", "ring_lo", "ring_hi", F.explode("pivots").alias("q"))
-                 .where((F.col("u") != F.col("q.u")) & (F.col("c") != F.col("q.c"))
-                        & (F.col("ring_lo") <= F.col("q.ring_hi") + RING) & (F.col("q.ring_lo") <= F.col("ring_hi") + RING))
-                 .select("reg", "u", "n", F.col("q.u").alias("p"), F.col("q.n").alias("pn")))
-        # Lower bounds from sizes and parity sketches, then exact sizes for what may link.
-        distinct = pairs.where(5 * small >= 4 * large).select("p", "u", "pn", "n").distinct()
-        left = sketch.select(F.col("u").alias("p"), *[F.col(f"k{i}").alias(f"q{i}") for i in range(4)])
-        differing = sum((F.bit_count(F.col(f"k{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(4)), F.lit(0))
+        # Pivots that a member cannot link with leave the array before it is unfolded: only pairs that pass
+        # the bounds of component, ring, size and small sketch become rows.
+        pairs = (regions.join(picked, "reg").select("u", "n", F.explode(F.filter("pivots", _may_link)).alias("q"))
+                 .select(F.col("q.u").alias("p"), "u", F.col("q.n").alias("pn"), "n"))
         total = F.col("n") + F.col("pn")
-        bounded = distinct.join(sketch, "u").join(left, "p").where(9 * differing <= total).select("p", "u", "pn", "n")
-        bounded = materialize(bounded, "sketched_pairs")
+        # One pair may share several regions.
+        bounded = materialize(pairs.distinct(), "sketched_pairs")
         bounded = _large_bound(bounded, nodes, total)
         bounded = materialize(bounded, "bounded_pairs")
         exact = verify(bounded.select("p", "u"), nodes, texts)
@@ -349,9 +356,9 @@ def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         following = regions.drop("c").join(picked, "reg").where(~F.array_contains("pivots.u", F.col("u")))
         if level == 0:
             head = F.element_at("pivots", 1)
-            following = following.select("reg", "u", "n", head["u"].alias("p"), head["n"].alias("pn")).join(
+            following = following.select("reg", "u", "n", *SKETCH, head["u"].alias("p"), head["n"].alias("pn")).join(
                 known.select("p", "u", "d"), ["p", "u"], "left").select(
-                "reg", "u", "n", F.coalesce("d", 1 - small / large).alias("ring_lo"), F.coalesce("d", F.lit(1.0)).alias("ring_hi"))
+                "reg", "u", "n", *SKETCH, F.coalesce("d", 1 - small / large).alias("ring_lo"), F.coalesce("d", F.lit(1.0)).alias("ring_hi"))
         regions = materialize(following.drop("pivots").join(comps, "u"), "regions")
         level += 1
 

@@ -339,3 +339,36 @@ def test_templates_find_a_very_long_item_copied_whole(spark):
     got = {(r.doc_id, r.item_id): r for r in templates.contaminated(df, bench).collect()}
     assert set(got) == {(1, 1), (2, 1), (5, 2), (None, 1)}
     assert got[1, 1].coverage == 1.0 and got[2, 1].coverage > 0.99
+
+
+def test_unlinked_near_copies_make_few_rows(spark):
+    """Near copies that do not link with each other: pairs that become rows stay far below all pairs."""
+    from pyspark.sql import Row
+
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for k in range(300):
+        words = list(base)
+        for at in rng.choice(200, 9, replace=False):           # nine edits of five shingles each: no two link
+            words[at] = f"x{k}_{at}"
+        rows.append(Row(doc_id=k, text=" ".join(words)))
+    df = spark.createDataFrame(rows)
+    sets = {r.doc_id: {tuple(r.text.split()[i:i + 5]) for i in range(196)} for r in rows}
+    linked = sum(100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for a in range(300) for b in range(a))
+    kept = []
+    plain = jaccard.materialize
+
+    def counted(frame, name="intermediate"):
+        out = plain(frame, name)
+        if name == "sketched_pairs":
+            kept.append(out.count())
+        return out
+
+    jaccard.materialize = counted
+    try:
+        got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(df).collect()}
+    finally:
+        jaccard.materialize = plain
+    assert linked == 0 and got == {k: k for k in range(300)}
+    assert sum(kept) <= 300 * 299 / 2
