@@ -58,7 +58,7 @@ RING = 0.2 + 1e-9
 SAMPLE, COMMON = 16, 4
 BITMAP_BITS = 1 << 26
 #: Pivots of a region in each round; the last number holds for all further ones.
-PIVOTS = (1, 2, 8, 32, 128, 512)
+PIVOTS = (1, 8, 64, 512)
 #: Parity sketches: a small one for all texts, a large one for texts of more than LARGE_FROM shingles.
 #: The large one has LARGE_SHARE to twice as many bits per shingle, so that it does not saturate.
 SMALL_BITS, LARGE_SHARE, LARGE_FROM = 256, 1, 400
