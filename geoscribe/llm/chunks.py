@@ -18,11 +18,13 @@ are repeats.  ``remove_repeats`` cuts out what also stands earlier.
 
 The gear hash of all positions takes five vector additions per text: the hash
 over ``2k`` bytes is that over ``k`` bytes plus the one ``k`` bytes earlier,
-shifted.  Occurrences are counted with partial counts per task, and only
-anchors whose digest repeats are joined back, so a passage in a third of all
-documents is a skewed join side that Spark can split, never a group in a task.
-Only the ends of segments fetch text; extents on an original are combined by
-start before they meet.
+shifted.  A first pass sends bare anchor digests, counted per batch and task, and
+leaves a bitmap of fixed size of those that repeat; the second sends only cuts
+whose anchor may repeat (at a corpus so large that the bitmap fills up, all of
+them).  An anchor of more than a thousandth of these rows is joined with its
+first occurrence by broadcast, so a passage in a third of all documents is never
+a group in a task.  Only the ends of segments fetch text; extents on an original
+are combined by start before they meet.
 
 Positions are code points, ends exclusive.  Null and empty texts have no
 chunks; rows that repeat an id and a text count as one document more, and their
@@ -42,11 +44,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoscribe.llm.common import WORD, documents, materialize, null_safe
+from geoscribe.operators.joins import hot_key_join
 
 SEEN, REACH = 32, 70
 CONTEXT = 128
 MIN_RUN = 120
 MIN_WORDS = 50
+BITMAP_BITS = 1 << 26
 GEAR_KEY = b"gear"
 
 
@@ -90,33 +94,71 @@ def chunk_ends(data: bytes, gear: np.ndarray) -> list[int]:
     return ends if not data or ends and ends[-1] == len(data) else [*ends, len(data)]
 
 
-_CHUNK = "d bigint, c bigint, row bigint, idx int, end int"
+def _anchor(data: bytes, end: int) -> int:
+    return xxhash.xxh3_64_intdigest(data[end - SEEN:end])
+
 
+def _utf8(column: pa.Array) -> list[bytes]:
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(d, n)``: anchors of each batch with their number."""
     gear = gear_table()
     for b in batches:
-        take, digests, rows, idx, ends = [], [], [], [], []
-        for k, (t, row) in enumerate(zip(b.column("text"), b.column("row").to_pylist())):
-            data = (t.as_py() or "").encode("utf-8", "surrogatepass")
-            cuts = _cuts(data, gear)
-            cut = cuts.tolist()
-            if not cut:
-                continue
-            digests += [(xxhash.xxh3_64_intdigest(data[e - SEEN:e]), xxhash.xxh3_64_intdigest(data[s:e]))
-                        for s, e in zip([0, *cut[:-1]], cut)]
-            chars = np.zeros(len(data) + 1, np.int32)
-            np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80, out=chars[1:])
-            ends.append(chars[cuts])
-            take += [k] * len(cut)
-            rows += [row] * len(cut)
-            idx += range(len(cut))
-        two = np.array(digests, np.uint64).reshape(-1, 2).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(two[:, 0])), pa.array(np.ascontiguousarray(two[:, 1])),
-             pa.array(rows, pa.int64()), pa.array(idx, pa.int32()), pa.array(np.concatenate(ends or [np.zeros(0, np.int32)])),
-             b.column("id").take(pa.array(take, pa.int64()))],
-            names=["d", "c", "row", "idx", "end", "id"])
+        found = [_anchor(data, e) for data in _utf8(b.column("text")) for e in _cuts(data, gear).tolist()]
+        d, n = np.unique(np.array(found, np.uint64), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(d.view(np.int64)), pa.array(n, pa.int64())], names=["d", "n"])
+
+
+def repeated_bitmap(rows: DataFrame) -> np.ndarray:
+    """Fixed-size bitmap of the anchors that occur twice or more; at most ``BITMAP_BITS / 32`` rows reach the driver.
+
+    A bit may also stand for an anchor that does not repeat; such rows fall out in the join.
+    """
+    repeated = rows.select("text").mapInArrow(_anchors, "d bigint, n bigint").groupBy("d").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
+    bit = F.col("d").bitwiseAND(F.lit(BITMAP_BITS - 1))
+    words = (repeated.select(F.shiftright(bit, 5).alias("word"), F.expr("shiftleft(1L, cast(d & 31 as int))").alias("bits"))
+             .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
+    out = np.zeros(BITMAP_BITS // 32, np.uint32)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
+    return out.view(np.uint8)
+
+
+_CHUNK = "d bigint, c bigint, row bigint, idx int, end int"
+
+
+def _chunks(bitmap: np.ndarray):
+    """Cuts whose anchor may repeat: digests of anchor and chunk, number of the cut, end in characters."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gear = gear_table()
+        for b in batches:
+            take, d, c, rows, idx, ends = [], [], [], [], [], []
+            for k, (data, row) in enumerate(zip(_utf8(b.column("text")), b.column("row").to_pylist())):
+                cuts = _cuts(data, gear)
+                if not len(cuts):
+                    continue
+                cut = cuts.tolist()
+                anchors = np.array([_anchor(data, e) for e in cut], np.uint64)
+                bit = anchors & np.uint64(BITMAP_BITS - 1)
+                kept = np.flatnonzero((bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1)
+                if not len(kept):
+                    continue
+                starts = [0, *cut]
+                c += [xxhash.xxh3_64_intdigest(data[starts[i]:cut[i]]) for i in kept.tolist()]
+                d.append(anchors[kept])
+                chars = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80, dtype=np.int32)
+                ends.append(chars[cuts[kept] - 1])
+                take += [k] * len(kept)
+                rows += [row] * len(kept)
+                idx.append(kept.astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(d or [np.zeros(0, np.uint64)]).view(np.int64)), pa.array(np.array(c, np.uint64).view(np.int64)),
+                 pa.array(rows, pa.int64()), pa.array(np.concatenate(idx or [np.zeros(0, np.int32)])),
+                 pa.array(np.concatenate(ends or [np.zeros(0, np.int32)])), b.column("id").take(pa.array(take, pa.int64()))],
+                names=["d", "c", "row", "idx", "end", "id"])
+
+    return run
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -124,9 +166,10 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def chunk_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(d, c, row, idx, end, id)`` per cut: digests of its anchor and chunk; ``row`` tells texts of one id apart."""
+    """``(d, c, row, idx, end, id)`` per cut whose anchor may repeat: digests of its anchor and chunk; ``row``
+    tells texts of one id apart."""
     rows = _rows(docs, id_col, text_col)
-    return rows.mapInArrow(_chunks, f"{_CHUNK}, id {rows.schema['id'].dataType.simpleString()}")
+    return rows.mapInArrow(_chunks(repeated_bitmap(rows)), f"{_CHUNK}, id {rows.schema['id'].dataType.simpleString()}")
 
 
 def _contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -180,24 +223,28 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     document with the original of its beginning, and ``n_cut_chars`` the
     characters that also stand earlier.
     """
-    chunks = chunk_texts(docs, id_col, text_col)
-    repeated = (chunks.groupBy("d").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "row", "end", "c")).alias("o"))
-                .where(F.col("copies") > 1))
-    found = materialize(chunks.join(repeated, "d").select(
+    chunks = materialize(chunk_texts(docs, id_col, text_col), "anchors")
+    origins = (chunks.groupBy("d").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "row", "end", "c")).alias("o"))
+               .where(F.col("copies") > 1).withColumnRenamed("d", "od"))
+    # Anchors of a passage that very many documents share are joined where they are read.
+    found = hot_key_join(chunks, origins, [("d", "od")]).select(
         "id", "row", "idx", "end", "copies", F.col("o.id").alias("oid"), F.col("o.row").alias("orow"),
         F.col("o.end").alias("oend"), (F.col("c") == F.col("o.c")).alias("whole"))
-        .dropDuplicates(["id", "row", "idx"]), "repeated_anchors")
-    # Segments: neighbouring anchors with one original, one shift and equal chunks between them.
+    # One exchange, by text, for repeated rows and the segments.
+    found = found.repartition("id", "row").dropDuplicates(["id", "row", "idx"])
+    # Segments: neighbouring anchors with one original, one shift and equal chunks between them.  An original's
+    # own anchors are between no two of them, as their shift is 0.
     order = Window.partitionBy("id", "row").orderBy("idx")
     place = F.struct("oid", "orow", (F.col("end") - F.col("oend")).alias("shift"), F.col("idx"))
-    copied = found.where(~(F.struct("id", "row", "end").eqNullSafe(F.struct("oid", "orow", "oend"))))
     before = F.lag(place).over(order)
     joined = (F.col("whole") & before["oid"].eqNullSafe(F.col("oid")) & (before["orow"] == F.col("orow"))
               & (before["shift"] == F.col("end") - F.col("oend")) & (before["idx"] == F.col("idx") - 1))
-    marked = copied.withColumn("opens", ~F.coalesce(joined, F.lit(False)))
+    marked = found.withColumn("opens", ~F.coalesce(joined, F.lit(False)))
     marked = marked.withColumn("closes", F.coalesce(F.lead("opens").over(order), F.lit(True)))
-    marked = marked.withColumn("segment", F.sum(F.col("opens").cast("int")).over(order))
-    edges = materialize(marked.where(F.col("opens") | F.col("closes")).drop("idx", "whole"), "segment_ends")
+    marked = marked.withColumn("segment", F.sum(F.col("opens").cast("int")).over(order)).drop("idx", "whole")
+    marked = materialize(marked, "marked_anchors")
+    copied = ~F.struct("id", "row", "end").eqNullSafe(F.struct("oid", "orow", "oend"))
+    edges = marked.where(copied & (F.col("opens") | F.col("closes")))
     wanted = edges.select("id", "row", F.col("end").alias("at")).unionByName(
         edges.select(F.col("oid").alias("id"), F.col("orow").alias("row"), F.col("oend").alias("at"))).distinct()
     around = materialize(_contexts(_rows(docs, id_col, text_col), wanted), "segment_contexts")
@@ -234,7 +281,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.max("copies").alias("copies"), F.min_by("first", "start").alias("first"),
         F.sum("n_cut").cast("long").alias("n_cut_chars"))
     runs = runs.where((F.col("end") - F.col("start") >= min_run) | (F.col("words") > MIN_WORDS))
-    ends = found.groupBy("id", "row").agg(F.collect_list("end").alias("ends"))
+    ends = marked.groupBy("id", "row").agg(F.collect_list("end").alias("ends"))
     out = null_safe(runs, ends, ["id", "row"], "inner")
     inside = F.size(F.filter("ends", lambda e: (e > F.col("start")) & (e <= F.col("end")))).cast("long")
     return out.select(F.col("id").alias(id_col), "start", "end", inside.alias("n_chunks"), "copies",

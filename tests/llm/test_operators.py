@@ -372,3 +372,23 @@ def test_unlinked_near_copies_make_few_rows(spark):
         jaccard.materialize = plain
     assert linked == 0 and got == {k: k for k in range(300)}
     assert sum(kept) <= 300 * 299 / 2
+
+
+def test_repeats_hold_a_run_of_one_byte(spark):
+    """A passage with a long run of one character inside, and one of 51 short words, in three texts each."""
+    rng = np.random.default_rng(12)
+
+    def noise(n):
+        return " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n))
+
+    passages = [noise(15) + " " + "z" * 700 + " " + noise(15), " ".join(rng.choice(list("abcdefghijk"), 51))]
+    rows, where = [], {}
+    for k in range(6):
+        head, text = noise(40 + k), passages[k % 2]
+        rows.append((k, f"{head} {text} {noise(30)}", "en", "s", 1))
+        where[k] = (len(head) + 1, len(head) + 1 + len(text))
+    found = {r.doc_id: r for r in chunks.find_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert set(found) == set(where)
+    for k, (start, end) in where.items():
+        assert found[k].start <= start + 1 and found[k].end >= end - 1
+        assert found[k].first_id == k % 2 and found[k].end - found[k].start <= end - start + 4
