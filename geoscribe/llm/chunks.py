@@ -172,13 +172,24 @@ def chunk_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(_chunks(repeated_bitmap(rows)), f"{_CHUNK}, id {rows.schema['id'].dataType.simpleString()}")
 
 
+def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text before and after each wanted position, one small batch per text."""
+    for b in batches:
+        for k, (text, ats) in enumerate(zip(b.column("text").to_pylist(), b.column("ats").to_pylist())):
+            one = pa.array([k] * len(ats))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id").take(one), b.column("row").take(one), pa.array(ats, pa.int32()),
+                 pa.array([text[max(0, at - CONTEXT):at] for at in ats], pa.string()),
+                 pa.array([text[at:at + CONTEXT] for at in ats], pa.string())],
+                names=["id", "row", "at", "before", "after"])
+
+
 def _contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(id, row, at, before, after)``: the text around the positions ``wanted`` (id, row, at)."""
     lists = wanted.groupBy("id", "row").agg(F.collect_set("at").alias("ats"))
-    found = null_safe(rows, lists, ["id", "row"], "inner").select("id", "row", "text", F.explode("ats").alias("at"))
-    first = F.greatest(F.col("at") - CONTEXT, F.lit(0))
-    return found.select("id", "row", "at", F.substring("text", first + 1, F.col("at") - first).alias("before"),
-                        F.substring("text", F.col("at") + 1, F.lit(CONTEXT)).alias("after")).dropDuplicates(["id", "row", "at"])
+    found = null_safe(rows, lists, ["id", "row"], "inner").select("id", "row", "text", "ats")
+    kind = rows.schema["id"].dataType.simpleString()
+    return found.mapInArrow(_cut_contexts, f"id {kind}, row bigint, at int, before string, after string").dropDuplicates(["id", "row", "at"])
 
 
 def _common(a: str, b: str) -> int:
