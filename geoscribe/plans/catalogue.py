@@ -141,8 +141,9 @@ def small_groups(spark, d):
 def large_groups_anti(spark, d):
     """Rows per user after removing small users by key (anti join).  Counting
     first and removing keys from the per-user counts gives the same result as
-    removing raw rows, but only aggregates reach the shuffle and the join."""
-    counts = groups.count_by_key(_t(spark, d, "events"), "user_id")
+    removing raw rows, but only aggregates reach the shuffle and the join.  The
+    counts are written once, as both sides of the anti join read them."""
+    counts = materialize(groups.count_by_key(_t(spark, d, "events"), "user_id"), "user_counts")
     return groups.without_keys(counts, counts.where(F.col("n") <= SMALL_MAX), "user_id")
 
 
