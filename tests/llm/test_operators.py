@@ -242,6 +242,33 @@ def test_sharding(spark, docs, empty):
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and sharding.shard_documents(empty).count() == 0
 
 
+def test_sharding_law_against_brute_force_with_a_third_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "NUMBERS_AT_ONCE", 7)
+    monkeypatch.setattr(sharding, "BUCKETS_AT_ONCE", 3)
+    rows = spark.range(1_200).selectExpr(
+        "if(id % 3 = 0, null, id) id", "if(id % 3 = 0, null, concat('s', id % 4)) source",
+        "if(id % 3 = 0, 16, id % 50) size", "id % 3 _h", "'x' _copy", "1 row", "2 slot")
+    got = sharding.interleave(rows, n_shards=7, rows_per_bucket=20).collect()
+    assert sorted(got[0].asDict()) == ["_copy", "_h", "frac", "id", "row", "shard", "size", "slot", "source"]
+    per = Counter(r.shard for r in got)
+    assert len(got) == 1_200 and max(per.values()) - min(per.values()) <= 1
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(per[s])) for s in per)
+    of = Counter(r.source for r in got)
+    for source, n in of.items():                   # the fractional ranks of a source are all its odd steps, each once
+        assert sorted(r.frac for r in got if r.source == source) == [(2 * k + 1) / (2 * n) for k in range(n)]
+    sequence = sorted(got, key=lambda r: (r.shard, r.slot))
+    assert [r.frac for r in sequence] == sorted(r.frac for r in got)
+    drawn = sharding.interleave(rows, n_shards=7, rows_per_bucket=20)
+    again = sharding.interleave(rows.repartition(5), n_shards=7, rows_per_bucket=20)
+    assert sorted(map(str, drawn.collect())) == sorted(map(str, again.collect()))
+
+
+def test_sharding_spreads_equal_rows_over_the_hash_buckets(spark):
+    rows = spark.range(6_000).selectExpr("if(id < 3000, null, id) id", "'s' source")
+    got = sharding.interleave(rows, n_shards=6, rows_per_bucket=100).collect()
+    assert all(350 < sum(r.shard == s and r.id is None for r in got) < 650 for s in range(6))
+
+
 def test_licenses(spark, docs, empty):
     texts = ["Some text.\nReleased under the MIT License.", "THIS!! WORK!! IS!! LICENSED!! UNDER!! THE!! GNU!! GENERAL!! PUBLIC!! LICENSE,!! VERSION!! 3.",
              "Licensed under the Open Wombat Licence of 1987.", "the work is done and the version is new", None, ""]
