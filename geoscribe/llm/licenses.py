@@ -1,11 +1,14 @@
 """License scan: a trained paragraph classifier with template confirmation, all native.
 
-Paragraphs (lines) become sparse sets of word 2- and 3-grams over those of the
+Every line is a paragraph, and so is every run of hard-wrapped lines: neighbours
+of at most ``WRAP`` characters, with no line without a letter or digit between
+them (so a line of comment marks ends a paragraph).  Line breaks and
+comment marks inside it do not count.  A paragraph becomes a sparse set of word 2- and 3-grams over those of the
 notices below.  Multinomial logistic regression (Spark ML, in the JVM)
 separates the licence families, an ``unknown`` licence and ``none``.  It is
 trained on notices with words dropped and cut, against at most
 ``NEGATIVE_DOCS`` documents of the corpus (smallest id hashes), less
-those that hold a licence cue.  A predicted family counts when its probability passes a
+those that hold a licence cue (each distinct line counts once).  A predicted family counts when its probability passes a
 threshold, calibrated so that held-out texts of families the model does not
 know stay unknown, and when the paragraph holds at least ``MIN_CONTAINMENT`` of
 the 3-grams of a notice of that family; otherwise the paragraph is ``unknown``.
@@ -15,9 +18,14 @@ family against ``none`` a paragraph is ``none``, so one word of each such
 n-gram (the one that plain text uses least) forms an exact filter which the
 scan applies to whole texts and paragraphs before any n-gram is built.
 
-The result has one row per licence paragraph.  Null and empty texts have
-none; null ids are returned as they are, repeated rows repeat their rows, and
-an empty table gives no rows.
+The result has one row per licence paragraph: its confirmed lines, and a
+wrapped paragraph whose confirmed family none of its lines shows; lines that are
+not confirmed only where the wrapped paragraph is not either.  ``paragraph`` is
+the number of its first line and ``n_lines`` how many it has.  Null and empty
+texts have none; null ids are returned as they are, repeated rows repeat their
+rows, an empty table gives no rows, and other columns are not read.  Of equally
+probable families the first of ``NOTICES`` is reported.  A text is split in its
+own row, whole, at any length.
 """
 
 from __future__ import annotations
@@ -28,7 +36,7 @@ import re
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoscribe.llm.common import documents, materialize
@@ -37,6 +45,8 @@ NEGATIVE_DOCS = 400
 VARIANTS = 24
 SEED = 41
 MIN_CONTAINMENT = 0.5
+#: Lines up to this long may be parts of a hard-wrapped paragraph.
+WRAP = 160
 MAX_FALSE_KNOWN = 0.05
 NGRAMS = (2, 3)
 NONE, UNKNOWN = "none", "unknown"
@@ -49,12 +59,17 @@ NOTICES = {
         "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction",
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, "
+        "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+        "Software is furnished to do so, subject to the following conditions:",
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "SPDX-License-Identifier: Apache-2.0",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License.",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+        "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
@@ -67,24 +82,37 @@ NOTICES = {
         "This work is licensed under the GNU General Public License, version 2.",
         "SPDX-License-Identifier: GPL-2.0-only",
         "it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
     ],
     "LGPL": [
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+        "your option) any later version.",
     ],
     "AGPL-3.0": [
         "Licensed under the GNU Affero General Public License, version 3.",
         "SPDX-License-Identifier: AGPL-3.0-only",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
     ],
     "BSD": [
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "SPDX-License-Identifier: BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer.",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
@@ -178,8 +206,9 @@ class LicenseModel:
         # The few ids are chosen without reading texts; at most NEGATIVE_DOCS of them are broadcast.
         chosen = corpus.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(NEGATIVE_DOCS)
         sample = corpus.join(F.broadcast(chosen), "id", "left_semi").where(~F.col("text").rlike(_CUE))
+        sample = sample.orderBy(F.xxhash64("text"), "text").limit(NEGATIVE_DOCS)       # an id may have many rows
         plain = sample.select(F.explode(F.split("text", "\n")).alias("text"), F.lit(NONE).alias("label"),
-                              F.lit(False).alias("held"))
+                              F.lit(False).alias("held")).distinct()       # a line repeated often weighs once
         self.classes = [NONE, UNKNOWN, *NOTICES]
         number = F.array_position(F.array(*[F.lit(c) for c in self.classes]), F.col("label")) - 1
         vocabulary = sorted({t for ts in [*NOTICES.values(), OTHER_NOTICES] for x in ts for t in _driver_terms(x)})
@@ -257,27 +286,54 @@ def _containment(words: Column, family: Column) -> Column:
     return out
 
 
+def _paragraphs(text: Column) -> Column:
+    """Array of strings: single lines, and hard-wrapped lines together; each line as ``number \\x01 line``.
+
+    The marks are first blanked in the text, where they are no part of a word.
+    """
+    line, cut = "\x01", "\x1e"
+    lines = F.split(F.translate(text, line + cut, "  "), "\n")
+    alone = lambda x: (F.length(x) > WRAP) | ~x.rlike(r"[\p{L}\p{N}]")
+    marked = F.transform(lines, lambda x, i: F.when(alone(x), F.concat(F.lit(cut), i.cast("string"), F.lit(line), x, F.lit(cut)))
+                         .otherwise(F.concat(i.cast("string"), F.lit(line), x, F.lit("\n"))))
+    return F.split(F.array_join(marked, ""), cut)
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   min_containment: float = MIN_CONTAINMENT) -> DataFrame:
-    """``(id, paragraph, family, p_license, p_family, containment, confirmed)`` per licence paragraph."""
+    """``(id, paragraph, n_lines, family, p_license, p_family, containment, confirmed)`` per licence paragraph."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     model = LicenseModel(rows)
-    texts = rows
-    if model.words:
-        cue = r"(?<![a-z0-9])(?:" + "|".join(model.words) + r")(?![a-z0-9])"
-        texts = texts.where(F.lower("text").rlike(cue))
-    paragraphs = texts.select("id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    if model.words:
-        paragraphs = paragraphs.where(F.lower("line").rlike(cue))
-    terms = paragraphs.withColumn("words", _words(F.col("line"))).where(F.size("words") > 0).select(
-        "id", "paragraph", "words", _terms(F.col("words")).alias("terms"))
+    cue = r"(?<![a-z0-9])(?:" + "|".join(model.words) + r")(?![a-z0-9])"
+
+    def may_be_license(df: DataFrame, text: str) -> DataFrame:
+        return df.where(F.lower(text).rlike(cue)) if model.words else df
+
+    blocks = may_be_license(rows, "text").select("id", F.explode(_paragraphs(F.col("text"))).alias("block"))
+    blocks = may_be_license(blocks, "block").withColumn("number", F.monotonically_increasing_id())
+    lines = F.split(F.rtrim(F.col("block"), F.lit("\n")), "\n")
+    wrapped = F.when(F.size(lines) > 1, F.array("block")).otherwise(F.array().cast("array<string>"))
+    units = may_be_license(blocks.select("id", "number", F.explode(F.concat(lines, wrapped)).alias("unit")), "unit")
+    start, mark = F.substring_index("unit", "\x01", 1).cast("int"), F.regexp_count("unit", F.lit("\x01"))
+    terms = (units.select("id", "number", start.alias("paragraph"), mark.alias("n_lines"),
+                          _words(F.regexp_replace("unit", "[0-9]+\x01", "")).alias("words"))
+             .where(F.size("words") > 0).withColumn("terms", _terms(F.col("words"))))
     # Written once: Catalyst would otherwise inline the n-grams into every use of the probabilities.
     features = materialize(model.vectorizer.transform(terms).drop("terms"), "license_features")
     hits = model.verdict(features).where("is_license").withColumn(
         "containment", _containment(F.col("words"), F.col("family")))
     known = (F.col("p_family") >= model.threshold) & (F.col("containment") >= min_containment)
-    return hits.select(F.col("id").alias(id_col), "paragraph", F.when(known, F.col("family")).otherwise(UNKNOWN).alias("family"),
-                       "p_license", "p_family", "containment", known.alias("confirmed"))
+    hits = hits.withColumn("confirmed", known)
+    # A paragraph of one text at a time: its families, and whether it is confirmed as a whole.
+    block, whole = Window.partitionBy("number"), F.col("n_lines") > 1
+    of_lines = F.collect_set(F.when(F.col("confirmed") & ~whole, F.col("family"))).over(block)
+    kept = (F.when(whole, F.when(F.col("confirmed"), ~F.array_contains(of_lines, F.col("family")))
+                   .otherwise(F.min(whole).over(block)))
+            .otherwise(F.col("confirmed") | ~F.max(whole & F.col("confirmed")).over(block)))
+    return hits.withColumn("_kept", kept).where("_kept").select(
+        F.col("id").alias(id_col), "paragraph", "n_lines",
+        F.when(F.col("confirmed"), F.col("family")).otherwise(UNKNOWN).alias("family"),
+        "p_license", "p_family", "containment", "confirmed")
 
 
 def op10_license_paragraphs(spark, sf_dir: str) -> DataFrame:
