@@ -5,14 +5,15 @@ unseen word falls back to its character n-grams: the longest order that knows
 any of them decides, with the mean log frequency of the known ones.  A text's
 language has the largest sum; the score is its posterior under equal priors.
 
-The model is fitted on at most ``FIT_DOCS`` documents per language (those with
-the smallest id hashes), and holds at most ``TOP_WORDS`` words and
+The model is fitted on at most ``FIT_DOCS`` distinct texts per language (those with
+the smallest hashes), and holds at most ``TOP_WORDS`` words and
 ``TOP_GRAMS`` n-grams of each order per language, counted by Spark; so it is a
 few MB for any corpus and travels with the task.  All texts are scored whole.
 
 Nulls: rows with a null id or language are not learned from; a null text, or
 one without a letter, is ``und`` with score 0, as is everything if nothing
-could be learned.  Repeated rows are predicted alike.
+could be learned.  Of languages with equal sums the first by name is taken.
+Repeated rows are predicted alike; other columns are not read.
 """
 
 from __future__ import annotations
@@ -142,13 +143,28 @@ class _Rows(dict):
         return self.matrix[list(map(self.__getitem__, words))].sum(0)
 
 
+def fit_sample(train: DataFrame, fit_docs: int) -> DataFrame:
+    """At most ``fit_docs`` distinct texts of each language, those with the smallest hashes.
+
+    The counts by language give a hash that about twice as many texts stay below (fewer where most rows are
+    copies), so that only those are ranked; a text repeated often counts once, before and after the shuffle.
+    """
+    room = F.lit(2.0 * fit_docs + 100)
+    counts = train.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    share = {r.lang: r.share for r in counts.select("lang", (room / F.col("_n")).alias("share")).where("share < 1").collect()}
+    low = F.expr("shiftrightunsigned(xxhash64(text), 1)") / F.lit(float(1 << 63))
+    near = train.where(F.col("text").isNotNull()).select("lang", "text", low.alias("_low"))
+    if share:
+        bound = F.create_map(*[F.lit(x) for kv in sorted(share.items()) for x in kv])
+        near = near.where(F.col("_low") < F.coalesce(F.try_element_at(bound, F.col("lang")), F.lit(1.0)))
+    first = Window.partitionBy("lang").orderBy("_low", "text")
+    return (near.groupBy("lang", "text", "_low").agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= fit_docs).select("lang", "text"))
+
+
 def fit(train: DataFrame, fit_docs: int = FIT_DOCS, top_words: int = TOP_WORDS, top_grams: int = TOP_GRAMS) -> Model:
-    """Fit on ``(id, lang, text)`` rows; null languages and texts must be gone."""
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = train.select("id", "lang").withColumn("_r", F.row_number().over(pick)).where(F.col("_r") <= fit_docs)
-    # At most fit_docs ids per language: a bounded side, so texts are filtered where they are scanned.
-    sample = (train.join(F.broadcast(ids.select("id", "lang").distinct()), ["id", "lang"], "left_semi")
-              .select("lang", "text"))
+    """Fit on ``(lang, text)`` rows; null languages must be gone."""
+    sample = fit_sample(train, fit_docs).select("lang", "text")
 
     def summed(df: DataFrame) -> DataFrame:
         return df.groupBy("lang", "item").agg(F.sum("c").alias("c"))
@@ -179,8 +195,7 @@ def predict_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``(id, held_out, lang_pred, score)`` per row; learned from rows that are not held out."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.col(lang_col).cast("string").alias("lang"))
-    train = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
-                       & ~held_out(F.col("id")))
+    train = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
     model = fit(train, fit_docs)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
