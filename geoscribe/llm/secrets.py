@@ -26,7 +26,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoscribe.llm.common import documents
@@ -148,11 +148,10 @@ def _identifiers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def identifier_dictionary(texts: DataFrame, top: int = TOP_IDENTIFIERS) -> bytes:
     """The commonest long words, then identifiers, of all texts, the commonest last (nearest to the candidate)."""
     counts = texts.mapInArrow(_identifiers, "item string, n bigint").groupBy("item").agg(F.sum("n").alias("n"))
-    plain = F.col("item").rlike("^[A-Za-z]+$")
-    known = counts.where(F.col("n") > 1)
-    order = [F.col("n").desc(), F.col("item")]
-    best = known.where(plain).orderBy(*order).limit(top).withColumn("plain", F.lit(True)).unionByName(
-        known.where(~plain).orderBy(*order).limit(top).withColumn("plain", F.lit(False))).collect()
+    # One pass over the counts: each task forwards at most ``top`` of either kind.
+    first = Window.partitionBy("plain").orderBy(F.col("n").desc(), "item")
+    best = (counts.where(F.col("n") > 1).withColumn("plain", F.col("item").rlike("^[A-Za-z]+$"))
+            .withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= top).drop("_r").collect())
     best.sort(key=lambda r: (r.n, r.item), reverse=True)
     parts = [b" ".join(r.item.encode() for r in reversed(best) if r.plain == kind)[-DICTIONARY_BYTES:] for kind in (True, False)]
     return b" ".join(x for x in parts if x)
