@@ -1,7 +1,9 @@
 """Operators against brute-force versions on small tables with awkward rows."""
 
+import hashlib
 import math
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -136,6 +138,59 @@ def test_language(spark, docs, empty):
     assert all(0 <= r.score <= 1 for r in got) and langid.predict_language(empty).count() == 0
 
 
+def test_language_fit_sample_is_bounded_by_texts_not_ids(spark):
+    rows = spark.range(9_000).selectExpr("if(id % 3 = 0, 'xx', 'yy') lang",
+                                         "if(id % 3 = 1, 'the same text', if(id % 50 = 2, null, concat('text ', id))) text")
+    got = langid.fit_sample(rows, 200).collect()
+    assert Counter(r.lang for r in got)["xx"] == 200 and 100 <= Counter(r.lang for r in got)["yy"] <= 200
+    assert len({tuple(r) for r in got}) == len(got) and all(r.text for r in got)
+    assert sorted(got) == sorted(langid.fit_sample(rows.repartition(7), 200).collect())
+    few = langid.fit_sample(rows, 100_000).collect()
+    assert {tuple(r) for r in few} == {tuple(r) for r in rows.where("text is not null").collect()} and len(few) == len(set(few))
+
+
+def test_language_against_brute_force(spark, docs, monkeypatch):
+    top = {0: 150, **dict.fromkeys(range(1, 6), 60)}
+    monkeypatch.setattr(langid.fit, "__defaults__", (langid.FIT_DOCS, 150, 60))
+    got = langid.predict_language(docs, fit_docs=12).collect()
+    train = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+    counts = {n: {} for n in top}
+    for r in langid.fit_sample(train.select("lang", "text"), 12).collect():
+        for w in re.findall(r"[^\W\d_]+", r.text.lower()):
+            grams = [(n, f" {w} "[i:i + n]) for n in range(2, 6) for i in range(len(w) + 3 - n)] + [(1, c) for c in w]
+            for n, item in [(0, w), *grams]:
+                counts[n].setdefault(r.lang, Counter())[item] += 1
+    langs = sorted(counts[0])
+    total = {(n, x): sum(counts[n][x].values()) for n in top for x in langs}
+    kept = {n: {x: dict(sorted(counts[n][x].items(), key=lambda kv: (-kv[1], kv[0]))[:top[n]]) for x in langs} for n in top}
+    known = {n: set().union(*kept[n].values()) for n in top}
+
+    def logs(n, item):
+        return [math.log((kept[n][x].get(item, 0) + 0.5) / (total[n, x] + 0.5 * len(known[n]))) for x in langs]
+
+    def word(w):
+        if w in known[0]:
+            return logs(0, w)
+        for n in range(5, 0, -1):
+            padded = f" {w} " if n > 1 else w
+            found = [g for g in (padded[i:i + n] for i in range(len(padded) - n + 1)) if g in known[n]]
+            if found:
+                return [sum(v) / len(found) for v in zip(*(logs(n, g) for g in found))]
+        return [0.0] * len(langs)
+
+    seen = {}
+    want = []
+    for r in docs.collect():
+        words = re.findall(r"[^\W\d_]+", r.text.lower()) if r.text else []
+        sums = [sum(v) for v in zip(*(seen.setdefault(w, None) or seen.__setitem__(w, word(w)) or seen[w] for w in words))]
+        best = max(sums, default=0)
+        want.append((r.doc_id, langs[sums.index(best)] if words else "und",
+                     1 / sum(math.exp(max(x - best, -700)) for x in sums) if words else 0.0))
+    key = lambda t: (t[0] is None, t[0] or 0)
+    pairs = list(zip(sorted(want, key=key), sorted(((r.doc_id, r.lang_pred, r.score) for r in got), key=key)))
+    assert len(got) == len(want) and all(a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-6, abs_tol=1e-9) for a, b in pairs)
+
+
 def test_templates(spark, docs, empty):
     items = spark.createDataFrame(
         [(1, "Each day Anna buys 12 apples for 3 dollars and gives Anna's brother 5 of the apples she likes."),
@@ -194,6 +249,72 @@ def test_secrets(spark, docs, empty):
     assert secrets.find_secrets(docs).count() == docs.count() and secrets.find_secrets(empty).count() == 0
 
 
+def test_identifier_dictionary_against_brute_force(spark):
+    texts = [f"alphabetical value_{k % 7} value_{k % 3} ordinary{'xyz'[k % 3]} word_{k}" for k in range(40)] + [None, ""]
+    got = secrets.identifier_dictionary(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5), top=3)
+    seen = Counter(x for t in texts if t for x in set(t.split()))
+    best = sorted((kv for kv in seen.items() if kv[1] > 1), key=lambda kv: (-kv[1], kv[0]))
+    want = [[x for x, _ in best if x.isalpha() == plain][:3] for plain in (True, False)]
+    assert [set(got.decode().split()[:3]), set(got.decode().split()[3:])] == [set(w) for w in want]
+    assert got.decode().split()[2] == want[0][0] and got.decode().split()[-1] == want[1][0]
+
+
+def test_base_spans_of_a_whole_table_against_brute_force(spark):
+    """The contract restated by hand: one scan from the left for each kind, failing matches dropped."""
+    word = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+
+    def assign(text, i):
+        low = text[i:i + 8].translate(common.ASCII_LOWER)
+        key = next((k for k in ("password", "passwd", "secret", "token", "api_key", "apikey") if low.startswith(k)), None)
+        if not key:
+            return None
+        j = i + len(key)
+        j += text[j:j + 1] in ("'", '"') and text[j:j + 1] != ""
+        while text[j:j + 1] == " ":
+            j += 1
+        if text[j:j + 1] not in (":", "="):
+            return None
+        j += 1
+        while text[j:j + 1] == " ":
+            j += 1
+        j += text[j:j + 1] in ("'", '"') and text[j:j + 1] != ""
+        e = j
+        while e < len(text) and text[e] in word:
+            e += 1
+        return (e, e - j >= 12) if e > j else None
+
+    def run(text, i, prefix, letters, least):
+        if not text.startswith(prefix, i):
+            return None
+        e = i + len(prefix)
+        while e < len(text) and text[e] in letters:
+            e += 1
+        return (e, e - i >= least) if e > i + len(prefix) else None
+
+    upper, hexa = set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), set("0123456789abcdef")
+    kinds = {"assign": assign, "access": lambda t, i: run(t, i, "AKIA", upper, 18), "hex": lambda t, i: run(t, i, "", hexa, 16)}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    extra = [(80_000 + k, t) for k, t in enumerate(["", None, "API_KEY'  =  \"abc.def/ghi+jkl", "api-key=abcdefghijklmnop", "token = = abcdefghijklm",
+                                                     "ſecret=abcdefghijklmnop secret:\tabcdefghijklmn", "AKIAAKIA" + "Z9" * 5, "0" * 40_000])]
+    rows = docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    got = {r.doc_id: r for r in secrets.find_secrets(rows).collect()}
+    assert len(got) == rows.count()
+    for r in rows.collect():
+        text, found = r.text or "", []
+        for order, (kind, match) in enumerate(kinds.items()):
+            i = 0
+            while i < len(text):
+                m = match(text, i)
+                if m and m[1]:
+                    found.append((i, order, kind, m[0]))
+                i = m[0] if m else i + 1
+        line = ",".join(f"{kind}:{a}:{e}" for a, _, kind, e in sorted(found))
+        have = got[r.doc_id]
+        assert have.base_sha256 == hashlib.sha256(line.encode()).hexdigest(), (r.doc_id, line, have.spans)
+        assert (have.n_assign, have.n_access, have.n_hex) == tuple(sum(f[2] == k for f in found) for k in kinds)
+        assert set(line.split(",")) - {""} <= set(have.spans.split(","))
+
+
 def test_mixing(spark, docs, empty):
     rows = mixing.mix(docs).collect()
     assert len(rows) == docs.count()
@@ -282,6 +403,37 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+def test_licenses_wrapped_at_72_columns_behind_comment_marks(spark):
+    plain = "This module adds numbers and prints what came out of it."
+    rows, want = [], {}
+    for family, notices in licenses.NOTICES.items():
+        for notice in notices:
+            for mark in ("# ", " * ", "// ", ""):
+                lines = [mark + x for x in textwrap.wrap(notice, 72)]
+                want[len(rows)] = (family, len(lines))
+                rows.append((len(rows), "\n".join([mark + plain, mark.strip(), *lines, "", "x = 1", "y\x01\x1e = 2"])))
+    got = {}
+    for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+            "*", "1 id", "2 number", "3 block", "4 unit", "5 words")).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    for k, (family, n) in want.items():
+        assert [(r.family, r.confirmed) for r in got.get(k, [])] == [(family, True)], (rows[k], got.get(k))
+        assert got[k][0].paragraph in range(2, 2 + n) and got[k][0].n_lines in (1, n)
+
+
+def test_licenses_repeat_with_repeated_rows_and_tell_neighbours_apart(spark, docs):
+    text = "Released under the MIT License.\nLicensed under the Apache License, Version 2.0."
+    long = "\n".join(f"value{k} = {k} + 1" for k in range(20_000))
+    rows = [(1, text), (1, text), (None, text), (2, f"{long}\n{text}\n{long}"), (3, "a\n" * 20_000), (4, None), (5, "")]
+    rows = [(None if k is None else 60_000 + k, t) for k, t in rows]
+    plain = docs.where("doc_id < 9000").select(F.lit(-1).cast("long").alias("doc_id"), "text")      # learned as plain text
+    scanned = licenses.scan_licenses(plain.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    got = [(None if r.doc_id is None else r.doc_id - 60_000, r) for r in scanned if r.doc_id != -1]
+    assert Counter((k, r.paragraph, r.n_lines, r.family) for k, r in got) == Counter(
+        {(1, 0, 1, "MIT"): 2, (1, 1, 1, "Apache-2.0"): 2, (None, 0, 1, "MIT"): 1, (None, 1, 1, "Apache-2.0"): 1,
+         (2, 20_000, 1, "MIT"): 1, (2, 20_001, 1, "Apache-2.0"): 1})
+
+
 def test_chunks_find_every_passage_of_51_words(spark):
     rows, want = [], {}
     for seed in range(150):
