@@ -6,9 +6,9 @@ any of them decides, with the mean log frequency of the known ones.  A text's
 language has the largest sum; the score is its posterior under equal priors.
 
 The model is fitted on at most ``FIT_DOCS`` distinct texts per language (those with
-the smallest hashes), and holds at most ``TOP_WORDS`` words and
-``TOP_GRAMS`` n-grams of each order per language, counted by Spark; so it is a
-few MB for any corpus and travels with the task.  All texts are scored whole.
+the smallest hashes; none more once they hold ``FIT_CHARS`` characters) and keeps
+every word and every n-gram of that sample, counted by Spark.  The sample bounds
+the model, which travels with the task.  All texts are scored whole.
 
 Nulls: rows with a null id or language are not learned from; a null text, or
 one without a letter, is ``und`` with score 0, as is everything if nothing
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 
 from geoscribe.llm.common import documents, materialize
 
+#: Bounds of the fit sample, per language: texts, and characters after which no further text is taken.
 FIT_DOCS = 2_000
-TOP_WORDS = 10_000
-TOP_GRAMS = 5_000
+FIT_CHARS = 8_000_000
 LONGEST = 5
 SMOOTH = 0.5
 FOLDS, HELD_OUT = 4, 2
@@ -143,8 +143,10 @@ class _Rows(dict):
         return self.matrix[list(map(self.__getitem__, words))].sum(0)
 
 
-def fit_sample(train: DataFrame, fit_docs: int) -> DataFrame:
-    """At most ``fit_docs`` distinct texts of each language, those with the smallest hashes.
+def fit_sample(train: DataFrame, fit_docs: int, fit_chars: int = FIT_CHARS) -> DataFrame:
+    """At most ``fit_docs`` distinct whole texts of each language, those with the smallest hashes.
+
+    A text is left out if those before it hold ``fit_chars`` characters or more.
 
     The counts by language give a hash that about twice as many texts stay below (fewer where most rows are
     copies), so that only those are ranked; a text repeated often counts once, before and after the shuffle.
@@ -158,29 +160,26 @@ def fit_sample(train: DataFrame, fit_docs: int) -> DataFrame:
         bound = F.create_map(*[F.lit(x) for kv in sorted(share.items()) for x in kv])
         near = near.where(F.col("_low") < F.coalesce(F.try_element_at(bound, F.col("lang")), F.lit(1.0)))
     first = Window.partitionBy("lang").orderBy("_low", "text")
+    before = first.rowsBetween(Window.unboundedPreceding, -1)
     return (near.groupBy("lang", "text", "_low").agg(F.count(F.lit(1)).alias("_n"))
-            .withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= fit_docs).select("lang", "text"))
+            .withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= fit_docs)
+            .withColumn("_chars", F.coalesce(F.sum(F.length("text")).over(before), F.lit(0)))
+            .where(F.col("_chars") < fit_chars).select("lang", "text"))
 
 
-def fit(train: DataFrame, fit_docs: int = FIT_DOCS, top_words: int = TOP_WORDS, top_grams: int = TOP_GRAMS) -> Model:
+def fit(train: DataFrame, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS) -> Model:
     """Fit on ``(lang, text)`` rows; null languages must be gone."""
-    sample = fit_sample(train, fit_docs).select("lang", "text")
+    sample = fit_sample(train, fit_docs, fit_chars).select("lang", "text")
 
     def summed(df: DataFrame) -> DataFrame:
         return df.groupBy("lang", "item").agg(F.sum("c").alias("c"))
 
-    def top(df: DataFrame, keys: list[str], k: int) -> DataFrame:
-        best = Window.partitionBy("lang", *keys).orderBy(F.col("c").desc(), "item")
-        return df.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
-
     words = materialize(summed(sample.mapInArrow(_count_words, _COUNTED)), "lang_words").withColumn("n", F.lit(0))
     grams = summed(words.select("lang", "item", "c").mapInArrow(_count_grams, _COUNTED)).withColumn(
         "n", F.length("item"))
-    grams = materialize(grams, "lang_grams")
-    both = words.unionByName(grams)
+    both = materialize(words.unionByName(grams), "lang_items")
     totals = {(r.lang, r.n): r.s for r in both.groupBy("lang", "n").agg(F.sum("c").alias("s")).collect()}
-    kept = (top(words, ["n"], top_words).unionByName(top(grams, ["n"], top_grams))
-            .select("lang", "n", "item", "c").toArrow())               # bounded by the parameters above
+    kept = both.select("lang", "n", "item", "c").toArrow()             # bounded by the sample
     langs = sorted({lang for lang, _ in totals})
     at = {lang: i for i, lang in enumerate(langs)}
     counts: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]

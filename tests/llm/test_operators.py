@@ -149,24 +149,32 @@ def test_language_fit_sample_is_bounded_by_texts_not_ids(spark):
     assert {tuple(r) for r in few} == {tuple(r) for r in rows.where("text is not null").collect()} and len(few) == len(set(few))
 
 
-def test_language_against_brute_force(spark, docs, monkeypatch):
-    top = {0: 150, **dict.fromkeys(range(1, 6), 60)}
-    monkeypatch.setattr(langid.fit, "__defaults__", (langid.FIT_DOCS, 150, 60))
+def test_language_fit_sample_ends_with_its_characters(spark):
+    rows = spark.range(300).selectExpr("if(id % 3 = 0, 'xx', 'yy') lang", "concat(repeat('long text ', 10), id) text")
+    few, more = (langid.fit_sample(rows, 1_000, chars).collect() for chars in (1_000, 100_000))
+    for lang, n in (("xx", 100), ("yy", 200)):
+        sizes = [len(r.text) for r in few if r.lang == lang]
+        assert 1_000 <= sum(sizes) < 1_000 + max(sizes) and sum(r.lang == lang for r in more) == n
+    assert {tuple(r) for r in few} <= {tuple(r) for r in more}
+    assert len(langid.fit_sample(rows, 1_000, 1).collect()) == 2
+
+
+def test_language_against_brute_force(spark, docs):
+    orders = range(6)
     got = langid.predict_language(docs, fit_docs=12).collect()
     train = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
-    counts = {n: {} for n in top}
+    counts = {n: {} for n in orders}
     for r in langid.fit_sample(train.select("lang", "text"), 12).collect():
         for w in re.findall(r"[^\W\d_]+", r.text.lower()):
             grams = [(n, f" {w} "[i:i + n]) for n in range(2, 6) for i in range(len(w) + 3 - n)] + [(1, c) for c in w]
             for n, item in [(0, w), *grams]:
                 counts[n].setdefault(r.lang, Counter())[item] += 1
     langs = sorted(counts[0])
-    total = {(n, x): sum(counts[n][x].values()) for n in top for x in langs}
-    kept = {n: {x: dict(sorted(counts[n][x].items(), key=lambda kv: (-kv[1], kv[0]))[:top[n]]) for x in langs} for n in top}
-    known = {n: set().union(*kept[n].values()) for n in top}
+    total = {(n, x): sum(counts[n][x].values()) for n in orders for x in langs}
+    known = {n: set().union(*counts[n].values()) for n in orders}
 
     def logs(n, item):
-        return [math.log((kept[n][x].get(item, 0) + 0.5) / (total[n, x] + 0.5 * len(known[n]))) for x in langs]
+        return [math.log((counts[n][x].get(item, 0) + 0.5) / (total[n, x] + 0.5 * len(known[n]))) for x in langs]
 
     def word(w):
         if w in known[0]:
