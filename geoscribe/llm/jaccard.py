@@ -4,7 +4,9 @@ Two texts link when the Jaccard similarity of their sets is at least 0.8, a
 distance of at most ``r = 0.2``.  Result: per document the size of its set and
 the smallest document id that is reachable by links.
 
-1. *Copies.*  Documents with equal sets are one node (a 64-bit digest).
+1. *Copies.*  Documents with equal sets are one node, named by a 64-bit digest.  Sets
+   that share it and differ in a second one are named by that instead, so it takes
+   128 equal bits to take one set for another.
 2. *First regions.*  Unrelated texts are at distance 1 from each other, so no
    text can serve as a pivot that tells them apart.  The first pivots are single
    shingles: the nearest pivots of a text are the shingles it holds, ties broken
@@ -101,11 +103,26 @@ def shingle_set(text: bytes | None, memo: dict) -> np.ndarray:
     return np.unique(h)
 
 
-def digest(shingles: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+class Naming:
+    """Names of sets: the first digest, or the second where the first is one of ``shared``.
+
+    ``bits``: length of the first digest.  ``shared`` holds about ``nodes ** 2 / 2 ** 65`` digests: a few at 10^10 nodes.
+    """
+
+    def __init__(self, bits: int = 64, shared: frozenset[int] = frozenset()):
+        self.bits, self.shared = bits, shared
+
+    def digests(self, shingles: np.ndarray) -> tuple[int, int]:
+        both = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+        return (int.from_bytes(both[:8], "little", signed=True) >> (64 - self.bits),
+                int.from_bytes(both[8:], "little", signed=True))
+
+    def __call__(self, shingles: np.ndarray) -> int:
+        first, second = self.digests(shingles)
+        return second if first in self.shared else first
 
 
-_NAMES = ("id", "n", "u", "k0", "k1", "k2", "k3", "large", "sample")
+_NAMES = ("id", "n", "u", "v", "k0", "k1", "k2", "k3", "large", "sample")
 
 
 def _arrays(parts: list[np.ndarray]) -> pa.ListArray:
@@ -120,25 +137,31 @@ def _parity(shingles: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo = _WordHashes()
-    for b in batches:
-        n, u, sketch, large, sample = [], [], [], [], []
-        for t in _utf8(b.column("text")):
-            s = shingle_set(t, memo)
-            n.append(len(s))
-            u.append(digest(s))
-            sketch.append(_parity(s, SMALL_BITS))
-            large.append(_parity(s, 1 << (LARGE_SHARE * len(s)).bit_length()).view(np.uint64) if len(s) > LARGE_FROM else s[:0])
-            sample.append(s if u[-1] % SAMPLE == 0 else s[:0])
-        parts = np.stack(sketch) if sketch else np.zeros((0, 4), np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [b.column("id"), pa.array(n, pa.int64()), pa.array(u, pa.int64()),
-             *(pa.array(np.ascontiguousarray(parts[:, i])) for i in range(4)), _arrays(large), _arrays(sample)],
-            names=list(_NAMES))
-
-
-def _prefixes(bitmap: np.ndarray):
+def _sets(naming: Naming):
+    """Rows of ``_NAMES``; ``u`` and ``v`` are the two digests."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = _WordHashes()
+        for b in batches:
+            n, u, v, sketch, large, sample = [], [], [], [], [], []
+            for t in _utf8(b.column("text")):
+                s = shingle_set(t, memo)
+                first, second = naming.digests(s)
+                n.append(len(s))
+                u.append(first)
+                v.append(second)
+                sketch.append(_parity(s, SMALL_BITS))
+                large.append(_parity(s, 1 << (LARGE_SHARE * len(s)).bit_length()).view(np.uint64) if len(s) > LARGE_FROM else s[:0])
+                sample.append(s if first % SAMPLE == 0 else s[:0])
+            parts = np.stack(sketch) if sketch else np.zeros((0, 4), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), *(pa.array(x, pa.int64()) for x in (n, u, v)),
+                 *(pa.array(np.ascontiguousarray(parts[:, i])) for i in range(4)), _arrays(large), _arrays(sample)],
+                names=list(_NAMES))
+
+    return run
+
+
+def _prefixes(bitmap: np.ndarray, naming: Naming):
     """``(reg, u)``: the first ``n // 5 + 1`` shingles of each text, common ones last.
 
     A task passes over sets it has met (it forgets them at ``MEMO``), so copies add a row a task, not one each.
@@ -149,7 +172,7 @@ def _prefixes(bitmap: np.ndarray):
             u, prefix = [], []
             for t in _utf8(b.column("text")):
                 s = shingle_set(t, memo)
-                d = digest(s)
+                d = naming(s)
                 if d in met:
                     continue
                 if len(met) > MEMO:
@@ -180,22 +203,25 @@ def common_bitmap(nodes: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _overlaps(naming: Naming):
     """Rows sorted by group, pivot first: intersection sizes of the pivot's set with each member's."""
-    memo = _WordHashes()
-    pivot, held = None, None
-    for b in batches:
-        out: list[tuple[int, int, int]] = []
-        for p, u, t in zip(b.column("p").to_pylist(), b.column("u").to_pylist(), _utf8(b.column("text"))):
-            s = shingle_set(t, memo)
-            if digest(s) != u:
-                continue                                   # another text under the same id
-            if u == p:
-                pivot, held = p, s
-            elif pivot == p:
-                out.append((p, u, len(np.intersect1d(held, s, assume_unique=True))))
-        cols = list(zip(*out)) if out else [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["p", "u", "both"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = _WordHashes()
+        pivot, held = None, None
+        for b in batches:
+            out: list[tuple[int, int, int]] = []
+            for p, u, t in zip(b.column("p").to_pylist(), b.column("u").to_pylist(), _utf8(b.column("text"))):
+                s = shingle_set(t, memo)
+                if naming(s) != u:
+                    continue                               # another text under the same id
+                if u == p:
+                    pivot, held = p, s
+                elif pivot == p:
+                    out.append((p, u, len(np.intersect1d(held, s, assume_unique=True))))
+            cols = list(zip(*out)) if out else [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["p", "u", "both"])
+
+    return run
 
 
 # --- components --------------------------------------------------------------------
@@ -234,9 +260,9 @@ def contract(edges: DataFrame) -> DataFrame:
 
 # --- regions -----------------------------------------------------------------------
 
-def first_regions(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def first_regions(nodes: DataFrame, texts: DataFrame, naming: Naming) -> DataFrame:
     """``(reg, u, n, c, ring_lo, ring_hi)``: texts placed with their first pivots, regions of one text left out."""
-    rows = texts.select("text").mapInArrow(_prefixes(common_bitmap(nodes)), "reg bigint, u bigint")
+    rows = texts.select("text").mapInArrow(_prefixes(common_bitmap(nodes), naming), "reg bigint, u bigint")
     # One exchange, by region: most shingles are one text's own.  Equal rows come from copies in several tasks.
     region = Window.partitionBy("reg")
     shared = (rows.withColumn("lo", F.min("u").over(region)).withColumn("hi", F.max("u").over(region))
@@ -254,7 +280,7 @@ def _distance(both: Column, a: Column, b: Column) -> Column:
     return 1 - both / (a + b - both)
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, naming: Naming) -> DataFrame:
     """``(p, u, both)``: exact intersection sizes of ``(p, u)`` pairs.
 
     A pivot's text is sent to each slice of about ``SALT_ROWS`` of its members;
@@ -268,7 +294,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     with_text = texts.join(checked_broadcast(need, MAX_BROADCAST_ROWS), "id")
     grouped = with_text.select("p", "u", "salt", "text").repartition("p", "salt").sortWithinPartitions(
         "p", "salt", F.col("u") != F.col("p"))
-    return grouped.select("p", "u", "text").mapInArrow(_overlaps, "p bigint, u bigint, both bigint").distinct()
+    return grouped.select("p", "u", "text").mapInArrow(_overlaps(naming), "p bigint, u bigint, both bigint").distinct()
 
 
 def _large_bound(pairs: DataFrame, nodes: DataFrame, total: Column) -> DataFrame:
@@ -317,12 +343,12 @@ def _may_link(q: Column) -> Column:
             & (9 * differing <= F.col("n") + q["n"]))
 
 
-def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def link_components(nodes: DataFrame, texts: DataFrame, naming: Naming) -> DataFrame:
     """``(u, c)`` for the nodes that meet another one in some region.
 
-    ``nodes``: ``(u, id, n, k0..k3, large, sample)``; ``texts``: ``(id, text)``.
+    ``nodes``: ``(u, id, n, k0..k3, large, sample)``; ``texts``: ``(id, text)``; ``naming``: names the sets of texts ``u``.
     """
-    regions = materialize(first_regions(nodes, texts), "regions")
+    regions = materialize(first_regions(nodes, texts, naming), "regions")
     comps = materialize(regions.select("u").distinct().withColumn("c", F.col("u")), "components")
     nodes = materialize(nodes.select("u", "id", "n", "large").join(comps.select("u"), "u", "left_semi"), "met_nodes")
     level = 0
@@ -340,7 +366,7 @@ def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         bounded = materialize(pairs.distinct(), "sketched_pairs")
         bounded = _large_bound(bounded, nodes, total)
         bounded = materialize(bounded, "bounded_pairs")
-        exact = verify(bounded.select("p", "u"), nodes, texts)
+        exact = verify(bounded.select("p", "u"), nodes, texts, naming)
         known = bounded.join(exact, ["p", "u"]).select(
             "p", "u", _distance(F.col("both"), F.col("n"), F.col("pn")).alias("d"),
             (5 * F.col("both") >= 4 * (total - F.col("both"))).alias("linked"))
@@ -363,18 +389,29 @@ def link_components(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         level += 1
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_shingles, component_id)`` per row of ``docs``."""
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bits: int = 64) -> DataFrame:
+    """``(id, n_shingles, component_id)`` per row of ``docs``; any ``digest_bits`` (1 to 64) gives the same."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
+    naming = Naming(digest_bits)
     sets = materialize(texts.mapInArrow(
-        _sets, f"id {kind}, n bigint, u bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint, large array<bigint>, sample array<bigint>"),
-        "shingle_sets")
-    named = sets.where((F.col("n") > 0) & F.col("id").isNotNull())
-    # Copies of a text leave one row per map task; the smallest id decides.
-    first = F.min(F.struct(*[c for c in _NAMES if c != "u"])).alias("first")
-    nodes = materialize(named.groupBy("u").agg(first).select("u", "first.*"), "nodes")
-    comps = link_components(nodes, texts.where(F.col("id").isNotNull()))
+        _sets(naming), f"id {kind}, n bigint, u bigint, v bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint, "
+        "large array<bigint>, sample array<bigint>"), "shingle_sets")
+
+    def distinct_sets(named: DataFrame) -> DataFrame:
+        # Copies of a text leave one row per map task; the smallest id decides.
+        first = F.min(F.struct(*[c for c in _NAMES if c != "u"])).alias("first")
+        nodes = named.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("u").agg(
+            first, (F.min("v") < F.max("v")).alias("differ"))
+        return materialize(nodes.select("u", "first.*", "differ"), "nodes")
+
+    nodes = distinct_sets(sets)
+    shared = frozenset(r.u for r in nodes.where("differ").select("u").collect())
+    if shared:
+        naming = Naming(digest_bits, shared)
+        sets = sets.withColumn("u", F.when(F.col("u").isin(*shared), F.col("v")).otherwise(F.col("u")))
+        nodes = distinct_sets(sets)
+    comps = link_components(nodes.drop("v", "differ"), texts.where(F.col("id").isNotNull()), naming)
     placed = sets.select("id", "n", "u").join(comps, "u", "left").withColumn(
         "c", F.when(F.col("n") > 0, F.coalesce("c", "u")))
     smallest = placed.where(F.col("c").isNotNull()).groupBy("c").agg(F.min("id").alias("component_id"))
