@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoscribe.llm.common import WORD, documents, materialize, null_safe
+from geoscribe.llm.common import WORD, documents, free_name, materialize, null_safe
 from geoscribe.operators.joins import hot_key_join
 
 SEEN, REACH = 32, 70
@@ -301,16 +301,17 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def remove_repeats(docs: DataFrame, repeats: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the copied passages cut out of the text; a run that holds an original stays whole."""
-    cut = (repeats.where(F.col("n_cut_chars") == F.col("end") - F.col("start")).groupBy(id_col, F.col("row").alias("_row"))
-           .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cut")))
-    keyed = docs.withColumn("_row", F.xxhash64(text_col))
-    joined = null_safe(keyed, cut, [id_col, "_row"], "left")
+    row, cuts = free_name(docs, "_row"), free_name(docs, "_cut")
+    cut = (repeats.where(F.col("n_cut_chars") == F.col("end") - F.col("start")).groupBy(id_col, F.col("row").alias(row))
+           .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(cuts)))
+    keyed = docs.withColumn(row, F.xxhash64(text_col))
+    joined = null_safe(keyed, cut, [id_col, row], "left")
     text = F.col(text_col)
-    edges = F.concat(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))), F.col("_cut"),
+    edges = F.concat(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))), F.col(cuts),
                      F.array(F.struct(F.length(text).alias("start"), F.length(text).alias("end"))))
     pieces = F.transform(F.sequence(F.lit(1), F.size(edges) - 1), lambda i: F.substring(
         text, F.get(edges, i - 1)["end"] + 1, F.get(edges, i)["start"] - F.get(edges, i - 1)["end"]))
-    left = F.when(F.col("_cut").isNull(), text).otherwise(F.array_join(pieces, ""))
+    left = F.when(F.col(cuts).isNull(), text).otherwise(F.array_join(pieces, ""))
     return joined.withColumn(text_col, left).select(*docs.columns)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from geoscribe.session import materialize
 from geoscribe.sources.tables import table
 
-__all__ = ["WORD", "JAVA_WORD", "ASCII_LOWER", "documents", "pages", "benchmark", "materialize", "null_safe",
+__all__ = ["WORD", "JAVA_WORD", "ASCII_LOWER", "documents", "pages", "benchmark", "materialize", "null_safe", "free_name",
            "word_count", "ascii_lower"]
 
 #: Words are maximal runs of anything but the six ASCII white-space characters.
@@ -43,12 +43,21 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join on ``keys`` with null equal to null; the right side's keys are dropped."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    other = {k: free_name(left, f"_r_{k}") for k in keys}
+    renamed = right.select(*[F.col(c).alias(other.get(c, c)) for c in right.columns])
     cond = None
     for k in keys:
-        c = left[k].eqNullSafe(renamed[f"_r_{k}"])
+        c = left[k].eqNullSafe(renamed[other[k]])
         cond = c if cond is None else cond & c
     joined = left.join(renamed, cond, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*other.values())

@@ -1,5 +1,7 @@
 """Every stage of the pipeline against what its operator says of the stage's own input."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from geoscribe.llm import common, jaccard, quality
 
@@ -45,6 +47,27 @@ def test_rejected_rows_leave_clean_rows_of_their_id(spark):
         assert sorted(r.text for r in kept.collect()) == sorted(r[1] for r in clean)
 
 
+def test_near_duplicates_of_rows_without_ids(spark):
+    def near(start):
+        return _words(start) + " end"
+
+    rows = [(5, near(1)), (None, _words(1)), (None, _words(3)), (None, near(3)), (None, None), (None, None), (None, "")]
+    df = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(cp.near_duplicates(spark, df, SF).select("doc_id", "text").collect(), key=str)
+    assert len(kept) == 4 and (5, near(1)) in kept and (None, None) in kept and (None, "") in kept
+    assert sum(r.text in (_words(3), near(3)) for r in kept) == 1
+
+
+def test_columns_named_like_internal_ones_are_carried(spark):
+    names = ["_row_key", "_Size_in_words", "_copies_in_mixture", "_r__row_key", "id", "kept", "n", "c", "u", "size", "shard"]
+    docs = common.documents(spark, SF).select("*", *[F.concat(F.lit(f"{k} "), F.col("doc_id").cast("string")).alias(k) for k in names])
+    for _, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert out.where(" or ".join(f"not `{k}` <=> concat('{k} ', doc_id)" for k in names)).isEmpty()
+    assert cp.shards(spark, docs, SF).count() == docs.count()
+
+
 def test_near_duplicates_leave_other_texts_of_a_repeated_id(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     rows = [(1, _words(1), "en", "s", 1), (2, _words(1), "en", "s", 1), (2, _words(3), "en", "s", 1),
