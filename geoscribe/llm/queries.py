@@ -1,8 +1,8 @@
 """Registered queries of this subpackage.
 
 No oracle SQL: each of them needs something DuckDB SQL lacks (Spark's or a
-gear hash, checksums, iterated estimates, compression, model training), so all
-are tested against brute-force versions in ``tests/llm``.
+gear hash, checksums, iterated estimates, compression, model training).  The README
+says which whole results ``tests/llm`` holds against brute force, and which in parts.
 """
 
 from __future__ import annotations
