@@ -11,10 +11,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -68,6 +72,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/geoscribe/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def lean(spark: SparkSession):
+    """Within it, queries drop their shuffle files as they end and hand Arrow batches of ``BATCH_BYTES`` to Python.
+
+    Without, shuffle files stay until the driver collects its garbage, so a chain of
+    intermediates holds all its exchanges on disk at once; and a batch of 10 000 long
+    texts takes off-heap memory several times its size in each task.  The caller's
+    settings hold again afterwards, and a smaller batch of theirs stays.
+    """
+    wanted = {CLEANUP_CONF: "true", BATCH_CONF: str(BATCH_BYTES)}
+    old = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        current = int(old[BATCH_CONF])
+    except (TypeError, ValueError):                        # unset, or with a unit
+        current = -1
+    if 0 < current < BATCH_BYTES:
+        del wanted[BATCH_CONF]
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in wanted:
+            if old[key] is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, old[key])
+
+
 def materialize(df, name: str = "intermediate"):
     """Write ``df`` once as parquet under the shared checkpoint directory and read it back.
 
@@ -80,5 +113,6 @@ def materialize(df, name: str = "intermediate"):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    with lean(spark):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

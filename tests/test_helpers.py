@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from geoscribe.operators.joins import checked_broadcast
-from geoscribe.session import ensure_checkpoint_dir, materialize, scratch_path
+from geoscribe.session import BATCH_BYTES, BATCH_CONF, CLEANUP_CONF, ensure_checkpoint_dir, materialize, scratch_path
 from geoscribe.sources.tables import spread, table
 
 
@@ -83,3 +85,41 @@ def test_first_query_line_is_of_the_first_file_by_name(spark, tmp_path):
     (tmp_path / "a.txt").write_text("first line\n", encoding="utf-8")
     (tmp_path / "b.txt").write_text("other line\n" * 500, encoding="utf-8")
     assert [r.words for r in scan_query_lines(spark, str(tmp_path)).collect()] == [["first", "line"]]
+
+
+def _shuffle_files(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum("shuffle_" in files.apply(i).getName() for i in range(files.size()))
+
+
+def test_materialize_drops_its_shuffle_files(spark):
+    keyed = spark.range(5000, numPartitions=4).withColumn("k", F.col("id") % 500)
+    before = _shuffle_files(spark)
+    written = materialize(keyed.groupBy("k").agg(F.sum("id").alias("s")), "cleanup_test")
+    deadline = time.time() + 20
+    while _shuffle_files(spark) > before and time.time() < deadline:       # they go in the background
+        time.sleep(0.2)
+    assert _shuffle_files(spark) <= before
+    assert written.count() == 500 and written.agg(F.sum("s")).first()[0] == 5000 * 4999 // 2
+
+
+def test_materialize_hands_small_batches_to_python_and_restores_settings(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    texts = spark.range(6000, numPartitions=1).select(F.repeat(F.lit("x"), 3000).alias("t"))
+    keys = (CLEANUP_CONF, BATCH_CONF)
+    old = [spark.conf.get(k, None) for k in keys]
+    got = [r.n for r in materialize(texts.mapInArrow(sizes, "n long"), "batches_test").collect()]
+    assert sum(got) == 6000 and max(got) * 3000 <= BATCH_BYTES + 8000
+    spark.conf.set(BATCH_CONF, "65536")                                    # a smaller one of the caller's stays
+    try:
+        got = [r.n for r in materialize(texts.mapInArrow(sizes, "n long"), "batches_test").collect()]
+        assert sum(got) == 6000 and max(got) * 3000 <= 65536 + 8000
+        assert spark.conf.get(BATCH_CONF) == "65536"
+    finally:
+        spark.conf.unset(BATCH_CONF)
+    assert [spark.conf.get(k, None) for k in keys] == old
