@@ -140,7 +140,7 @@ def _parity(shingles: np.ndarray, bits: int) -> np.ndarray:
 def _sets(naming: Naming):
     """Rows of ``_NAMES``; ``u`` and ``v`` are the two digests."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _WordHashes()
+        memo, none = _WordHashes(), np.zeros(0, np.uint64)       # an empty slice would hold its set
         for b in batches:
             n, u, v, sketch, large, sample = [], [], [], [], [], []
             for t in _utf8(b.column("text")):
@@ -150,8 +150,8 @@ def _sets(naming: Naming):
                 u.append(first)
                 v.append(second)
                 sketch.append(_parity(s, SMALL_BITS))
-                large.append(_parity(s, 1 << (LARGE_SHARE * len(s)).bit_length()).view(np.uint64) if len(s) > LARGE_FROM else s[:0])
-                sample.append(s if first % SAMPLE == 0 else s[:0])
+                large.append(_parity(s, 1 << (LARGE_SHARE * len(s)).bit_length()).view(np.uint64) if len(s) > LARGE_FROM else none)
+                sample.append(s if first % SAMPLE == 0 else none)
             parts = np.stack(sketch) if sketch else np.zeros((0, 4), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), *(pa.array(x, pa.int64()) for x in (n, u, v)),
