@@ -119,7 +119,8 @@ def repeated_bitmap(rows: DataFrame) -> np.ndarray:
     repeated = rows.select("text").mapInArrow(_anchors, "d bigint, n bigint").groupBy("d").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
     bit = F.col("d").bitwiseAND(F.lit(BITMAP_BITS - 1))
     words = (repeated.select(F.shiftright(bit, 5).alias("word"), F.expr("shiftleft(1L, cast(d & 31 as int))").alias("bits"))
-             .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
+             .groupBy("word").agg(F.bit_or("bits").alias("bits")))
+    words = materialize(words, "repeated_anchors").toArrow()
     out = np.zeros(BITMAP_BITS // 32, np.uint32)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
     return out.view(np.uint8)
@@ -186,10 +187,13 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(id, row, at, before, after)``: the text around the positions ``wanted`` (id, row, at)."""
-    lists = wanted.groupBy("id", "row").agg(F.collect_set("at").alias("ats"))
-    found = null_safe(rows, lists, ["id", "row"], "inner").select("id", "row", "text", "ats")
+    # One key of both (a struct is never null, and null ids in it are equal), so that the join's exchange
+    # also serves to drop repeated rows, before their contexts are cut.
+    key = F.struct("id", "row").alias("key")
+    lists = wanted.groupBy(key).agg(F.collect_set("at").alias("ats"))
+    found = rows.select(key, "text").join(lists, "key").dropDuplicates(["key"]).select("key.id", "key.row", "text", "ats")
     kind = rows.schema["id"].dataType.simpleString()
-    return found.mapInArrow(_cut_contexts, f"id {kind}, row bigint, at int, before string, after string").dropDuplicates(["id", "row", "at"])
+    return found.mapInArrow(_cut_contexts, f"id {kind}, row bigint, at int, before string, after string")
 
 
 def _common(a: str, b: str) -> int:
@@ -260,6 +264,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         edges.select(F.col("oid").alias("id"), F.col("orow").alias("row"), F.col("oend").alias("at"))).distinct()
     around = materialize(_contexts(_rows(docs, id_col, text_col), wanted), "segment_contexts")
     own = null_safe(edges.withColumn("at", F.col("end")), around, ["id", "row", "at"], "inner").drop("at")
+    # The second join moves the same texts again; written first, only one join's exchanges are on disk at a time.
+    own = materialize(own, "own_contexts")
     theirs = around.select(F.col("id").alias("oid"), F.col("row").alias("orow"), F.col("at").alias("oend"),
                            F.col("before").alias("first_before"), F.col("after").alias("first_after"))
     both = null_safe(own, theirs, ["oid", "orow", "oend"], "inner")

@@ -582,3 +582,31 @@ def test_repeats_hold_a_run_of_one_byte(spark):
     for k, (start, end) in where.items():
         assert found[k].start <= start + 1 and found[k].end >= end - 1
         assert found[k].first_id == k % 2 and found[k].end - found[k].start <= end - start + 4
+
+
+def test_contexts_move_no_text_after_the_cut(spark):
+    rows = [(1, "one text of many words", 5), (1, "one text of many words", 5), (None, "another text here", 9), (2, "not wanted", 3)]
+    texts = spark.createDataFrame(rows, "id long, text string, row long")
+    wanted = spark.createDataFrame([(1, 5, 3), (1, 5, 8), (None, 9, 7)], "id long, row long, at int")
+    cut = chunks._contexts(texts, wanted)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[:plan.index("MapInArrow")]
+    got = sorted(((r.id, r.row, r.at, r.before, r.after) for r in cut.collect()), key=str)
+    assert got == [(1, 5, 3, "one", " text of many words"), (1, 5, 8, "one text", " of many words"), (None, 9, 7, "another", " text here")]
+
+
+def test_repeats_write_the_own_contexts_before_the_second_join(spark):
+    passage = " ".join(f"word{i} of{i % 7}" for i in range(60))
+    docs = spark.createDataFrame([(1, passage), (2, "start here " + passage), (None, "or there " + passage)], "doc_id long, text string")
+    plain, names = chunks.materialize, []
+
+    def noted(df, name):
+        names.append(name)
+        return plain(df, name)
+
+    chunks.materialize = noted
+    try:
+        got = chunks.find_repeats(docs).collect()
+    finally:
+        chunks.materialize = plain
+    assert {r.doc_id for r in got} == {1, 2, None} and names.index("own_contexts") < names.index("segments")
