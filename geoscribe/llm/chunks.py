@@ -34,7 +34,6 @@ repeats are reported once; a null id is an id.  An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,11 +42,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoscribe.llm.common import WORD, documents, free_name, materialize, null_safe
+from geoscribe.llm.common import documents, free_name, materialize, null_safe
 from geoscribe.operators.joins import hot_key_join
 
 SEEN, REACH = 32, 70
 CONTEXT = 128
+CONTEXT_ROWS = 4096
 MIN_RUN = 120
 MIN_WORDS = 50
 BITMAP_BITS = 1 << 26
@@ -68,14 +68,15 @@ def _cuts(data: bytes, gear: np.ndarray) -> np.ndarray:
     h = gear[raw]
     width = 1
     while width < SEEN:
-        earlier = np.zeros_like(h)
-        earlier[width:] = h[:-width]
-        h = h + (earlier << np.uint32(width))
+        h[width:] += h[:-width] << np.uint32(width)
         width *= 2
+    low = h.astype(np.uint64)
+    low <<= np.uint64(31)
+    low |= np.arange(len(raw), dtype=np.uint64)
     inside = np.zeros(len(raw), bool)                            # would a cut after byte i split a character?
-    inside[:-1] = (raw[1:] & 0xC0) == 0x80
+    if not data.isascii():
+        inside[:-1] = (raw[1:] & 0xC0) == 0x80
     inside[1:] |= h[1:] == h[:-1]                                # one cut for a run of one byte
-    low = (h.astype(np.uint64) << np.uint64(31)) | np.arange(len(raw), dtype=np.uint64)
     low[inside] |= np.uint64(1 << 63)
     low = low[SEEN - 1:]
     width = 1
@@ -84,8 +85,11 @@ def _cuts(data: bytes, gear: np.ndarray) -> np.ndarray:
         width *= 2
     if width < REACH:
         low = np.minimum(low[:width - REACH], low[REACH - width:])
+    new = np.ones(len(low), bool)                                # the place of the smallest never moves back
+    np.not_equal(low[1:], low[:-1], out=new[1:])
+    low = low[new]
     low = low[low < np.uint64(1 << 63)]
-    return np.unique((low & np.uint64((1 << 31) - 1)).astype(np.int64)) + 1
+    return (low & np.uint64((1 << 31) - 1)).astype(np.int64) + 1
 
 
 def chunk_ends(data: bytes, gear: np.ndarray) -> list[int]:
@@ -148,8 +152,11 @@ def _chunks(bitmap: np.ndarray):
                 starts = [0, *cut]
                 c += [xxhash.xxh3_64_intdigest(data[starts[i]:cut[i]]) for i in kept.tolist()]
                 d.append(anchors[kept])
-                chars = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80, dtype=np.int32)
-                ends.append(chars[cuts[kept] - 1])
+                if data.isascii():
+                    ends.append(cuts[kept].astype(np.int32))
+                else:
+                    chars = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80, dtype=np.int32)
+                    ends.append(chars[cuts[kept] - 1])
                 take += [k] * len(kept)
                 rows += [row] * len(kept)
                 idx.append(kept.astype(np.int32))
@@ -173,34 +180,60 @@ def chunk_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(_chunks(repeated_bitmap(rows)), f"{_CHUNK}, id {rows.schema['id'].dataType.simpleString()}")
 
 
-def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text before and after each wanted position, one small batch per text."""
-    for b in batches:
-        for k, (text, ats) in enumerate(zip(b.column("text").to_pylist(), b.column("ats").to_pylist())):
-            one = pa.array([k] * len(ats))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id").take(one), b.column("row").take(one), pa.array(ats, pa.int32()),
-                 pa.array([text[max(0, at - CONTEXT):at] for at in ats], pa.string()),
-                 pa.array([text[at:at + CONTEXT] for at in ats], pa.string())],
-                names=["id", "row", "at", "before", "after"])
+def _cut_contexts(carried: list[str]):
+    """The text before and after each wanted position, in batches of at most ``CONTEXT_ROWS``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, asked = b.column("text").to_pylist(), b.column("asked")
+            owner, flat = np.repeat(np.arange(len(texts)), asked.value_lengths().to_numpy()), asked.flatten()
+            for lo in range(0, len(flat), CONTEXT_ROWS):
+                part = flat.slice(lo, CONTEXT_ROWS)
+                mine, at = owner[lo:lo + CONTEXT_ROWS], part.field("at")
+                places = [(texts[k], i) for k, i in zip(mine.tolist(), at.to_pylist())]
+                one = pa.array(mine)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("id").take(one), b.column("row").take(one), *(part.field(c) for c in carried), at,
+                     pa.array([t[max(0, i - CONTEXT):i] for t, i in places], pa.string()),
+                     pa.array([t[i:i + CONTEXT] for t, i in places], pa.string())],
+                    names=["id", "row", *carried, "at", "before", "after"])
+
+    return run
 
 
 def _contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(id, row, at, before, after)``: the text around the positions ``wanted`` (id, row, at)."""
+    """``(id, row, .., at, before, after)``: the text around the positions ``wanted`` (id, row, at), once for each,
+    with its other columns carried along."""
     # One key of both (a struct is never null, and null ids in it are equal), so that the join's exchange
     # also serves to drop repeated rows, before their contexts are cut.
     key = F.struct("id", "row").alias("key")
-    lists = wanted.groupBy(key).agg(F.collect_set("at").alias("ats"))
-    found = rows.select(key, "text").join(lists, "key").dropDuplicates(["key"]).select("key.id", "key.row", "text", "ats")
+    carried = [c for c in wanted.columns if c not in ("id", "row", "at")]
+    lists = wanted.groupBy(key).agg(F.collect_set(F.struct("at", *carried)).alias("asked"))
+    found = rows.select(key, "text").join(lists, "key").dropDuplicates(["key"]).select("key.id", "key.row", "text", "asked")
+    kinds = "".join(f"{c} {wanted.schema[c].dataType.simpleString()}, " for c in carried)
     kind = rows.schema["id"].dataType.simpleString()
-    return found.mapInArrow(_cut_contexts, f"id {kind}, row bigint, at int, before string, after string")
+    return found.mapInArrow(_cut_contexts(carried), f"id {kind}, row bigint, {kinds}at int, before string, after string")
+
+
+def _shared(a: str, b: str) -> int:
+    """Length of the common beginning."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    lo = 0                                                       # shared up to lo, not up to n
+    while n - lo > 1:
+        mid = (lo + n) // 2
+        if a[lo:mid] == b[lo:mid]:
+            lo = mid
+        else:
+            n = mid
+    return lo
 
 
 def _common(a: str, b: str) -> int:
     """Length of the common beginning, back to a whole word."""
-    n = len(os.path.commonprefix((a, b)))
+    n = _shared(a, b)
     if n and not a[n - 1].isspace() and any(n < len(x) and not x[n].isspace() or n == len(x) == CONTEXT for x in (a, b)):
-        part = len(a[:n].split()[-1])
+        part = len(a[:n].rsplit(None, 1)[-1])
         if part <= SEEN:                                         # text without spaces has no words to go back to
             n -= part
     return n
@@ -217,7 +250,8 @@ def extent(before: str, after: str, first_before: str, first_after: str) -> tupl
         whole = before + after
         tail = len(whole[:len(before)].split()[-1])
         at_right = -min(tail, at_left) if tail <= SEEN else 0
-    return at_left, at_right, len(WORD.findall(before[len(before) - at_left:] + after[:max(at_right, 0)]))
+    shared = before[len(before) - at_left:] + after[:max(at_right, 0)]
+    return at_left, at_right, len(shared.encode().split())       # of bytes, split() cuts at the six white-space characters
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,14 +294,17 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = materialize(marked, "marked_anchors")
     copied = ~F.struct("id", "row", "end").eqNullSafe(F.struct("oid", "orow", "oend"))
     edges = marked.where(copied & (F.col("opens") | F.col("closes")))
-    wanted = edges.select("id", "row", F.col("end").alias("at")).unionByName(
-        edges.select(F.col("oid").alias("id"), F.col("orow").alias("row"), F.col("oend").alias("at"))).distinct()
-    around = materialize(_contexts(_rows(docs, id_col, text_col), wanted), "segment_contexts")
-    own = null_safe(edges.withColumn("at", F.col("end")), around, ["id", "row", "at"], "inner").drop("at")
-    # The second join moves the same texts again; written first, only one join's exchanges are on disk at a time.
-    own = materialize(own, "own_contexts")
-    theirs = around.select(F.col("id").alias("oid"), F.col("row").alias("orow"), F.col("at").alias("oend"),
-                           F.col("before").alias("first_before"), F.col("after").alias("first_after"))
+    # An edge travels to its text with all it carries and leaves with its own context; the originals' positions go
+    # the same way, once each and without a segment.  So every text moves once, and its contexts once more.
+    carried = ["segment", "copies", "oid", "orow", "oend", "opens", "closes"]
+    originals = edges.select(F.col("oid").alias("id"), F.col("orow").alias("row"), F.col("oend").alias("at"),
+                             *[F.lit(None).cast(edges.schema[c].dataType).alias(c) for c in carried])
+    wanted = edges.select("id", "row", F.col("end").alias("at"), *carried).unionByName(originals)
+    around = materialize(_contexts(_rows(docs, id_col, text_col), wanted), "own_contexts")
+    own = around.where(F.col("segment").isNotNull()).withColumnRenamed("at", "end")
+    theirs = around.where(F.col("segment").isNull()).select(
+        F.col("id").alias("oid"), F.col("row").alias("orow"), F.col("at").alias("oend"),
+        F.col("before").alias("first_before"), F.col("after").alias("first_after"))
     both = null_safe(own, theirs, ["oid", "orow", "oend"], "inner")
     keep = ["id", "row", "segment", "end", "copies", "oid", "orow", "oend", "opens", "closes"]
     both = both.select(*keep, "before", "after", "first_before", "first_after")

@@ -156,7 +156,8 @@ def hot_key_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], h
     at_left = [(a, f"_hot_{i}") for i, (a, _) in enumerate(on)]
     at_right = [(b, f"_hot_{i}") for i, (_, b) in enumerate(on)]
     few = F.broadcast(right.join(hot, _equal(right, hot, at_right), "left_semi"))
-    of_hot = left.join(hot, _equal(left, hot, at_left), "left_semi")
+    # The few rows of ``right`` hold hot keys only: an inner join with them needs no choice of rows before it.
+    of_hot = left if how == "inner" else left.join(hot, _equal(left, hot, at_left), "left_semi")
     others = left.join(hot, _equal(left, hot, at_left), "left_anti")
     drop = [b for _, b in on]
     joined = [side.join(dim, _equal(side, dim, on), how).drop(*drop) for side, dim in ((of_hot, few), (others, right))]

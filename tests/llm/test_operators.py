@@ -610,3 +610,45 @@ def test_repeats_write_the_own_contexts_before_the_second_join(spark):
     finally:
         chunks.materialize = plain
     assert {r.doc_id for r in got} == {1, 2, None} and names.index("own_contexts") < names.index("segments")
+
+
+def test_contexts_carry_what_their_request_holds(spark):
+    texts = spark.createDataFrame([(1, "one text of many words", 5), (None, "another text here", 9)], "id long, text string, row long")
+    wanted = spark.createDataFrame([(1, 5, 3, 7, True), (1, 5, 3, 7, True), (1, 5, 3, None, None), (None, 9, 7, 8, False)],
+                                   "id long, row long, at int, segment long, opens boolean")
+    got = sorted(((r.id, r.at, r.segment, r.opens, r.before, r.after) for r in chunks._contexts(texts, wanted).collect()), key=str)
+    assert got == [(1, 3, 7, True, "one", " text of many words"), (1, 3, None, None, "one", " text of many words"),
+                   (None, 7, 8, False, "another", " text here")]
+
+
+def test_repeats_write_contexts_once(spark):
+    rng = np.random.default_rng(5)
+    passage = " ".join(f"w{x}" for x in rng.integers(0, 10 ** 6, 80))
+    docs = spark.createDataFrame([(1, passage), (2, "start here " + passage), (3, passage + " and on " + passage)], "doc_id long, text string")
+    plain, names = chunks.materialize, []
+    chunks.materialize = lambda df, name: names.append(name) or plain(df, name)
+    try:
+        got = {(r.doc_id, r.start, r.end, r.first_id) for r in chunks.find_repeats(docs).collect()}
+    finally:
+        chunks.materialize = plain
+    assert [n for n in names if "contexts" in n] == ["own_contexts"]
+    n = len(passage)
+    assert (1, 0, n, 1) in got and (2, 11, 11 + n, 1) in got
+
+
+def test_extents_share_what_commonprefix_shares():
+    from os.path import commonprefix
+
+    rng = np.random.default_rng(6)
+    for _ in range(3000):
+        a = "".join(rng.choice(list("ab \u00e9\U0001F600"), int(rng.integers(0, 20))))
+        b = a[:int(rng.integers(0, 20))] + "".join(rng.choice(list("ab "), int(rng.integers(0, 4))))
+        assert chunks._shared(a, b) == len(commonprefix((a, b)))
+
+
+def test_cuts_are_the_smallest_hashes_in_order():
+    gear = chunks.gear_table()
+    for text in ("z" * 300, "ab c" * 90, "\u6f22\u5b57 " * 120, " ".join(f"w{i * i}" for i in range(200))):
+        data = text.encode()
+        cuts = chunks._cuts(data, gear).tolist()
+        assert cuts == sorted(set(cuts)) and all((data[c] & 0xC0) != 0x80 for c in cuts if c < len(data))

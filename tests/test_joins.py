@@ -130,3 +130,9 @@ def test_hour_histogram_shuffles_histograms_only(spark):
     lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
     exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(_key" in line]
     assert all("HashAggregate" in lines[i + 1] for i in exchanges)
+
+
+def test_inner_hot_key_join_chooses_no_rows_before_it(spark, skewed):
+    left, right = skewed
+    plan = joins.hot_key_join(left, right, [("k", "rk")], max_hot=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 1                     # the rows of the right side for hot keys
