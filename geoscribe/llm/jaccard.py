@@ -52,7 +52,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoscribe.llm.common import documents, materialize
-from geoscribe.operators.joins import checked_broadcast
+from geoscribe.operators.joins import within_bounds
 
 SHINGLE = 5
 #: Rings that are further apart than a link (with room for rounding) cannot hold linked texts.
@@ -65,6 +65,8 @@ PIVOTS = (1, 8, 64, 512)
 #: The large one has LARGE_SHARE to twice as many bits per shingle, so that it does not saturate.
 SMALL_BITS, LARGE_SHARE, LARGE_FROM = 256, 1, 400
 SKETCH = ("k0", "k1", "k2", "k3")
+#: What a text takes along into its regions.
+MEMBER = ("u", "id", "n", *SKETCH)
 SALT_ROWS = 500
 MEMO = 300_000
 MAX_BROADCAST_ROWS = 1_000_000
@@ -204,22 +206,30 @@ def common_bitmap(nodes: DataFrame) -> np.ndarray:
 
 
 def _overlaps(naming: Naming):
-    """Rows sorted by group, pivot first: intersection sizes of the pivot's set with each member's."""
+    """Rows sorted by group, pivot first, then by member: sizes of the pivot's set, each member's and their intersection."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHashes()
-        pivot, held = None, None
+        pivot, held, last = None, None, None
         for b in batches:
-            out: list[tuple[int, int, int]] = []
-            for p, u, t in zip(b.column("p").to_pylist(), b.column("u").to_pylist(), _utf8(b.column("text"))):
+            out, take = [], []
+            for k, (p, u, t) in enumerate(zip(b.column("p").to_pylist(), b.column("u").to_pylist(), _utf8(b.column("text")))):
+                if (p, u) == last:
+                    continue                               # known from another row of its id
                 s = shingle_set(t, memo)
                 if naming(s) != u:
                     continue                               # another text under the same id
                 if u == p:
                     pivot, held = p, s
                 elif pivot == p:
-                    out.append((p, u, len(np.intersect1d(held, s, assume_unique=True))))
+                    out.append((len(held), len(s), len(np.intersect1d(held, s, assume_unique=True))))
+                    take.append(k)
+                else:
+                    continue
+                last = (p, u)
+            rows = pa.array(take, pa.int64())
             cols = list(zip(*out)) if out else [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["p", "u", "both"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(rows) for c in ("p", "u", "a", "b")), *(pa.array(c, pa.int64()) for c in cols)],
+                                             names=["p", "u", "a", "b", "pn", "n", "both"])
 
     return run
 
@@ -230,28 +240,28 @@ def contract(edges: DataFrame) -> DataFrame:
     """``(v, root)`` for every vertex of ``(a, b)``: the smallest vertex it reaches.
 
     Every round hooks each vertex to its smallest neighbour, follows the hooks
-    twice, and keeps the edges between different roots.
+    four times, and keeps the edges between different roots.  Only the choice of the
+    neighbour needs the rows dealt out: repeated edges combine in it, and the joins
+    with the written hooks are broadcasts while these are small.
     """
     maps = None
-    left = materialize(edges.select("a", "b").distinct(), "edges")
+    left = materialize(edges.select("a", "b"), "edges")
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hook = both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        hook = materialize(hook, "hooks")
-        for _ in range(2):
-            nxt = hook.select(F.col("v").alias("m"), F.col("m").alias("m2"))
+        first = materialize(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("m")), "hooks")
+        hook, nxt = first, first.select(F.col("v").alias("m"), F.col("m").alias("m2"))
+        for _ in range(3):
             hook = hook.join(nxt, "m").select("v", F.col("m2").alias("m"))
         hook = materialize(hook, "hooks")
         if maps is None:
             maps = hook
         else:
             step = hook.select(F.col("v").alias("m"), F.col("m").alias("m2"))
-            maps = maps.join(step, "m", "left").select("v", F.coalesce("m2", "m").alias("m"))
-        maps = materialize(maps, "roots")
+            maps = materialize(maps.join(step, "m", "left").select("v", F.coalesce("m2", "m").alias("m")), "roots")
         ra, rb = hook.select(F.col("v").alias("a"), F.col("m").alias("x")), hook.select(
             F.col("v").alias("b"), F.col("m").alias("y"))
         left = left.join(ra, "a").join(rb, "b").where(F.col("x") != F.col("y")).select(
-            F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+            F.col("x").alias("a"), F.col("y").alias("b"))
         left = materialize(left, "edges")
     if maps is None:
         return left.select(F.col("a").alias("v"), F.col("b").alias("root"))
@@ -261,7 +271,7 @@ def contract(edges: DataFrame) -> DataFrame:
 # --- regions -----------------------------------------------------------------------
 
 def first_regions(nodes: DataFrame, texts: DataFrame, naming: Naming) -> DataFrame:
-    """``(reg, u, n, c, ring_lo, ring_hi)``: texts placed with their first pivots, regions of one text left out."""
+    """``(reg, u, id, n, c, ring_lo, ring_hi)``: texts placed with their first pivots, regions of one text left out."""
     rows = texts.select("text").mapInArrow(_prefixes(common_bitmap(nodes), naming), "reg bigint, u bigint")
     # One exchange, by region: most shingles are one text's own.  Equal rows come from copies in several tasks.
     region = Window.partitionBy("reg")
@@ -272,29 +282,34 @@ def first_regions(nodes: DataFrame, texts: DataFrame, naming: Naming) -> DataFra
     # Neighbouring shingles make regions with the same members; one of each kind stays.
     chosen = shared.groupBy("members", "mixed", "lo", "hi").agg(F.min("reg").alias("reg")).select("reg")
     kept = shared.select("reg", "u").join(chosen, "reg", "left_semi")
-    return kept.join(nodes.select("u", "n", *SKETCH), "u").select(
-        "reg", "u", "n", *SKETCH, F.col("u").alias("c"), F.lit(0.0).alias("ring_lo"), F.lit(1.0).alias("ring_hi"))
+    return kept.join(nodes.select("u", "id", "n", *SKETCH), "u").select(
+        "reg", *MEMBER, F.col("u").alias("c"), F.lit(0.0).alias("ring_lo"), F.lit(1.0).alias("ring_hi"))
 
 
 def _distance(both: Column, a: Column, b: Column) -> Column:
     return 1 - both / (a + b - both)
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, naming: Naming) -> DataFrame:
-    """``(p, u, both)``: exact intersection sizes of ``(p, u)`` pairs.
+def verify(pairs: DataFrame, texts: DataFrame, naming: Naming) -> DataFrame:
+    """``(p, u, a, b, pn, n, both)``: exact sizes of sets and intersections of ``(p, u)`` pairs.
 
-    A pivot's text is sent to each slice of about ``SALT_ROWS`` of its members;
-    a task holds one pivot's set and one member's at a time.
+    ``pairs``: ``(p, pid, u, id, a, b)``, texts and ids of both, and what goes along.  A pivot's text is sent to each
+    slice of about ``SALT_ROWS`` of its members; a task holds one pivot's set and one member's at a time.
     """
-    slices = pairs.groupBy("p").agg(F.ceil(F.count(F.lit(1)) / F.lit(SALT_ROWS)).alias("k"))
-    members = pairs.join(slices, "p").select("p", "u", F.pmod(F.xxhash64("u"), F.col("k")).alias("salt"))
-    heads = slices.select("p", F.col("p").alias("u"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("salt"))
-    need = members.unionByName(heads).join(nodes.select("u", "id"), "u")
-    need = materialize(need, "verify_rows")
-    with_text = texts.join(checked_broadcast(need, MAX_BROADCAST_ROWS), "id")
-    grouped = with_text.select("p", "u", "salt", "text").repartition("p", "salt").sortWithinPartitions(
-        "p", "salt", F.col("u") != F.col("p"))
-    return grouped.select("p", "u", "text").mapInArrow(_overlaps(naming), "p bigint, u bigint, both bigint").distinct()
+    slices = pairs.groupBy("p").agg(F.first("pid").alias("pid"), F.ceil(F.count(F.lit(1)) / F.lit(SALT_ROWS)).alias("k"))
+    slices = materialize(slices, "slices")
+    members = pairs.join(slices.select("p", "k"), "p").select("p", "u", "id", "a", "b", F.pmod(F.xxhash64("u"), F.col("k")).alias("salt"))
+    none = F.lit(None).cast("long")
+    heads = slices.select("p", F.col("p").alias("u"), F.col("pid").alias("id"), none.alias("a"), none.alias("b"),
+                          F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("salt"))
+    need = members.unionByName(heads)
+    # At most one head for each pair: counting the written pairs, twice, tells whether their rows can be sent.
+    if within_bounds(pairs.unionByName(pairs), MAX_BROADCAST_ROWS):
+        need = F.broadcast(need)
+    with_text = texts.join(need, "id").select("p", "u", "a", "b", "salt", "text")
+    grouped = with_text.repartition("p", "salt").sortWithinPartitions("p", "salt", F.col("u") != F.col("p"), "u")
+    return grouped.select("p", "u", "a", "b", "text").mapInArrow(
+        _overlaps(naming), "p bigint, u bigint, a bigint, b bigint, pn bigint, n bigint, both bigint")
 
 
 def _large_bound(pairs: DataFrame, nodes: DataFrame, total: Column) -> DataFrame:
@@ -303,9 +318,9 @@ def _large_bound(pairs: DataFrame, nodes: DataFrame, total: Column) -> DataFrame
     Sketch sizes are powers of two, so of a pair that may link one has at most
     twice the bits of the other; the halves of the larger are merged first.
     """
-    long = pairs.where((F.col("n") > LARGE_FROM) & (F.col("pn") > LARGE_FROM))
-    wanted = materialize(long.select(F.explode(F.array("u", "p")).alias("u")).distinct(), "wanted_sketches")
-    large = nodes.where(F.col("n") > LARGE_FROM).join(wanted, "u", "left_semi").select("u", "large")
+    wanted = pairs.where((F.col("n") > LARGE_FROM) & (F.col("pn") > LARGE_FROM)).select(F.explode(F.array("u", "p")).alias("u"))
+    # Written, so that the few sketches in question are sent to the pairs.
+    large = materialize(nodes.where(F.col("n") > LARGE_FROM).join(wanted, "u", "left_semi").select("u", "large"), "wanted_sketches")
     other = large.select(F.col("u").alias("p"), F.col("large").alias("other"))
     both = pairs.join(large, "u", "left").join(other, "p", "left")
     width = F.least(F.size("large"), F.size("other"))
@@ -316,7 +331,7 @@ def _large_bound(pairs: DataFrame, nodes: DataFrame, total: Column) -> DataFrame
 
     bits = F.aggregate(F.zip_with(halved("large"), halved("other"), lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")),
                        F.lit(0).cast("long"), lambda a, x: a + x)
-    return both.where(F.coalesce(9 * bits <= total, F.lit(True))).select("p", "u", "pn", "n")
+    return both.where(F.coalesce(9 * bits <= total, F.lit(True))).select(*pairs.columns)
 
 
 def _pivots(members: DataFrame, count: int) -> DataFrame:
@@ -331,7 +346,7 @@ def _pivots(members: DataFrame, count: int) -> DataFrame:
     order = Window.partitionBy("reg").orderBy(F.xxhash64("u"), "u")       # limited per task before the exchange
     rest = (members.join(largest, "reg").where(F.col("c") != F.col("largest"))
             .withColumn("r", F.row_number().over(order)).where(F.col("r") <= count))
-    return rest.groupBy("reg").agg(F.collect_list(F.struct("u", "c", "n", *SKETCH, "ring_lo", "ring_hi")).alias("pivots"))
+    return rest.groupBy("reg").agg(F.collect_list(F.struct(*MEMBER, "c", "ring_lo", "ring_hi")).alias("pivots"))
 
 
 def _may_link(q: Column) -> Column:
@@ -350,7 +365,7 @@ def link_components(nodes: DataFrame, texts: DataFrame, naming: Naming) -> DataF
     """
     regions = materialize(first_regions(nodes, texts, naming), "regions")
     comps = materialize(regions.select("u").distinct().withColumn("c", F.col("u")), "components")
-    nodes = materialize(nodes.select("u", "id", "n", "large").join(comps.select("u"), "u", "left_semi"), "met_nodes")
+    nodes = materialize(nodes.where(F.col("n") > LARGE_FROM).select("u", "n", "large").join(comps.select("u"), "u", "left_semi"), "met_nodes")
     level = 0
     while True:
         picked = materialize(_pivots(regions, PIVOTS[min(level, len(PIVOTS) - 1)]), "pivots")
@@ -358,34 +373,31 @@ def link_components(nodes: DataFrame, texts: DataFrame, naming: Naming) -> DataF
             return comps
         small, large = F.least("n", "pn"), F.greatest("n", "pn")
         # Pivots that a member cannot link with leave the array before it is unfolded: only pairs that pass
-        # the bounds of component, ring, size and small sketch become rows.
-        pairs = (regions.join(picked, "reg").select("u", "n", F.explode(F.filter("pivots", _may_link)).alias("q"))
-                 .select(F.col("q.u").alias("p"), "u", F.col("q.n").alias("pn"), "n"))
-        total = F.col("n") + F.col("pn")
+        # the bounds of component, ring, size and small sketch become rows.  They take ids and components along.
+        pairs = (regions.join(picked, "reg").select("u", "id", "n", F.col("c").alias("b"), F.explode(F.filter("pivots", _may_link)).alias("q"))
+                 .select(F.col("q.u").alias("p"), F.col("q.id").alias("pid"), "u", "id", F.col("q.c").alias("a"), "b",
+                         F.col("q.n").alias("pn"), "n"))
         # One pair may share several regions.
-        bounded = materialize(pairs.distinct(), "sketched_pairs")
-        bounded = _large_bound(bounded, nodes, total)
+        bounded = materialize(pairs.dropDuplicates(["p", "u"]), "sketched_pairs")
+        bounded = _large_bound(bounded, nodes, F.col("n") + F.col("pn"))
         bounded = materialize(bounded, "bounded_pairs")
-        exact = verify(bounded.select("p", "u"), nodes, texts, naming)
-        known = bounded.join(exact, ["p", "u"]).select(
-            "p", "u", _distance(F.col("both"), F.col("n"), F.col("pn")).alias("d"),
-            (5 * F.col("both") >= 4 * (total - F.col("both"))).alias("linked"))
+        known = verify(bounded.select("p", "pid", "u", "id", "a", "b"), texts, naming).select(
+            "p", "u", "a", "b", _distance(F.col("both"), F.col("n"), F.col("pn")).alias("d"),
+            (5 * F.col("both") >= 4 * (F.col("n") + F.col("pn") - F.col("both"))).alias("linked"))
         known = materialize(known, "pair_distances")
 
-        ends = comps.select(F.col("u").alias("p"), F.col("c").alias("a"))
-        edges = known.where("linked").join(comps, "u").join(ends, "p").select("a", F.col("c").alias("b"))
-        roots = contract(edges.where(F.col("a") != F.col("b")))
-        comps = materialize(comps.join(roots.withColumnRenamed("v", "c"), "c", "left").select(
-            "u", F.coalesce("root", "c").alias("c")), "components")
+        roots = contract(known.where("linked").select("a", "b")).withColumnRenamed("v", "c")
+        now = F.coalesce("root", "c").alias("c")
+        comps = materialize(comps.join(roots, "c", "left").select("u", now), "components")
 
         # Pivots leave; the first one sets the rings of its region.  Regions of one component got no pivots and end.
-        following = regions.drop("c").join(picked, "reg").where(~F.array_contains("pivots.u", F.col("u")))
+        following = regions.join(picked, "reg").where(~F.array_contains("pivots.u", F.col("u")))
         if level == 0:
             head = F.element_at("pivots", 1)
-            following = following.select("reg", "u", "n", *SKETCH, head["u"].alias("p"), head["n"].alias("pn")).join(
+            following = following.select("reg", *MEMBER, "c", head["u"].alias("p"), head["n"].alias("pn")).join(
                 known.select("p", "u", "d"), ["p", "u"], "left").select(
-                "reg", "u", "n", *SKETCH, F.coalesce("d", 1 - small / large).alias("ring_lo"), F.coalesce("d", F.lit(1.0)).alias("ring_hi"))
-        regions = materialize(following.drop("pivots").join(comps, "u"), "regions")
+                "reg", *MEMBER, "c", F.coalesce("d", 1 - small / large).alias("ring_lo"), F.coalesce("d", F.lit(1.0)).alias("ring_hi"))
+        regions = materialize(following.join(roots, "c", "left").select("reg", *MEMBER, now, "ring_lo", "ring_hi"), "regions")
         level += 1
 
 

@@ -652,3 +652,38 @@ def test_cuts_are_the_smallest_hashes_in_order():
         data = text.encode()
         cuts = chunks._cuts(data, gear).tolist()
         assert cuts == sorted(set(cuts)) and all((data[c] & 0xC0) != 0x80 for c in cuts if c < len(data))
+
+
+def test_contract_deals_rows_out_once_a_round(spark):
+    rng = np.random.default_rng(7)
+    edges = [(i, i + 1) for i in range(40)] + [(int(a), int(a) + 1) for a in rng.integers(100, 130, 60)]
+    plain, plans = jaccard.materialize, []
+
+    def noted(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString().count("hashpartitioning")))
+        return plain(df, name)
+
+    jaccard.materialize = noted
+    try:
+        got = {r.v: r.root for r in jaccard.contract(spark.createDataFrame(edges * 3, "a long, b long")).collect()}
+    finally:
+        jaccard.materialize = plain
+    root = {v: v for e in edges for v in e}
+    for _ in range(60):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    assert got == root
+    assert sum(n for _, n in plans) == sum(n > 0 for _, n in plans) and {x for x, n in plans if n} == {"hooks"}
+
+
+def test_verify_gives_each_pair_once(spark):
+    words = [f"w{i}" for i in range(30)]
+    texts = {1: " ".join(words), 2: " ".join(words[:-1]), 3: " ".join(words[3:])}
+    naming = jaccard.Naming()
+    sets = {i: jaccard.shingle_set(t.encode(), jaccard._WordHashes()) for i, t in texts.items()}
+    name = {i: naming(s) for i, s in sets.items()}
+    rows = [*texts.items(), (2, texts[2]), (2, "another text under the same id"), (1, texts[1])]
+    pairs = spark.createDataFrame([(name[1], 1, name[u], u, 10, 20) for u in (2, 3)], "p long, pid long, u long, id long, a long, b long")
+    got = jaccard.verify(pairs, spark.createDataFrame(rows, "id long, text string"), naming)
+    want = [(name[1], name[u], 10, 20, len(sets[1]), len(sets[u]), len(np.intersect1d(sets[1], sets[u]))) for u in (2, 3)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
