@@ -237,7 +237,7 @@ def _overlaps(naming: Naming):
 # --- components --------------------------------------------------------------------
 
 def contract(edges: DataFrame) -> DataFrame:
-    """``(v, root)`` for every vertex of ``(a, b)``: the smallest vertex it reaches.
+    """``(v, root)`` for every vertex of ``(a, b)``, which should be cheap to read: the smallest vertex it reaches.
 
     Every round hooks each vertex to its smallest neighbour, follows the hooks
     four times, and keeps the edges between different roots.  Only the choice of the
@@ -245,7 +245,7 @@ def contract(edges: DataFrame) -> DataFrame:
     with the written hooks are broadcasts while these are small.
     """
     maps = None
-    left = materialize(edges.select("a", "b"), "edges")
+    left = edges.select("a", "b")
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = materialize(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("m")), "hooks")
@@ -297,7 +297,6 @@ def verify(pairs: DataFrame, texts: DataFrame, naming: Naming) -> DataFrame:
     slice of about ``SALT_ROWS`` of its members; a task holds one pivot's set and one member's at a time.
     """
     slices = pairs.groupBy("p").agg(F.first("pid").alias("pid"), F.ceil(F.count(F.lit(1)) / F.lit(SALT_ROWS)).alias("k"))
-    slices = materialize(slices, "slices")
     members = pairs.join(slices.select("p", "k"), "p").select("p", "u", "id", "a", "b", F.pmod(F.xxhash64("u"), F.col("k")).alias("salt"))
     none = F.lit(None).cast("long")
     heads = slices.select("p", F.col("p").alias("u"), F.col("pid").alias("id"), none.alias("a"), none.alias("b"),
@@ -359,13 +358,12 @@ def _may_link(q: Column) -> Column:
 
 
 def link_components(nodes: DataFrame, texts: DataFrame, naming: Naming) -> DataFrame:
-    """``(u, c)`` for the nodes that meet another one in some region.
+    """``(u, c)`` for the nodes that link with another one.
 
     ``nodes``: ``(u, id, n, k0..k3, large, sample)``; ``texts``: ``(id, text)``; ``naming``: names the sets of texts ``u``.
     """
     regions = materialize(first_regions(nodes, texts, naming), "regions")
-    comps = materialize(regions.select("u").distinct().withColumn("c", F.col("u")), "components")
-    nodes = materialize(nodes.where(F.col("n") > LARGE_FROM).select("u", "n", "large").join(comps.select("u"), "u", "left_semi"), "met_nodes")
+    comps = regions.select("u", "c").where(F.lit(False))         # others are components by themselves
     level = 0
     while True:
         picked = materialize(_pivots(regions, PIVOTS[min(level, len(PIVOTS) - 1)]), "pivots")
@@ -388,7 +386,8 @@ def link_components(nodes: DataFrame, texts: DataFrame, naming: Naming) -> DataF
 
         roots = contract(known.where("linked").select("a", "b")).withColumnRenamed("v", "c")
         now = F.coalesce("root", "c").alias("c")
-        comps = materialize(comps.join(roots, "c", "left").select("u", now), "components")
+        joined = roots.select(F.col("c").alias("u"), F.col("root").alias("c")).join(comps.select("u"), "u", "left_anti")
+        comps = materialize(comps.join(roots, "c", "left").select("u", now).unionByName(joined), "components")
 
         # Pivots leave; the first one sets the rings of its region.  Regions of one component got no pivots and end.
         following = regions.join(picked, "reg").where(~F.array_contains("pivots.u", F.col("u")))
